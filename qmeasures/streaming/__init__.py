@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+Every measure is a one-shot batch computation over a performance year; the only
+notion of lateness is the claim run-out, which the measures model as a date
+parameter (``MeasureParams.runout_start``).  Nothing here to build.
+"""
