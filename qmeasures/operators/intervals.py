@@ -49,13 +49,16 @@ def eligibility_gaps(spans: DataFrame, keys, window_start, window_end,
     we = _as_col(window_end)
     if global_end is not None:
         we = F.least(we, _as_col(global_end))
+    # greatest/least skip NULLs, so a missing span must be tested explicitly
+    has_span = F.col(span_start).isNotNull() & F.col(span_end).isNotNull()
     cs = F.greatest(F.col(span_start), F.col("_ws"))
     ce = F.least(F.col(span_end), F.col("_we"))
+    valid = has_span & (cs <= ce)
     clipped = (spans
                .select(*keys, ws.alias("_ws"), we.alias("_we"), span_start, span_end)
                .select(*keys, "_ws", "_we",
-                       F.when(cs <= ce, cs).alias("_cs"),
-                       F.when(cs <= ce, ce).alias("_ce")))
+                       F.when(valid, cs).alias("_cs"),
+                       F.when(valid, ce).alias("_ce")))
     starts = (clipped.groupBy(*keys, "_cs")
               .agg(F.max("_ce").alias("_ce"), F.min("_ws").alias("_ws"), F.min("_we").alias("_we")))
     w = Window.partitionBy(*keys).orderBy(F.col("_cs").asc_nulls_first()).rowsBetween(
