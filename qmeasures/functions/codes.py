@@ -64,19 +64,37 @@ def _blank_to_none(v):
     return v or None
 
 
-def code_rows(codes: DataFrame, measure: str, component: str) -> list[CodeRow]:
-    """The code table slice for one measure x component (case-insensitive)."""
+_MEASURE_CACHE: dict = {}
+
+
+def _measure_slice(codes: DataFrame, measure: str) -> dict:
+    """component -> rows for one measure, read once per code table and measure.
+
+    Only the measure's slice of the (reference-size) code table reaches the driver.
+    """
+    key = (id(codes), measure.strip().lower())
+    hit = _MEASURE_CACHE.get(key)
+    if hit is not None and hit[0] is codes:
+        return hit[1]
     rows = (codes
-            .filter((F.lower(F.trim("measure")) == measure.strip().lower())
-                    & (F.lower(F.trim("component")) == component.strip().lower()))
-            .select("codesystem", "code",
-                    *[c if c in codes.columns else F.lit(None).alias(c)
+            .filter(F.lower(F.trim("measure")) == measure.strip().lower())
+            .select(F.lower(F.trim("component")).alias("component"), "codesystem", "code",
+                    *[c if c in codes.columns else F.lit(None).cast("string").alias(c)
                       for c in ("grouping_id", "diag_type")])
             .distinct()
             .collect())
-    return [CodeRow(str(r["codesystem"]).strip().upper(), str(r["code"]).strip(),
-                    _blank_to_none(r["grouping_id"]), _blank_to_none(r["diag_type"]))
-            for r in rows]
+    by_comp = defaultdict(list)
+    for r in rows:
+        by_comp[r["component"]].append(
+            CodeRow(str(r["codesystem"]).strip().upper(), str(r["code"]).strip(),
+                    _blank_to_none(r["grouping_id"]), _blank_to_none(r["diag_type"])))
+    _MEASURE_CACHE[key] = (codes, dict(by_comp))
+    return _MEASURE_CACHE[key][1]
+
+
+def code_rows(codes: DataFrame, measure: str, component: str) -> list[CodeRow]:
+    """The code table slice for one measure x component (case-insensitive)."""
+    return list(_measure_slice(codes, measure).get(component.strip().lower(), []))
 
 
 def _isin(col_name: str, values) -> Column:

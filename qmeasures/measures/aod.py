@@ -11,6 +11,7 @@ from qmeasures.functions.dates import D, age_years
 from qmeasures.inputs import ClaimsInputs
 from qmeasures.operators.intervals import contiguous_runs, eligibility_gaps
 from qmeasures.operators.ordered import first_row
+from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
 from qmeasures.schemas import to_result
 
@@ -99,13 +100,37 @@ def index_episodes(eps: DataFrame) -> DataFrame:
                               "opioid_episode", "other_episode", "ip_stay"])
 
 
-def denominator(inp: ClaimsInputs, p: MeasureParams, eps: DataFrame, med: DataFrame,
-                index: DataFrame) -> DataFrame:
+def negative_history(eps: DataFrame, index: DataFrame) -> DataFrame:
+    """Members with an AOD event 1-59 days before the index start (interval semi-join)."""
     aod_events = eps.filter(_on("aod_abuse_dependence") | _on("aod_med_treatment") | _on("alc_rx_treatment")
                             | _on("opioid_rx_treatment")).select("member_id", F.col("prm_fromdate_case").alias("_ev"))
     lag = F.datediff("prm_fromdate_case", "_ev")
-    negative = (index.select("member_id", "prm_fromdate_case").join(aod_events, "member_id")
-                .filter((lag > 0) & (lag < HISTORY_DAYS)).select("member_id").distinct())
+    return (index.select("member_id", "prm_fromdate_case").join(aod_events, "member_id")
+            .filter((lag > 0) & (lag < HISTORY_DAYS)).select("member_id").distinct())
+
+
+def transfer_stays(eps: DataFrame) -> DataFrame:
+    """Inpatient stays after chaining transfers: member_id, ip_stay_id, stay_from, stay_to."""
+    chained = contiguous_runs(eps.filter(F.col("ip_stay") == 1), "member_id", "prm_fromdate_case",
+                              "prm_todate_case", order=["prm_fromdate_case", "prm_todate_case"],
+                              allow_overlap=True, run_col="ip_stay_id", first_id=0)
+    return chained.groupBy("member_id", "ip_stay_id").agg(F.min("prm_fromdate_case").alias("stay_from"),
+                                                         F.max("prm_todate_case").alias("stay_to"))
+
+
+def adult_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
+    return inp.members().filter(age_years("dob", p.measure_end) >= MIN_AGE).select("member_id")
+
+
+def episode_rows(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
+    """Materialised claim-level episode rows of adult members."""
+    eps, _ = episodes(inp, p, adult_members(inp, p))
+    return materialize(eps)
+
+
+def denominator(inp: ClaimsInputs, p: MeasureParams, eps: DataFrame, med: DataFrame,
+                index: DataFrame) -> DataFrame:
+    negative = negative_history(eps, index)
     hospice = (med.filter((_on("hospice_encounter") | _on("hospice_intervention"))
                           & F.col("prm_fromdate_case").between(D(p.measure_start), D(p.measure_end)))
                .select("member_id").distinct())
@@ -182,10 +207,11 @@ def engagement(eps: DataFrame, init: DataFrame) -> DataFrame:
 
 def aod_flags(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     """Per adult member in a denominator: init/engage numerator and denominator flags."""
-    adults = (inp.members().filter(age_years("dob", p.measure_end) >= MIN_AGE).select("member_id"))
-    eps, med = episodes(inp, p, adults)
+    # claim-level episode rows are read by five branches (index, history, hospice,
+    # initiation, engagement): materialise once
+    eps = episode_rows(inp, p)
     index = index_episodes(eps)
-    denom = denominator(inp, p, eps, med, index)
+    denom = denominator(inp, p, eps, eps.filter(F.col("claim_source") == "med"), index)
     init = initiation(eps, denom)
     engage = engagement(eps, init)
     return (init.join(engage, "member_id", "left")

@@ -71,38 +71,10 @@ def period_sums(flags: DataFrame) -> DataFrame:
 def oral_eval(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     if inp.inpdental is None:
         return empty_result(inp.member.sparkSession)
-    members = inp.members().withColumn("age", age_years("dob", p.measure_end))
-    adults = members.filter(F.col("age") >= MIN_AGE).select("member_id", "age")
-    two_years = F.col("prm_fromdate").between(D(shift_date(p.measure_start, years=-1)), D(p.measure_end))
-    periods = period_sums(claim_flags(inp, p, adults)).filter(F.col("time_period").isNotNull())
-    qualifies = ((F.col("acute_ip_diabetes") >= 1) | (F.col("two_visits_non_tele") >= 2)
-                 | ((F.col("two_visits_non_tele") >= 1) & (F.col("two_visits_tele") >= 1)))
-    med_members = periods.filter(qualifies).select("member_id").distinct()
-    pharm = inp.outpharmacy.join(adults.select("member_id"), "member_id", "left_semi")
-    rx = pharm.filter(claims_filter(inp.medications, MEASURE, "diabetes_medications", pharm) & two_years)
-    rx_excl = (pharm.filter(claims_filter(inp.medications, MEASURE, "dementia_medications", pharm) & two_years)
-               .select("member_id").distinct().withColumn("denom_rx_excl_flag", F.lit(1)))
+    members, adults, periods, med_members, rx, rx_excl = denominator_inputs(inp, p)
     denom_members = med_members.union(rx.select("member_id")).distinct()
 
-    # Exclusions over the (at most two) period rows of a member; prior sorts before current.
-    current = F.col("time_period") == "current_year"
-    ex = (periods.join(adults, "member_id", "left").join(rx_excl, "member_id", "left")
-          .groupBy("member_id")
-          .agg(F.max(current & _or("hospice_encounter", "hospice_intervention")).alias("hospice"),
-               F.max(current & _or("frailty_device", "frailty_diagnosis", "frailty_encounter",
-                                   "frailty_symptom")).alias("frail_now"),
-               F.sum("acute_ip_advanced_illness").alias("acute_adv"),
-               F.sum("any_outpatient_advanced_illness").alias("op_adv"),
-               F.sum("diabetes").alias("diab_total"),
-               F.sum("diabetes_exclusions").alias("diab_excl"),
-               F.count(F.lit(1)).alias("n_periods"),
-               F.max("age").alias("age"),
-               F.max("denom_rx_excl_flag").alias("rx_excl")))
-    frailty = ((F.col("age") >= FRAIL_AGE) & F.col("frail_now")
-               & ((F.col("acute_adv") >= 1) | (F.col("op_adv") >= 2) | F.coalesce(F.col("rx_excl") != 0, F.lit(False))))
-    # the diabetes-exclusion counter is only carried when the member has a single period row
-    diab_only_excl = (F.col("n_periods") == 1) & (F.col("diab_excl") != 0) & (F.col("diab_total") == 0)
-    excluded = (ex.filter(F.coalesce(F.col("hospice") | frailty | diab_only_excl, F.lit(False)))
+    excluded = (exclusion_flags(periods, adults, rx_excl).filter(F.col("excluded") == 1)
                 .select("member_id").withColumn("denom_excl", F.lit(1)))
 
     spans = inp.member_time.join(denom_members, "member_id")
@@ -120,3 +92,48 @@ def oral_eval(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
            .select("member_id", F.when(F.col("numer_flag") == 1, 1).otherwise(0).alias("numerator"),
                    F.lit(1).alias("denominator")))
     return to_result(out)
+
+
+def exclusion_flags(periods: DataFrame, adults: DataFrame, rx_excl: DataFrame) -> DataFrame:
+    """Per member: running totals over the prior / current period rows and the exclusion flag.
+
+    Prior sorts before current, so the totals at the current row are the sums over both
+    rows.  The diabetes-exclusion counter is only carried when the member has a single
+    period row (the published program does not retain it across rows).
+    """
+    current = F.col("time_period") == "current_year"
+    ex = (periods.join(adults, "member_id", "left").join(rx_excl, "member_id", "left")
+          .groupBy("member_id")
+          .agg(F.max(current & _or("hospice_encounter", "hospice_intervention")).cast("int").alias("hospice"),
+               F.max(current & _or("frailty_device", "frailty_diagnosis", "frailty_encounter",
+                                   "frailty_symptom")).cast("int").alias("frail_now"),
+               F.sum("acute_ip_advanced_illness").alias("acute_adv"),
+               F.sum("any_outpatient_advanced_illness").alias("op_adv"),
+               F.sum("diabetes").alias("diab_total"),
+               F.sum("diabetes_exclusions").alias("diab_excl"),
+               F.count(F.lit(1)).alias("n_periods"),
+               F.max("age").alias("age"),
+               F.max("denom_rx_excl_flag").alias("rx_excl")))
+    frailty = ((F.col("age") >= FRAIL_AGE) & (F.col("frail_now") == 1)
+               & ((F.col("acute_adv") >= 1) | (F.col("op_adv") >= 2) | F.coalesce(F.col("rx_excl") != 0, F.lit(False))))
+    diab_only_excl = (F.col("n_periods") == 1) & (F.col("diab_excl") != 0) & (F.col("diab_total") == 0)
+    excluded = F.coalesce((F.col("hospice") == 1) | frailty | diab_only_excl, F.lit(False)).cast("int")
+    return ex.select("member_id", "hospice", "frail_now", "acute_adv", "op_adv", "diab_total", "diab_excl",
+                     "n_periods", excluded.alias("excluded"))
+
+
+def denominator_inputs(inp: ClaimsInputs, p: MeasureParams):
+    """(members with age, adults, period sums, medical-rule members, rx members, rx exclusion members)."""
+    members = inp.members().withColumn("age", age_years("dob", p.measure_end))
+    adults = members.filter(F.col("age") >= MIN_AGE).select("member_id", "age")
+    two_years = F.col("prm_fromdate").between(D(shift_date(p.measure_start, years=-1)), D(p.measure_end))
+    periods = period_sums(claim_flags(inp, p, adults)).filter(F.col("time_period").isNotNull())
+    qualifies = ((F.col("acute_ip_diabetes") >= 1) | (F.col("two_visits_non_tele") >= 2)
+                 | ((F.col("two_visits_non_tele") >= 1) & (F.col("two_visits_tele") >= 1)))
+    med_members = periods.filter(qualifies).select("member_id").distinct()
+    pharm = inp.outpharmacy.join(adults.select("member_id"), "member_id", "left_semi")
+    rx = (pharm.filter(claims_filter(inp.medications, MEASURE, "diabetes_medications", pharm) & two_years)
+          .select("member_id"))
+    rx_excl = (pharm.filter(claims_filter(inp.medications, MEASURE, "dementia_medications", pharm) & two_years)
+               .select("member_id").distinct().withColumn("denom_rx_excl_flag", F.lit(1)))
+    return members, adults, periods, med_members, rx, rx_excl

@@ -11,6 +11,7 @@ from qmeasures.functions.dates import D
 from qmeasures.inputs import ClaimsInputs
 from qmeasures.operators.intervals import anchored_groups, contiguous_runs, eligibility_gaps
 from qmeasures.operators.ordered import first_row
+from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
 from qmeasures.schemas import to_result
 
@@ -57,6 +58,29 @@ def delivery_dates(flags: DataFrame, p: MeasureParams) -> DataFrame:
     return grouped.groupBy("member_id", "delivery_id").agg(F.max("prm_todate").alias("delivery_date"))
 
 
+def enrollment_segments(delivery_spans: DataFrame) -> DataFrame:
+    """Contiguous covered segments per delivery: a new segment unless start = previous end + 1."""
+    keys = ["member_id", "delivery_date"]
+    segs = contiguous_runs(delivery_spans, keys, "date_start", "date_end", order=["date_start", "date_end"],
+                           run_col="enrollment_segment_id", first_id=0)
+    return segs.groupBy(*keys, "enrollment_segment_id").agg(
+        F.min("date_start").alias("enrollment_segment_start"), F.max("date_end").alias("enrollment_segment_end"))
+
+
+def relevant_lines(inp: ClaimsInputs) -> DataFrame:
+    """Materialised claim lines that carry a delivery, visit, non-live-birth or hospice flag."""
+    all_flags = line_flags(inp)
+    relevant = (_on("deliveries") | _on("non_live_births") | _on("hospice_encounter") | _on("hospice_intervention")
+                | _on("prenatal_bundled") | _on("standalone_prenatal") | _on("prenatal_visits")
+                | _on("postpartum_visits") | _on("cervical_cytology_lab") | _on("postpartum_bundled"))
+    return materialize(all_flags.filter(relevant))
+
+
+def delivery_spans(inp: ClaimsInputs, deliveries: DataFrame) -> DataFrame:
+    covered = inp.member_time.filter(F.col("cover_medical") == "Y").select("member_id", "date_start", "date_end")
+    return deliveries.select("member_id", "delivery_date").join(covered, "member_id")
+
+
 def delivery_windows(inp: ClaimsInputs, p: MeasureParams, deliveries: DataFrame) -> DataFrame:
     """Per delivery: gap count on [d-43, d+60] and the prenatal / postpartum windows."""
     d = deliveries.select("member_id", "delivery_date",
@@ -66,10 +90,7 @@ def delivery_windows(inp: ClaimsInputs, p: MeasureParams, deliveries: DataFrame)
     dmt = d.join(covered, "member_id")
     keys = ["member_id", "delivery_date"]
     gaps = eligibility_gaps(dmt, keys, "ce_start_date", "ce_end_date")
-    segs = contiguous_runs(dmt, keys, "date_start", "date_end", order=["date_start", "date_end"],
-                           run_col="enrollment_segment_id", first_id=0)
-    windows = segs.groupBy(*keys, "enrollment_segment_id").agg(
-        F.min("date_start").alias("enrollment_segment_start"), F.max("date_end").alias("enrollment_segment_end"))
+    windows = enrollment_segments(dmt)
     overlapping = (gaps.join(windows, keys)
                    .filter((F.col("enrollment_segment_start") <= F.col("delivery_date"))
                            & (F.col("enrollment_segment_end") >= F.date_sub("delivery_date", PRENATAL_LOOKBACK))))
@@ -92,7 +113,8 @@ def _on(c):
 
 def prenatal_postpartum_long(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     """member_id, measure, denominator, numerator (before dropping denominator 0)."""
-    flags = line_flags(inp)
+    # only lines carrying one of these flags matter; they are read by three branches
+    flags = relevant_lines(inp)
     windows = delivery_windows(inp, p, delivery_dates(flags, p))
     # member-level flags: any non-live birth line (the +-10 day test is always true) and
     # any hospice line, at any date

@@ -358,7 +358,9 @@ SELECT member_id, {_result_cols(den='sum(den)', num='sum(num)', comments='cmt',
 FROM rows_ GROUP BY member_id, act, cmt"""
 
 
-def oral_eval_sql() -> str:
+
+
+def _oral_core() -> str:
     m = "diabetes_oral_eval"
     comps = [c for mm, _, c in __import__("qmeasures.sources.refdata", fromlist=["x"]).HEDIS_MAPPING if mm == m]
     flags = ",\n    ".join(f"CASE WHEN {H(c, measure=m)} THEN 1 ELSE 0 END AS {c}" for c in comps)
@@ -415,7 +417,11 @@ gsrc AS (SELECT t.member_id, {MS} AS ws, least({ME}, {LATEST_PAID}) AS we, t.dat
 denom AS (SELECT member_id FROM gaps WHERE gap_days <= 45 AND gap_cnt <= 1
     AND member_id NOT IN (SELECT member_id FROM excl)),
 numer AS (SELECT member_id, max(CASE WHEN {O(m, 'numerator', cols=DENTAL_COLS)} THEN 1 ELSE 0 END) AS nf
-    FROM inpdental WHERE fromdate BETWEEN {MS} AND {ME} GROUP BY member_id)
+    FROM inpdental WHERE fromdate BETWEEN {MS} AND {ME} GROUP BY member_id)"""
+
+
+def oral_eval_sql() -> str:
+    return _oral_core() + f"""
 SELECT d.member_id, {_result_cols(den='1', num='CASE WHEN n.nf = 1 THEN 1 ELSE 0 END')}
 FROM denom d LEFT JOIN numer n ON d.member_id = n.member_id"""
 
