@@ -47,6 +47,14 @@ class ClaimsInputs:
     def with_(self, **kw) -> "ClaimsInputs":
         return replace(self, **kw)
 
+    def memo(self, key, build):
+        """Share an intermediate between measures run on the same inputs (e.g. the
+        prenatal and postpartum measures read one delivery plan)."""
+        store = self.__dict__.setdefault("_memo", {})
+        if key not in store:
+            store[key] = build()
+        return store[key]
+
     def members(self) -> DataFrame:
         """One row per member (duplicate roster rows collapse; earliest dob wins)."""
         return self.member.groupBy("member_id").agg(F.min("dob").alias("dob"))

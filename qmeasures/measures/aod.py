@@ -232,9 +232,13 @@ def _result(flags: DataFrame, p: MeasureParams, num: str, den: str) -> DataFrame
     return to_result(out).withColumn("comment", F.lit(NO_VISIT_COMMENT))
 
 
+def _flags(inp, p):
+    return inp.memo(("aod_flags", p), lambda: aod_flags(inp, p))
+
+
 def aod_init(inp: ClaimsInputs, p: MeasureParams, flags: DataFrame | None = None) -> DataFrame:
-    return _result(flags if flags is not None else aod_flags(inp, p), p, "numer_init", "denom_init")
+    return _result(flags if flags is not None else _flags(inp, p), p, "numer_init", "denom_init")
 
 
 def aod_engage(inp: ClaimsInputs, p: MeasureParams, flags: DataFrame | None = None) -> DataFrame:
-    return _result(flags if flags is not None else aod_flags(inp, p), p, "numer_engage", "denom_engage")
+    return _result(flags if flags is not None else _flags(inp, p), p, "numer_engage", "denom_engage")

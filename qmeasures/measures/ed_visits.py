@@ -168,7 +168,7 @@ def mental_illness_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
 
 
 def ed_visits_mi(inp: ClaimsInputs, p: MeasureParams, ed_all: DataFrame | None = None) -> DataFrame:
-    ed_all = ed_all if ed_all is not None else ed_visits_all(inp, p)
+    ed_all = ed_all if ed_all is not None else inp.memo(("ed_all", p), lambda: ed_visits_all(inp, p))
     out = mental_illness_members(inp, p).join(ed_all, "member_id").select(
         "member_id", F.coalesce("numerator", F.lit(0.0)).alias("numerator"), "denominator",
         "comments", "comp_quality_date_actionable")

@@ -150,7 +150,7 @@ def prenatal_postpartum_long(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
 
 
 def _published(inp, p, measure):
-    long = prenatal_postpartum_long(inp, p)
+    long = inp.memo(("prenatal_long", p), lambda: prenatal_postpartum_long(inp, p))
     return to_result(long.filter((F.col("measure") == measure) & (F.col("denominator") != 0)))
 
 

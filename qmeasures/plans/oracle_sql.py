@@ -635,3 +635,52 @@ def aod_sql(which: str) -> str:
                f"'No Qualifying Visit' AS comment FROM init i LEFT JOIN engf e ON i.member_id = e.member_id " \
                f"WHERE i.ni = 1"
     return _aod_core() + "\n" + body
+
+
+# ---- combine ---------------------------------------------------------------------
+
+_RESULT_SELECT = "member_id, denominator, numerator, comments, comp_quality_date_actionable"
+
+
+def _measure_sqls() -> list[tuple[str, str]]:
+    """(registry key, SQL returning the result columns) in registry order."""
+    dental = prev_dental_sql()
+    return [
+        ("ED_Visits_MI", ed_mi_sql()),
+        ("well_child_visits", well_child_sql()),
+        ("prenatal_care", prenatal_sql("prenatal_care")),
+        ("postpartum_care", prenatal_sql("postpartum_care")),
+        ("aod_init", aod_sql("init")),
+        ("aod_engage", aod_sql("engage")),
+        ("DHS_assessments", custody_sql()),
+        ("diabetes_oral_eval", oral_eval_sql()),
+        ("prev_dental_1_to_5", f"SELECT * FROM ({dental}) WHERE measure = 'prev_dental_1_to_5'"),
+        ("prev_dental_6_to_14", f"SELECT * FROM ({dental}) WHERE measure = 'prev_dental_6_to_14'"),
+    ]
+
+
+def _stack_body() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {_RESULT_SELECT}, '{k.upper()}' AS Measure_Abbreviation FROM ({q})" for k, q in _measure_sqls())
+
+
+def stack_sql() -> str:
+    return _stack_body()
+
+
+def rate_summary_sql() -> str:
+    return f"""SELECT Measure_Abbreviation, sum(numerator) AS sum_numerator, sum(denominator) AS sum_denominator,
+    CASE WHEN sum(denominator) > 0 THEN round(coalesce(sum(numerator), 0) / sum(denominator), 4) ELSE 0.0 END
+    AS measure_rate FROM ({_stack_body()}) GROUP BY Measure_Abbreviation"""
+
+
+def combined_sql() -> str:
+    abbrev = ", ".join(f"('{a}')" for a, *_ in __import__("qmeasures.sources.refdata", fromlist=["x"]).ABBREVIATIONS)
+    return f"""WITH stacked AS ({_stack_body()}),
+ab(a) AS (VALUES {abbrev}),
+roster AS (SELECT 'M' || CAST(c.c_custkey // 5 AS VARCHAR) AS member_id, min(n.n_name) AS mem_report_hier_1
+    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1)
+SELECT s.member_id, s.Measure_Abbreviation, s.denominator AS comp_quality_denominator,
+    s.numerator AS comp_quality_numerator, s.comments AS comp_quality_comments, s.comp_quality_date_actionable,
+    r.mem_report_hier_1, ab.a AS comp_quality_short, CAST(NULL AS DATE) AS comp_quality_date_last
+FROM stacked s JOIN roster r ON s.member_id = r.member_id LEFT JOIN ab ON upper(ab.a) = s.Measure_Abbreviation"""

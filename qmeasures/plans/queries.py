@@ -69,6 +69,52 @@ def long_flags(spark, sf_dir) -> DataFrame:
     return long.select("member_id", "age_bucket", "measure", F.col("numerator").cast("long").alias("numerator"))
 
 
+# Published measure keys -> fixed targets (direction, value): a small reference dimension
+# used by the combine step.  Values are illustrative run parameters, not published targets.
+DRIVER_TARGETS = [
+    ("ED_Visits_MI", 0.08, "lower"), ("DHS_assessments", 0.9, "higher"), ("diabetes_oral_eval", 0.3, "higher"),
+    ("well_child_visits", 0.6, "higher"), ("prev_dental_1_to_5", 0.5, "higher"),
+    ("prev_dental_6_to_14", 0.5, "higher"), ("prenatal_care", 0.9, "higher"), ("postpartum_care", 0.7, "higher"),
+    ("aod_init", 0.4, "higher"), ("aod_engage", 0.15, "higher"),
+]
+
+
+def all_measure_results(spark, sf_dir) -> dict:
+    """Every registered measure (opt-in ones enabled) on one set of inputs."""
+    from qmeasures.plans.registry import default_registry
+    reg = default_registry().enable("DHS_assessments", "diabetes_oral_eval", "prev_dental_1_to_5",
+                                    "prev_dental_6_to_14")
+    return reg.run(_inputs(spark, sf_dir), P)
+
+
+def roster(spark, sf_dir) -> DataFrame:
+    """member_id + reporting hierarchy (the member's first nation name)."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    return (c.join(n, c["c_nationkey"] == n["n_nationkey"])
+            .select(F.concat(F.lit("M"), F.floor(F.col("c_custkey") / 5).cast("long").cast("string"))
+                    .alias("member_id"), "n_name")
+            .groupBy("member_id").agg(F.min("n_name").alias("mem_report_hier_1")))
+
+
+def stack_results_q(spark, sf_dir) -> DataFrame:
+    from qmeasures.plans.combine import stack_results
+    return stack_results(all_measure_results(spark, sf_dir))
+
+
+def combined_results(spark, sf_dir) -> DataFrame:
+    from qmeasures.plans.combine import abbreviations_frame, combine_results
+    targets = spark.createDataFrame(DRIVER_TARGETS, "measure_name_short string, measure_target_value double, "
+                                                    "measure_direction string")
+    return combine_results(all_measure_results(spark, sf_dir), abbreviations_frame(spark), targets,
+                           roster(spark, sf_dir))
+
+
+def rate_summary_q(spark, sf_dir) -> DataFrame:
+    from qmeasures.plans.combine import rate_summary
+    return rate_summary(all_measure_results(spark, sf_dir))
+
+
 MEASURE_QUERIES = {
     "m_well_child": m_well_child,
     "m_ed_visits": m_ed_visits,
@@ -81,6 +127,9 @@ MEASURE_QUERIES = {
     "m_aod_init": m_aod_init,
     "m_aod_engage": m_aod_engage,
     "long_flags": long_flags,
+    "stack_results": stack_results_q,
+    "combined_results": combined_results,
+    "rate_summary": rate_summary_q,
 }
 
 
@@ -107,6 +156,9 @@ def all_oracles() -> dict:
         "m_aod_init": S.aod_sql("init"),
         "m_aod_engage": S.aod_sql("engage"),
         "long_flags": S.dental_long_sql(),
+        "stack_results": S.stack_sql(),
+        "combined_results": S.combined_sql(),
+        "rate_summary": S.rate_summary_sql(),
     }
     out.update(operator_queries.ORACLES())
     return out
