@@ -27,6 +27,9 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, functions as F
 
 
+_COMPONENT_CACHE: dict = {}
+
+
 @dataclass
 class ClaimsInputs:
     member: DataFrame
@@ -67,10 +70,15 @@ class ClaimsInputs:
         if self.components is None:
             raise ValueError("no component mapping supplied")
         skip = {c.lower() for c in exclude}
-        rows = (self.components
-                .filter(F.lower("measure") == measure.lower())
-                .select("component", "source", "ordinal")
-                .collect())
+        key = (id(self.components), measure.lower())
+        hit = _COMPONENT_CACHE.get(key)
+        if hit is None or hit[0] is not self.components:
+            rows = (self.components
+                    .filter(F.lower("measure") == measure.lower())
+                    .select("component", "source", "ordinal")
+                    .collect())
+            _COMPONENT_CACHE[key] = hit = (self.components, rows)
+        rows = hit[1]
         rows = sorted(rows, key=lambda r: r["ordinal"])
         out = []
         for r in rows:

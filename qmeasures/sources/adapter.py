@@ -20,6 +20,8 @@ Dates: performance year 1998, latest paid 1998-10-31 (:data:`DRIVER_PARAMS`).
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -149,8 +151,23 @@ OHA_CODES = [
 ]
 
 
+_CODE_TABLES: dict = {}
+
+
 def code_table(spark: SparkSession, rows) -> DataFrame:
-    return spark.createDataFrame(rows, CODE_TABLE_SCHEMA)
+    """The synthetic code table as a DataFrame (one instance per session and list, so the
+    per-measure code slices read on the driver are reused across queries)."""
+    key = (spark.sparkContext.applicationId, id(rows))
+    if key not in _CODE_TABLES:
+        _CODE_TABLES[key] = spark.createDataFrame(rows, CODE_TABLE_SCHEMA)
+    return _CODE_TABLES[key]
+
+
+def _components(spark: SparkSession) -> DataFrame:
+    key = (spark.sparkContext.applicationId, "components")
+    if key not in _CODE_TABLES:
+        _CODE_TABLES[key] = default_components(spark)
+    return _CODE_TABLES[key]
 
 
 def _member_id(custkey: str) -> Column:
@@ -267,24 +284,64 @@ def predictions(customer: DataFrame) -> DataFrame:
         _member_id("c_custkey").alias("member_id"), (F.col("c_acctbal") / 10000.0).alias("er_visits_pred_prob"))
 
 
-def load_inputs(spark: SparkSession, sf_dir: str) -> ClaimsInputs:
+def derive_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The claims-model tables as lazy DataFrames over the driver tables."""
     t = read_tables(spark, sf_dir, ["customer", "orders", "lineitem", "supplier"])
     member = members(t["customer"])
     spans = member_time(t["orders"])
     lines = claim_lines(t["lineitem"], t["orders"])
+    return {
+        "member": member,
+        "member_time": spans,
+        "member_months": member_months(spans),
+        "outclaims": outclaims(lines),
+        "outpharmacy": outpharmacy(lines),
+        "inpdental": inpdental(lines),
+        "providers": providers(t["supplier"]),
+        "foster_care": foster_care(t["orders"], member),
+        "predictions": predictions(t["customer"]),
+    }
+
+
+_STAGED: dict = {}
+
+
+def stage_model(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Write the derived claims model once per session as parquet in the shared folder.
+
+    The measures read the claims model many times (several branches per measure);
+    staging it like an upstream data mart means every branch scans columnar files
+    with pushed-down filters and pruned columns instead of re-deriving lineitem x
+    orders.  The folder lives under the session's checkpoint directory (shared
+    storage on a cluster); a lost executor only loses cached blocks, the files stay.
+    """
+    from qmeasures.session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key in _STAGED:
+        return _STAGED[key]
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
+    base = f"{root}/model-{key[0]}-{tag}"
+    paths = {}
+    for name, df in derive_model(spark, sf_dir).items():
+        path = f"{base}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    _STAGED[key] = paths
+    return paths
+
+
+def load_inputs(spark: SparkSession, sf_dir: str, staged: bool = True) -> ClaimsInputs:
+    """Claims inputs for the driver tables (staged model by default)."""
+    if staged:
+        model = {k: spark.read.parquet(v) for k, v in stage_model(spark, sf_dir).items()}
+    else:
+        model = derive_model(spark, sf_dir)
     return ClaimsInputs(
-        member=member,
-        member_time=spans,
-        member_months=member_months(spans),
-        outclaims=outclaims(lines),
-        outpharmacy=outpharmacy(lines),
-        inpdental=inpdental(lines),
-        providers=providers(t["supplier"]),
+        **model,
         dental_taxonomy=spark.createDataFrame([(c,) for c in ALLOWED_TAXONOMY], "taxonomy_code string"),
-        foster_care=foster_care(t["orders"], member),
-        predictions=predictions(t["customer"]),
         oha_codes=code_table(spark, OHA_CODES),
         hedis_codes=code_table(spark, HEDIS_CODES),
         medications=code_table(spark, MEDICATION_CODES),
-        components=default_components(spark),
+        components=_components(spark),
     )
