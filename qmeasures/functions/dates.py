@@ -48,11 +48,18 @@ def month_end(x, shift: int = 0) -> Column:
 
 
 def in_range(x, lo, hi) -> Column:
-    """Inclusive ``lo <= x <= hi`` that is never NULL."""
+    """Inclusive ``lo <= x <= hi`` that is never NULL (for projections)."""
     x = _c(x)
     return F.coalesce((x >= _c(lo)) & (x <= _c(hi)), F.lit(False))
 
 
+def within(x, lo, hi) -> Column:
+    """Inclusive ``lo <= x <= hi`` for filters: plain comparisons, so the range is pushed
+    to the file scan (partition pruning / row-group statistics); NULL rows drop out."""
+    x = _c(x)
+    return (x >= _c(lo)) & (x <= _c(hi))
+
+
 def shift_date(d: dt.date, days: int = 0, months: int = 0, years: int = 0) -> dt.date:
     """Driver-side constant folding of parameter dates (``same`` alignment)."""
     if months or years:

@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from qmeasures.functions.codes import claims_filter
-from qmeasures.functions.dates import D, age_years, in_range
+from qmeasures.functions.dates import D, age_years, in_range, within
 from qmeasures.functions.text import mmddyyyy, percent0
 from qmeasures.inputs import ClaimsInputs
 from qmeasures.operators.ordered import top_k
+from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
 from qmeasures.schemas import to_result
 
@@ -28,31 +29,52 @@ def _pred(inp, component, frame):
     return claims_filter(inp.oha_codes, MEASURE, component, frame)
 
 
+def relevant_lines(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
+    """One pass over the claim lines: every flag the measure needs, only flagged lines kept.
+
+    The ED, psychiatric-exclusion, inpatient-stay, denied and hospice branches all read
+    this narrow, checkpointed frame instead of scanning the claims table once each.
+    """
+    def memo():
+        c = inp.outclaims
+        ed = _pred(inp, "numer_cpt", c) | _pred(inp, "numer_rev", c) | _pred(inp, "numer_procs", c)
+        flags = {
+            "is_ed": ed,
+            "icddiag_excl": _pred(inp, "numer_excl_mh", c),
+            "is_psych": _pred(inp, "numer_excl_psych", c),
+            "is_ip": _pred(inp, "numer_excl_ip_stay", c),
+            "is_denied": F.coalesce(F.col("prm_denied_yn") == "Y", F.lit(False)),
+            "is_hospice": in_range("prm_fromdate", p.measure_start, p.measure_end)
+            & _pred(inp, "denom_excl_hospice", c),
+        }
+        keep = flags["is_ed"] | flags["is_psych"] | flags["is_ip"] | flags["is_denied"] | flags["is_hospice"]
+        rel = c.filter(keep).select("member_id", "claimid", "prm_fromdate", "prm_line",
+                                    *[v.cast("int").alias(k) for k, v in flags.items()])
+        return materialize(rel)
+    return inp.memo(("ed_lines", p), memo)
+
+
 def hospice_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
-    c = inp.outclaims
-    return (c.filter(in_range("prm_fromdate", p.measure_start, p.measure_end)
-                     & _pred(inp, "denom_excl_hospice", c))
-            .select("member_id").distinct())
+    return relevant_lines(inp, p).filter(F.col("is_hospice") == 1).select("member_id").distinct()
 
 
 def member_months(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     """Member months with medical cover in the year, before the run-out start."""
     mm = inp.member_months
-    return (mm.filter(in_range("elig_month", p.measure_start, p.measure_end)
+    return (mm.filter(within("elig_month", p.measure_start, p.measure_end)
                       & (F.col("elig_month") < D(p.runout_start))
                       & (F.col("cover_medical") == "Y"))
             .groupBy("member_id").agg(F.sum("memmos").alias("memmos")))
 
 
-def inpatient_follow_keys(inp: ClaimsInputs) -> DataFrame:
+def inpatient_follow_keys(rel: DataFrame) -> DataFrame:
     """(member_id, ed_date) pairs that have an inpatient-stay line 0-1 days later.
 
     The range condition ``0 <= ip_date - ed_date <= 1`` is rewritten as an equi-join:
     each inpatient date is expanded to the ED dates it covers (itself and the day
     before), so the join needs no nested loop.
     """
-    c = inp.outclaims
-    ip = c.filter(_pred(inp, "numer_excl_ip_stay", c)).select("member_id", "prm_fromdate").distinct()
+    ip = rel.filter(F.col("is_ip") == 1).select("member_id", "prm_fromdate").distinct()
     offsets = F.sequence(F.lit(0), F.lit(INPATIENT_LAG_DAYS))
     return (ip.select("member_id", F.explode(F.transform(offsets, lambda k: F.date_sub("prm_fromdate", k)))
                       .alias("ed_date"))
@@ -61,15 +83,14 @@ def inpatient_follow_keys(inp: ClaimsInputs) -> DataFrame:
 
 def ed_lines(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     """ED claim lines with their exclusion flags (one row per line)."""
-    c = inp.outclaims
-    lines = c.filter(_pred(inp, "numer_cpt", c) | _pred(inp, "numer_rev", c) | _pred(inp, "numer_procs", c)
-                     ).select("member_id", "prm_fromdate", "prm_line", "claimid",
-                              _pred(inp, "numer_excl_mh", c).cast("int").alias("icddiag_excl"))
-    psych = (c.filter(_pred(inp, "numer_excl_psych", c)).select("member_id", "claimid").distinct()
+    rel = relevant_lines(inp, p)
+    lines = rel.filter(F.col("is_ed") == 1).select("member_id", "prm_fromdate", "prm_line", "claimid",
+                                                   "icddiag_excl")
+    psych = (rel.filter(F.col("is_psych") == 1).select("member_id", "claimid").distinct()
              .withColumn("cpt_exclusion_flag", F.lit(1)))
-    denied = (c.filter(F.col("prm_denied_yn") == "Y").select("member_id", "claimid").distinct()
+    denied = (rel.filter(F.col("is_denied") == 1).select("member_id", "claimid").distinct()
               .withColumn("denied_excl", F.lit(1)))
-    ip = (inpatient_follow_keys(inp).withColumnRenamed("ed_date", "prm_fromdate")
+    ip = (inpatient_follow_keys(rel).withColumnRenamed("ed_date", "prm_fromdate")
           .withColumn("ip_following", F.lit(1)))
     in_year = in_range("prm_fromdate", p.measure_start, p.measure_end).cast("int")
     return (lines.join(psych, ["member_id", "claimid"], "left")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from qmeasures.functions.codes import claims_filter
-from qmeasures.functions.dates import D, age_years, in_range
+from qmeasures.functions.dates import D, age_years, in_range, within
 from qmeasures.functions.text import mmddyyyy
 from qmeasures.inputs import ClaimsInputs
 from qmeasures.operators.empirical import empirical_elig_end
 from qmeasures.operators.intervals import eligibility_gaps
+from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
 from qmeasures.schemas import to_result
 
@@ -20,11 +21,7 @@ MAX_GAPS, MAX_GAP_DAYS = 1, 45
 
 def denominator_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     """member_id, dob, denom_excluded_yn for members passing age and continuity."""
-    codes = inp.hedis_codes
-    claims = inp.outclaims
-    hospice = (claims_filter(codes, MEASURE, "hospice_encounter", claims)
-               | claims_filter(codes, MEASURE, "hospice_intervention", claims))
-    excluded = (claims.filter(in_range("fromdate", p.measure_start, p.measure_end) & hospice)
+    excluded = (relevant_lines(inp, p).filter(F.col("is_hospice") == 1)
                 .select("member_id").distinct().withColumn("_excl", F.lit(1)))
     members = inp.members().filter(age_years("dob", p.measure_end).between(AGE_LOW, AGE_HIGH))
     prep = inp.member_time.select("member_id", "date_start", "date_end").join(members, "member_id")
@@ -39,13 +36,26 @@ def denominator_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
                     F.when(F.col("_excl").isNotNull(), "Y").otherwise("N").alias("denom_excluded_yn")))
 
 
+def relevant_lines(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
+    """One pass over the claim lines: hospice lines of the year and qualifying visits."""
+    def memo():
+        codes = inp.hedis_codes
+        claims = inp.outclaims
+        hospice = (within("fromdate", p.measure_start, p.measure_end)
+                   & (claims_filter(codes, MEASURE, "hospice_encounter", claims)
+                      | claims_filter(codes, MEASURE, "hospice_intervention", claims)))
+        visit = (claims_filter(codes, MEASURE, "well_care", claims)
+                 & ~claims_filter(codes, MEASURE, "telehealth_modifier", claims)
+                 & ~claims_filter(codes, MEASURE, "telehealth_pos", claims))
+        rel = claims.filter(hospice | visit).select(
+            "member_id", "fromdate", F.coalesce(hospice, F.lit(False)).cast("int").alias("is_hospice"),
+            visit.cast("int").alias("is_visit"))
+        return materialize(rel)
+    return inp.memo(("well_child_lines", p), memo)
+
+
 def qualifying_visits(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
-    codes = inp.hedis_codes
-    claims = inp.outclaims
-    visit = (claims_filter(codes, MEASURE, "well_care", claims)
-             & ~claims_filter(codes, MEASURE, "telehealth_modifier", claims)
-             & ~claims_filter(codes, MEASURE, "telehealth_pos", claims))
-    return (claims.filter(visit).groupBy("member_id")
+    return (relevant_lines(inp, p).filter(F.col("is_visit") == 1).groupBy("member_id")
             .agg(F.max("fromdate").alias("most_recent_visit"),
                  F.max(in_range("fromdate", p.measure_start, p.measure_end).cast("int")).alias("numerator")))
 

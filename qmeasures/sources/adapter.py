@@ -325,7 +325,11 @@ def stage_model(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     paths = {}
     for name, df in derive_model(spark, sf_dir).items():
         path = f"{base}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        # claims are written in service-date order within each file so the date ranges
+        # the measures filter on can skip row groups by their min/max statistics
+        order = {"outclaims": "prm_fromdate", "outpharmacy": "prm_fromdate", "inpdental": "fromdate",
+                 "member_time": "date_start", "member_months": "elig_month"}.get(name)
+        (df.sortWithinPartitions(order) if order else df).write.mode("overwrite").parquet(path)
         paths[name] = path
     _STAGED[key] = paths
     return paths
