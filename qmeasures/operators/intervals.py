@@ -17,6 +17,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from qmeasures.functions.dates import D
+from qmeasures.operators.reuse import materialize
 
 
 def _as_col(x) -> Column:
@@ -133,7 +134,7 @@ def anchored_groups(df: DataFrame, keys, order, date_col: str, window_days: int,
     Plan: each pass is one window over the still-unassigned rows: every key group's
     first row anchors, rows up to the first one beyond the anchor's window join it,
     the rest carries over.  Passes = the largest number of groups of one key; each
-    pass's remainder is checkpointed to the shared checkpoint folder so lineage stays
+    pass's remainder is written to the shared checkpoint folder so lineage stays
     flat.  No key group is ever collected into one array or one task's memory.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -150,7 +151,7 @@ def anchored_groups(df: DataFrame, keys, order, date_col: str, window_days: int,
         marked = pending.withColumn("_cut", F.max(beyond).over(upto))
         done.append(marked.filter(F.col("_cut") == 0).drop("_cut")
                     .withColumn(group_col, F.lit(ordinal).cast("long")))
-        pending = marked.filter(F.col("_cut") == 1).drop("_cut").checkpoint(eager=True)
+        pending = materialize(marked.filter(F.col("_cut") == 1).drop("_cut"))
         ordinal += 1
         if pending.isEmpty():
             break

@@ -17,13 +17,18 @@ def reuse(df: DataFrame) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a reused intermediate to the shared checkpoint folder and read it back.
-
-    Cuts lineage (executor loss no longer replays the upstream scans and joins) and
-    turns the frame into a plan leaf, so the several branches that read it are
-    analysed and optimised as small plans.  The folder is the session's
-    ``spark.checkpoint.dir`` (see :func:`qmeasures.session.ensure_checkpoint_dir`).
+    """Write a reused intermediate as parquet in the shared folder and read it back.
+
+    Cuts lineage (a lost executor no longer replays the upstream scans and joins) and
+    turns the frame into a plan leaf, so the branches that read it are planned as
+    small plans and get column pruning / filter pushdown on the re-read.  The plan is
+    computed once (an eager RDD checkpoint of an unpersisted frame computes it twice).
+    The folder is the session's ``spark.checkpoint.dir``
+    (:func:`qmeasures.session.ensure_checkpoint_dir`), i.e. shared storage on a cluster.
     """
+    import uuid
     from qmeasures.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
