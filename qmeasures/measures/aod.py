@@ -210,9 +210,11 @@ def aod_flags(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     # claim-level episode rows are read by five branches (index, history, hospice,
     # initiation, engagement): materialise once
     eps = episode_rows(inp, p)
-    index = index_episodes(eps)
-    denom = denominator(inp, p, eps, eps.filter(F.col("claim_source") == "med"), index)
-    init = initiation(eps, denom)
+    # one row per member each; every later step reads them several times, so they are
+    # written once instead of being re-derived inside each branch of the plan
+    index = materialize(index_episodes(eps))
+    denom = materialize(denominator(inp, p, eps, eps.filter(F.col("claim_source") == "med"), index))
+    init = materialize(initiation(eps, denom))
     engage = engagement(eps, init)
     return (init.join(engage, "member_id", "left")
             .select("member_id",

@@ -141,7 +141,8 @@ def _predictions(inp: ClaimsInputs) -> DataFrame | None:
 
 
 def ed_visits_all(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
-    visits = qualifying_visits(inp, p)
+    # member x visit-date rows, read by the prior-year, numerator and comment branches
+    visits = materialize(qualifying_visits(inp, p))
     denom = member_months(inp, p)
     prior = (visits.filter(F.col("in_current_measure_year") == 0)
              .groupBy("member_id").agg(F.max("min_fromdate").alias("visit_date")))

@@ -115,7 +115,7 @@ def prenatal_postpartum_long(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     """member_id, measure, denominator, numerator (before dropping denominator 0)."""
     # only lines carrying one of these flags matter; they are read by three branches
     flags = relevant_lines(inp)
-    windows = delivery_windows(inp, p, delivery_dates(flags, p))
+    windows = materialize(delivery_windows(inp, p, delivery_dates(flags, p)))
     # member-level flags: any non-live birth line (the +-10 day test is always true) and
     # any hospice line, at any date
     member_flags = (flags.filter(_on("non_live_births") | _on("hospice_encounter") | _on("hospice_intervention"))
