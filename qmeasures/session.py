@@ -19,6 +19,9 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # local runs read single small files: smaller splits give the 8 cores work; on a
+    # cluster the session's own setting (128 MB default) applies
+    "spark.sql.files.maxPartitionBytes": str(8 * 1024 * 1024),
 }
 
 

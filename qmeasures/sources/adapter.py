@@ -7,7 +7,7 @@ can be rebuilt in any SQL engine.  The mapping:
 * member_time  one span per order: first of the order month .. end of month + 2
                (``cover_medical = 'N'`` for status P)
 * member_months  every month start of every span (memmos 1)
-* outclaims    lineitem x orders (claim = order, dates from the order date)
+* outclaims    lineitem x orders (claim = order, dates from the order date); staged once as `lines`
 * outpharmacy  line number 4 of every order
 * inpdental    lines with ``partkey % 10 < 3``
 * providers    supplier (taxonomy ``'TX' || nationkey % 12``)
@@ -285,24 +285,31 @@ def predictions(customer: DataFrame) -> DataFrame:
 
 
 def derive_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The claims-model tables as lazy DataFrames over the driver tables."""
+    """The stageable claims-model tables as lazy DataFrames over the driver tables.
+
+    ``lines`` is the joined claim-line table (lineitem x orders with the helper keys);
+    the medical, pharmacy and dental claim tables are projections of it.
+    """
     t = read_tables(spark, sf_dir, ["customer", "orders", "lineitem", "supplier"])
     member = members(t["customer"])
     spans = member_time(t["orders"])
-    lines = claim_lines(t["lineitem"], t["orders"])
     return {
         "member": member,
         "member_time": spans,
         "member_months": member_months(spans),
-        "outclaims": outclaims(lines),
-        "outpharmacy": outpharmacy(lines),
-        "inpdental": inpdental(lines),
+        "lines": claim_lines(t["lineitem"], t["orders"]),
         "providers": providers(t["supplier"]),
         "foster_care": foster_care(t["orders"], member),
         "predictions": predictions(t["customer"]),
     }
 
 
+def _claim_tables(model: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    lines = model.pop("lines")
+    model.update(outclaims=outclaims(lines), outpharmacy=outpharmacy(lines), inpdental=inpdental(lines))
+    return model
+
+
 _STAGED: dict = {}
 
 
@@ -325,10 +332,9 @@ def stage_model(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     paths = {}
     for name, df in derive_model(spark, sf_dir).items():
         path = f"{base}/{name}"
-        # claims are written in service-date order within each file so the date ranges
-        # the measures filter on can skip row groups by their min/max statistics
-        order = {"outclaims": "prm_fromdate", "outpharmacy": "prm_fromdate", "inpdental": "fromdate",
-                 "member_time": "date_start", "member_months": "elig_month"}.get(name)
+        # claim lines are written in service-date order within each file so the date
+        # ranges the measures filter on can skip row groups by their min/max statistics
+        order = {"lines": "prm_fromdate", "member_time": "date_start", "member_months": "elig_month"}.get(name)
         (df.sortWithinPartitions(order) if order else df).write.mode("overwrite").parquet(path)
         paths[name] = path
     _STAGED[key] = paths
@@ -342,7 +348,7 @@ def load_inputs(spark: SparkSession, sf_dir: str, staged: bool = True) -> Claims
     else:
         model = derive_model(spark, sf_dir)
     return ClaimsInputs(
-        **model,
+        **_claim_tables(model),
         dental_taxonomy=spark.createDataFrame([(c,) for c in ALLOWED_TAXONOMY], "taxonomy_code string"),
         oha_codes=code_table(spark, OHA_CODES),
         hedis_codes=code_table(spark, HEDIS_CODES),
