@@ -1,6 +1,7 @@
 """Benchmark the headline queries.
 
-Runs every measure query plus the combined publication table on
+Stages the claims model derived from the driver tables (timed as ``stage_model``), then
+runs every measure query plus the combined publication table on
 ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) with ``local[$BENCH_CPUS]`` and prints
 one JSON line.  Each query is executed to completion through the ``noop`` sink
 (nothing is collected to the driver); the time covers plan construction (including
@@ -31,9 +32,15 @@ def main() -> None:
     spark = local_session(cpus=cpus, partitions=int(cpus), driver_memory="16g")
     queries = all_queries()
     names = sys.argv[1:] or HEADLINE
-    # warm-up: JVM, parquet footers, code paths (not timed)
-    queries["age_buckets"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # warm-up: JVM start and a first job (not timed)
+    spark.range(1000).selectExpr("sum(id)").collect()
     times = {}
+    # deriving + writing the claims model from the driver tables (input preparation,
+    # done once per session) is timed as its own entry and counted in the total
+    from qmeasures.sources.adapter import stage_model
+    t0 = time.perf_counter()
+    stage_model(spark, sf_dir)
+    times["stage_model"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -329,14 +329,20 @@ def stage_model(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
     base = f"{root}/model-{key[0]}-{tag}"
-    paths = {}
-    for name, df in derive_model(spark, sf_dir).items():
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(item):
+        name, df = item
         path = f"{base}/{name}"
         # claim lines are written in service-date order within each file so the date
         # ranges the measures filter on can skip row groups by their min/max statistics
         order = {"lines": "prm_fromdate", "member_time": "date_start", "member_months": "elig_month"}.get(name)
         (df.sortWithinPartitions(order) if order else df).write.mode("overwrite").parquet(path)
-        paths[name] = path
+        return name, path
+
+    # independent tables: their write jobs run concurrently in the one application
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        paths = dict(pool.map(write, derive_model(spark, sf_dir).items()))
     _STAGED[key] = paths
     return paths
 
