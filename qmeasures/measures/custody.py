@@ -11,6 +11,7 @@ from qmeasures.functions.text import mmddyyyy
 from qmeasures.inputs import ClaimsInputs
 from qmeasures.operators.empirical import empirical_elig_end
 from qmeasures.operators.intervals import eligibility_gaps
+from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
 from qmeasures.schemas import to_result, empty_result
 
@@ -110,7 +111,8 @@ def assessment_flags(inp: ClaimsInputs, p: MeasureParams, denom: DataFrame) -> D
 def dhs_assessments(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     if inp.foster_care is None:
         return empty_result(inp.member.sparkSession)
-    denom = denominator_rows(inp, p)
+    # one row per kept notification, joined with claims, dental lines and the result
+    denom = materialize(denominator_rows(inp, p))
     flags = assessment_flags(inp, p, denom)
     m = denom.join(flags.drop("report_date_age"), ["member_id", "report_date"], "left")
     age = F.col("report_date_age")

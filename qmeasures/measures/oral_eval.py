@@ -10,6 +10,7 @@ from qmeasures.functions.codes import claims_filter
 from qmeasures.functions.dates import D, age_years, shift_date
 from qmeasures.inputs import ClaimsInputs
 from qmeasures.operators.intervals import eligibility_gaps
+from qmeasures.operators.reuse import materialize
 from qmeasures.operators.rollup import max_rollup
 from qmeasures.params import MeasureParams
 from qmeasures.schemas import to_result, empty_result
@@ -127,7 +128,8 @@ def denominator_inputs(inp: ClaimsInputs, p: MeasureParams):
     members = inp.members().withColumn("age", age_years("dob", p.measure_end))
     adults = members.filter(F.col("age") >= MIN_AGE).select("member_id", "age")
     two_years = F.col("prm_fromdate").between(D(shift_date(p.measure_start, years=-1)), D(p.measure_end))
-    periods = period_sums(claim_flags(inp, p, adults)).filter(F.col("time_period").isNotNull())
+    # member x period sums: read by the denominator rule and the exclusion rules
+    periods = materialize(period_sums(claim_flags(inp, p, adults)).filter(F.col("time_period").isNotNull()))
     qualifies = ((F.col("acute_ip_diabetes") >= 1) | (F.col("two_visits_non_tele") >= 2)
                  | ((F.col("two_visits_non_tele") >= 1) & (F.col("two_visits_tele") >= 1)))
     med_members = periods.filter(qualifies).select("member_id").distinct()
