@@ -78,11 +78,10 @@ def episodes(inp: ClaimsInputs, p: MeasureParams, adults: DataFrame) -> tuple[Da
 def index_episodes(eps: DataFrame) -> DataFrame:
     """First episode per member on/after Jan 1, inpatient transfers chained into one stay."""
     ip = eps.filter(F.col("ip_stay") == 1)
-    chained = contiguous_runs(ip, "member_id", "prm_fromdate_case", "prm_todate_case",
-                              order=["prm_fromdate_case", "prm_todate_case"], allow_overlap=True,
-                              run_col="ip_stay_id", first_id=0)
-    stays = chained.groupBy("member_id", "ip_stay_id").agg(
+    stay_of = _stay_ids(ip)
+    stays = stay_of.groupBy("member_id", "ip_stay_id").agg(
         F.min("prm_fromdate_case").alias("_stay_from"), F.max("prm_todate_case").alias("_stay_to"))
+    chained = ip.join(stay_of, ["member_id", "prm_fromdate_case", "prm_todate_case"])
     transfers = (chained.join(stays, ["member_id", "ip_stay_id"])
                  .withColumn("_orig_from", F.col("prm_fromdate_case")).withColumn("_orig_to", F.col("prm_todate_case"))
                  .withColumn("prm_fromdate_case", F.col("_stay_from")).withColumn("prm_todate_case", F.col("_stay_to"))
@@ -109,11 +108,22 @@ def negative_history(eps: DataFrame, index: DataFrame) -> DataFrame:
             .filter((lag > 0) & (lag < HISTORY_DAYS)).select("member_id").distinct())
 
 
+def _stay_ids(ip: DataFrame) -> DataFrame:
+    """Stay id per distinct (member, from, to) inpatient row.
+
+    Identical rows always continue the same stay (their gap is <= 0), so chaining runs
+    over distinct date pairs: the window never sees more rows per member than there
+    are distinct admission/discharge pairs, however many claim rows repeat them.
+    """
+    pairs = ip.select("member_id", "prm_fromdate_case", "prm_todate_case").distinct()
+    return contiguous_runs(pairs, "member_id", "prm_fromdate_case", "prm_todate_case",
+                           order=["prm_fromdate_case", "prm_todate_case"], allow_overlap=True,
+                           run_col="ip_stay_id", first_id=0)
+
+
 def transfer_stays(eps: DataFrame) -> DataFrame:
     """Inpatient stays after chaining transfers: member_id, ip_stay_id, stay_from, stay_to."""
-    chained = contiguous_runs(eps.filter(F.col("ip_stay") == 1), "member_id", "prm_fromdate_case",
-                              "prm_todate_case", order=["prm_fromdate_case", "prm_todate_case"],
-                              allow_overlap=True, run_col="ip_stay_id", first_id=0)
+    chained = _stay_ids(eps.filter(F.col("ip_stay") == 1))
     return chained.groupBy("member_id", "ip_stay_id").agg(F.min("prm_fromdate_case").alias("stay_from"),
                                                          F.max("prm_todate_case").alias("stay_to"))
 

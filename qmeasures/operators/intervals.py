@@ -110,15 +110,32 @@ def coverage_islands(spans: DataFrame, keys, lo: dt.date, hi: dt.date,
 
     Spans overlapping the period are clipped; ordering uses the original span dates;
     a new island starts unless the clipped start is exactly one day after the previous
-    clipped end.  Returns ``keys + [island_id, island_start, island_end, days]``.
+    clipped end (so overlaps and duplicates start new islands).  Returns
+    ``keys + [island_id, island_start, island_end, days]``.
+
+    Plan: identical spans are first counted per ``(keys, start, end)`` (map-side
+    combined), so the ordered window sees at most one row per distinct span: bounded
+    by the calendar, not by how many rows one member has.  ``k`` identical spans act
+    as: the first may continue the previous island, copies 2..k each open an island
+    (the last of which later spans may continue); the extra islands are generated
+    from the count.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     inside = spans.filter((F.col(end) >= D(lo)) & (F.col(start) <= D(hi)))
-    clipped = inside.select(*keys, F.col(start).alias("_os"), F.col(end).alias("_oe"),
-                            F.greatest(F.col(start), D(lo)).alias("_cs"),
-                            F.least(F.col(end), D(hi)).alias("_ce"))
-    runs = contiguous_runs(clipped, keys, "_cs", "_ce", order=["_os", "_oe"], run_col="island_id")
-    return (runs.groupBy(*keys, "island_id")
+    pairs = (inside.groupBy(*keys, F.col(start).alias("_os"), F.col(end).alias("_oe"))
+             .agg(F.count(F.lit(1)).alias("_k"))
+             .withColumn("_cs", F.greatest(F.col("_os"), D(lo)))
+             .withColumn("_ce", F.least(F.col("_oe"), D(hi))))
+    w = Window.partitionBy(*keys).orderBy("_os", "_oe")
+    prev_ce = F.lag("_ce").over(w)
+    new_first = F.when(prev_ce.isNull() | (F.datediff("_cs", prev_ce) != 1), 1).otherwise(0)
+    opened = pairs.withColumn("_open", new_first + F.col("_k") - 1)
+    last_id = F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    ids = opened.withColumn("_last", last_id).withColumn("_first", F.col("_last") - F.col("_k") + 1)
+    # copy 1 -> island _first; copies 2..k -> islands _first+1 .. _last
+    island = F.explode(F.sequence(F.col("_first"), F.col("_last")))
+    rows = ids.select(*keys, "_cs", "_ce", island.alias("island_id"))
+    return (rows.groupBy(*keys, "island_id")
             .agg(F.min("_cs").alias("island_start"), F.max("_ce").alias("island_end"),
                  F.sum(F.datediff("_ce", "_cs") + 1).cast("long").alias("days")))
 

@@ -21,6 +21,9 @@ def _random_spans(seed, members=40):
         for _ in range(rnd.randint(0, 6)):
             s = rnd.randint(-60, 400)
             rows.append((f"m{m}", _d(s), _d(s + rnd.randint(0, 90))))
+            if rnd.random() < 0.3:          # exact duplicates and adjacent follow-ons
+                rows.append(rows[-1])
+                rows.append((f"m{m}", rows[-1][2] + dt.timedelta(days=1), rows[-1][2] + dt.timedelta(days=30)))
     return rows
 
 
@@ -103,6 +106,16 @@ def test_coverage_islands_matches_loop(spark):
         assert sorted(got.get(m, [])) == _loop_islands(spans, lo, hi), m
 
 
+def test_duplicate_spans_open_islands(spark):
+    # three identical spans after an adjacent one: the first continues, the others each open one
+    rows = [("a", "2020-01-01", "2020-01-31")] + [("a", "2020-02-01", "2020-02-29")] * 3 + \
+           [("a", "2020-03-01", "2020-03-31")]
+    frame = df(spark, rows, "member_id string, date_start date, date_end date")
+    got = sorted(r["days"] for r in coverage_islands(frame, "member_id", _d(0), dt.date(2020, 12, 31)).collect())
+    spans = [(dt.date.fromisoformat(s), dt.date.fromisoformat(e)) for _, s, e in rows]
+    assert got == _loop_islands(spans, _d(0), dt.date(2020, 12, 31)) == [29, 31 + 29, 29 + 31]
+
+
 def test_overlap_starts_new_island(spark):
     # literal rule: overlapping spans do not continue an island
     frame = df(spark, [("a", "2020-01-01", "2020-03-31"), ("a", "2020-03-01", "2020-06-30")],
