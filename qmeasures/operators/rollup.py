@@ -15,20 +15,15 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
             if isinstance(f.dataType, NumericType) and f.name.lower() not in skip]
 
 
-def flag_columns(df: DataFrame, codes_by_component: dict, measure_of: dict | None = None,
-                 keep=None) -> DataFrame:
-    """Project one 0/1 column per component next to ``keep`` columns.
+def flag_columns(df: DataFrame, codes: DataFrame, measure: str, components, keep=None) -> DataFrame:
+    """Data-driven flag projection: ``keep`` columns plus one 0/1 column per component.
 
-    ``codes_by_component`` maps component -> code table DataFrame; ``measure_of`` maps
-    component -> measure name used in that code table (default: same for all, taken
-    from the ``measure`` key of ``codes_by_component`` entries given as tuples).
+    The component list usually comes from the mapping files
+    (``ClaimsInputs.component_list``), so the set of flag columns is dynamic.
     """
-    flags = []
-    for comp, spec in codes_by_component.items():
-        codes, measure = spec
-        flags.append(claims_filter(codes, measure, comp, df).cast("int").alias(comp))
     keep = keep if keep is not None else df.columns
-    return df.select(*[F.col(c) for c in keep], *flags)
+    return df.select(*[F.col(c) for c in keep],
+                     *[claims_filter(codes, measure, comp, df).cast("int").alias(comp) for comp in components])
 
 
 def max_rollup(df: DataFrame, keys, flags=None) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from qmeasures.functions.codes import any_versioned_diag, claims_filter, versioned_diag_keys
 from qmeasures.functions.dates import D, age_years
-from qmeasures.measures import aod, custody, dental, ed_visits, oral_eval, prenatal
+from qmeasures.measures import aod, dental, ed_visits, oral_eval, prenatal
 from qmeasures.operators.empirical import elig_end_frequency, empirical_elig_end
 from qmeasures.operators.intervals import coverage_islands, eligibility_gaps
+from qmeasures.operators.rollup import flag_columns
 from qmeasures.plans import oracle_sql as S
 from qmeasures.sources.adapter import DRIVER_PARAMS as P, load_inputs
 from qmeasures.sources.refdata import HEDIS_MAPPING
@@ -25,10 +26,6 @@ def _inp(spark, sf_dir):
     return load_inputs(spark, sf_dir)
 
 
-def _ints(cols):
-    return [F.col(c).cast("int").alias(c) for c in cols]
-
-
 # ---- F1 / F2: predicates and data-driven flags ------------------------------------
 
 def code_predicate_lines(spark, sf_dir) -> DataFrame:
@@ -73,8 +70,7 @@ def component_flags(spark, sf_dir) -> DataFrame:
     inp = _inp(spark, sf_dir)
     c = inp.outclaims
     comps = [x for x, _ in inp.component_list("aod", source="hedis")]
-    return c.select("member_id", "claimid", "prm_fromdate",
-                    *[claims_filter(inp.hedis_codes, "aod", x, c).cast("int").alias(x) for x in comps])
+    return flag_columns(c, inp.hedis_codes, "aod", comps, keep=["member_id", "claimid", "prm_fromdate"])
 
 
 def component_flags_sql() -> str:
