@@ -41,8 +41,10 @@ def sum_rollup(df: DataFrame, keys, flags=None) -> DataFrame:
 
 def measure_rate(results: DataFrame, group_cols=()) -> DataFrame:
     """Rate summary: sums and ``round(sum num / sum den, 4)``; 0 when the denominator is 0."""
-    agg = results.groupBy(*group_cols).agg(F.sum("numerator").alias("sum_numerator"),
-                                           F.sum("denominator").alias("sum_denominator"))
+    # sums are reported at 6 decimals: member contributions are whole numbers or
+    # thousandths, so this is exact and independent of the summation order
+    agg = results.groupBy(*group_cols).agg(F.round(F.sum("numerator"), 6).alias("sum_numerator"),
+                                           F.round(F.sum("denominator"), 6).alias("sum_denominator"))
     rate = F.when(F.col("sum_denominator") > 0,
                   F.round(F.coalesce(F.col("sum_numerator"), F.lit(0.0)) / F.col("sum_denominator"), 4)
                   ).otherwise(F.lit(0.0))

@@ -669,7 +669,8 @@ def stack_sql() -> str:
 
 
 def rate_summary_sql() -> str:
-    return f"""SELECT Measure_Abbreviation, sum(numerator) AS sum_numerator, sum(denominator) AS sum_denominator,
+    return f"""SELECT Measure_Abbreviation, round(sum(numerator), 6) AS sum_numerator,
+    round(sum(denominator), 6) AS sum_denominator,
     CASE WHEN sum(denominator) > 0 THEN round(coalesce(sum(numerator), 0) / sum(denominator), 4) ELSE 0.0 END
     AS measure_rate FROM ({_stack_body()}) GROUP BY Measure_Abbreviation"""
 

@@ -221,3 +221,13 @@ def test_code_predicate_rules(spark):
     assert ids("absent") == []
     never_null = lines.select(claims_filter(table, "m", "grp", lines).alias("p")).filter("p is null").count()
     assert never_null == 0
+
+
+def test_empty_inputs(spark):
+    from qmeasures.operators.reuse import materialize
+    empty = df(spark, [], "member_id string, f date, t date")
+    assert materialize(empty).schema == empty.schema
+    assert anchored_groups(empty, "member_id", ["f", "t"], "t", 60).count() == 0
+    spans = df(spark, [], "member_id string, date_start date, date_end date")
+    assert eligibility_gaps(spans, "member_id", _d(0), _d(30)).count() == 0
+    assert coverage_islands(spans, "member_id", _d(0), _d(30)).count() == 0
