@@ -148,3 +148,14 @@ def test_k23_psych_exclusion_is_per_claim(spark):
     assert _ed(spark, same_claim) == [0.0]
     other_claim = [("a", "2015-03-01", "O1", "c1", "ED", "N"), ("a", "2015-03-01", "O2", "c2", "PSY", "N")]
     assert _ed(spark, other_claim) == [1.0]
+
+
+def test_required_and_optional_sources(spark):
+    """S9/S10: measures needing the dental table or notifications return an empty result without them."""
+    from qmeasures.measures.dental import prev_dental_1_to_5
+    from qmeasures.schemas import RESULT_SCHEMA
+    inp = ClaimsInputs(member=df(spark, [("a", "1980-01-01")], "member_id string, dob date"),
+                       outclaims=df(spark, [], "member_id string, prm_fromdate date, hcpcs string"))
+    for fn in (oral_eval, prev_dental_1_to_5, dhs_assessments):
+        out = fn(inp, P2014)
+        assert out.count() == 0 and [f.name for f in out.schema.fields] == [f.name for f in RESULT_SCHEMA.fields]
