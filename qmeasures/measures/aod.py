@@ -22,7 +22,6 @@ CE_BEFORE, CE_AFTER = 60, 48
 INIT_DAYS = 14          # initiation: 0 <= days < 14
 ENGAGE_DAYS = 34        # engagement: 0 < days <= 34
 NO_VISIT_COMMENT = "No Qualifying Visit"
-MED_FLAGS_OUT = ("alcohol_rx_treatment", "opioid_rxclaim_treatment")
 
 
 def _on(c):

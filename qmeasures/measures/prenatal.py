@@ -24,7 +24,8 @@ RECENT_SEGMENT_DAYS = 219
 SEGMENT_VISIT_DAYS = 42
 PRENATAL_LATE_END = 176
 POSTPARTUM_START, POSTPARTUM_END = 7, 84
-NON_LIVE_BIRTH_DAYS = 10
+# the published +-10 day test around the delivery is joined by OR, so it always holds
+# (any non-live-birth claim excludes); no constant is needed for it
 # components handled outside the generic flag loop (lookup list / no claim codes)
 SKIPPED_COMPONENTS = ("pregnancy_diagnosis", "cervical_cytology_result")
 

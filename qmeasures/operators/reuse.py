@@ -2,20 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
-def reuse(df: DataFrame) -> DataFrame:
-    """Persist (memory, spilling to disk) a frame read by several downstream branches.
-
-    Lost blocks are recomputed from lineage, so executor loss is survivable; used only
-    for narrowed, filtered intermediates (claim-level episode rows, relevant lines),
-    never for raw inputs.
-    """
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write a reused intermediate as parquet in the shared folder and read it back.
 
