@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from qmeasures.functions.codes import claims_filter, versioned_diag_keys, any_versioned_diag
 from qmeasures.functions.dates import D
 from qmeasures.inputs import ClaimsInputs
-from qmeasures.operators.intervals import anchored_groups, contiguous_runs, eligibility_gaps
+from qmeasures.operators.intervals import anchored_groups, coverage_islands, eligibility_gaps
 from qmeasures.operators.ordered import first_row
 from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
@@ -60,12 +60,16 @@ def delivery_dates(flags: DataFrame, p: MeasureParams) -> DataFrame:
 
 
 def enrollment_segments(delivery_spans: DataFrame) -> DataFrame:
-    """Contiguous covered segments per delivery: a new segment unless start = previous end + 1."""
+    """Contiguous covered segments per delivery: a new segment unless start = previous end + 1.
+
+    Same rule as coverage islands without clipping, so it runs on the counted
+    distinct-span form (bounded per member); ids are 0-based.
+    """
     keys = ["member_id", "delivery_date"]
-    segs = contiguous_runs(delivery_spans, keys, "date_start", "date_end", order=["date_start", "date_end"],
-                           run_col="enrollment_segment_id", first_id=0)
-    return segs.groupBy(*keys, "enrollment_segment_id").agg(
-        F.min("date_start").alias("enrollment_segment_start"), F.max("date_end").alias("enrollment_segment_end"))
+    isl = coverage_islands(delivery_spans, keys, None, None)
+    return isl.select(*keys, (F.col("island_id") - 1).cast("long").alias("enrollment_segment_id"),
+                      F.col("island_start").alias("enrollment_segment_start"),
+                      F.col("island_end").alias("enrollment_segment_end"))
 
 
 def relevant_lines(inp: ClaimsInputs) -> DataFrame:

@@ -104,10 +104,12 @@ def contiguous_runs(df: DataFrame, keys, start: str, end: str, order=None,
             .drop("_new"))
 
 
-def coverage_islands(spans: DataFrame, keys, lo: dt.date, hi: dt.date,
+def coverage_islands(spans: DataFrame, keys, lo: dt.date | None, hi: dt.date | None,
                      start: str = "date_start", end: str = "date_end") -> DataFrame:
     """Contiguous coverage islands clipped to ``[lo, hi]`` with their day totals.
 
+    ``lo`` / ``hi`` = None: no clipping on that side (enrollment segments).
+
     Spans overlapping the period are clipped; ordering uses the original span dates;
     a new island starts unless the clipped start is exactly one day after the previous
     clipped end (so overlaps and duplicates start new islands).  Returns
@@ -121,11 +123,15 @@ def coverage_islands(spans: DataFrame, keys, lo: dt.date, hi: dt.date,
     from the count.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    inside = spans.filter((F.col(end) >= D(lo)) & (F.col(start) <= D(hi)))
+    inside = spans.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+    if lo is not None:
+        inside = inside.filter(F.col(end) >= D(lo))
+    if hi is not None:
+        inside = inside.filter(F.col(start) <= D(hi))
     pairs = (inside.groupBy(*keys, F.col(start).alias("_os"), F.col(end).alias("_oe"))
              .agg(F.count(F.lit(1)).alias("_k"))
-             .withColumn("_cs", F.greatest(F.col("_os"), D(lo)))
-             .withColumn("_ce", F.least(F.col("_oe"), D(hi))))
+             .withColumn("_cs", F.greatest(F.col("_os"), D(lo)) if lo is not None else F.col("_os"))
+             .withColumn("_ce", F.least(F.col("_oe"), D(hi)) if hi is not None else F.col("_oe")))
     w = Window.partitionBy(*keys).orderBy("_os", "_oe")
     prev_ce = F.lag("_ce").over(w)
     new_first = F.when(prev_ce.isNull() | (F.datediff("_cs", prev_ce) != 1), 1).otherwise(0)
