@@ -39,7 +39,8 @@ def main():
     qs = all_queries()
     print(f"# Physical plans ({os.path.basename(sf)}, local[8], AQE on)\n")
     print("Generated by `tools/plan_report.py`: final adaptive plans after execution through the noop sink.\n"
-          "Scans list the parquet source, the filters pushed into the scan and the columns read.\n"
+          "Scans list the parquet source, the filters pushed into the scan and the columns read.
+Seconds are single cold runs (the first query also stages the model) on a noisy VM; bench.py gives warmed timings. The plan shape columns are the point of this report.\n"
           "Materialised intermediates (single pass over claims, delivery passes) are separate jobs and "
           "show up here as parquet scans of `stage-*` folders.\n")
     print("| query | sec | shuffles | reused | broadcast joins | sort-merge joins | windows | partial aggs |")
