@@ -4,18 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from qmeasures.llm import simhash
-from qmeasures.llm.common import table
+from qmeasures.llm import bpe, langid, simhash
+from qmeasures.llm.common import fold, table
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2, seed=42)
 
 
+def op8_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs, learn=fold("doc_id", 4) != 2)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op8_bpe_roundtrip": op8_bpe_roundtrip,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {}
