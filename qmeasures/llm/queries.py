@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qmeasures.llm import bpe, langid, simhash
+from qmeasures.llm import bpe, langid, simhash, toxicity
 from qmeasures.llm.common import fold, table
 
 
@@ -16,6 +16,13 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2, seed=42)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.train(docs, table(spark, sf_dir, "labels"), learn=fold("doc_id", 4) != 2)
+    return toxicity.score(docs, net, 0.3).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op8_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -28,6 +35,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_toxicity": op3_toxicity,
     "op8_bpe_roundtrip": op8_bpe_roundtrip,
     "op10_language_id": op10_language_id,
 }
