@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qmeasures.operators.reuse import materialize  # noqa: F401  re-exported
+from qmeasures.session import ensure_checkpoint_dir
 
 BATCH_BYTES = 16 << 20
 
@@ -18,6 +21,11 @@ def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
         spark.conf.set(key, f"{most}b")
 
 
+def scratch(spark: SparkSession, stem: str) -> str:
+    """A new path in the folder that driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -8,8 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qmeasures.llm import bpe, langid, simhash, toxicity
-from qmeasures.llm.common import fold, table
+from qmeasures.llm import bpe, langid, simhash, toxicity, warc
+from qmeasures.llm.common import fold, scratch, table
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.convert_pages(table(spark, sf_dir, "pages"), scratch(spark, "warc")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,10 +39,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_toxicity": op3_toxicity,
     "op8_bpe_roundtrip": op8_bpe_roundtrip,
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, coalesce(url, 'urn:none:') AS url, coalesce(html, '') AS html FROM pages),
+             d AS (SELECT *, sha256(html) AS digest, CAST(octet_length(encode(html)) AS BIGINT) AS bytes FROM p),
+             m AS (SELECT *, CASE WHEN bytes >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS low FROM d)
+        SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id > low THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id > low THEN low END AS refers_to
+        FROM m""",
+}
