@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qmeasures.llm import bpe, langid, simhash, toxicity, warc
+from qmeasures.llm import bpe, langid, lattice, simhash, topk, toxicity, warc
 from qmeasures.llm.common import fold, scratch, table
 
 
@@ -28,6 +28,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op4_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=64.0)
+
+
 def op8_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -42,6 +50,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_lattice_dedup": op4_lattice_dedup,
+    "op7_topk_search": op7_topk_search,
     "op8_bpe_roundtrip": op8_bpe_roundtrip,
     "op10_language_id": op10_language_id,
 }
@@ -55,4 +65,25 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id > low THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id > low THEN low END AS refers_to
         FROM m""",
+    "op4_lattice_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
+                   coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                            AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS ok
+            FROM embeddings),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+              ON a.ok AND b.ok AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+        r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+        n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+        SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id,
+               v.vec_id = c.component_id AS kept
+        FROM v JOIN c ON v.vec_id = c.a LEFT JOIN n ON v.vec_id = n.a""",
+    "op7_topk_search": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+                   FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+                   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
 }
