@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qmeasures.llm import bpe, langid, lattice, simhash, topk, toxicity, warc
+from qmeasures.llm import bpe, kneser, langid, lattice, logbilinear, packing, simhash, topk, toxicity, warc
 from qmeasures.llm.common import fold, scratch, table
 
 
@@ -32,6 +32,15 @@ def op4_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = logbilinear.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+    return found.withColumn("held_out", fold("doc_id", 7) == 2)
+
+
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=64.0)
 
@@ -40,6 +49,10 @@ def op8_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = langid.identify(docs, learn=fold("doc_id", 4) != 2)
@@ -51,8 +64,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_lattice_dedup": op4_lattice_dedup,
+    "op5_quality": op5_quality,
+    "op6_lm_score": op6_lm_score,
     "op7_topk_search": op7_topk_search,
     "op8_bpe_roundtrip": op8_bpe_roundtrip,
+    "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
 }
 
