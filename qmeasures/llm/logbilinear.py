@@ -269,7 +269,7 @@ def _slices(texts: list[bytes], most: int = 4 << 20) -> Iterator[tuple[int, int]
 def train(texts: DataFrame, counts: Counts, dim: int = 24, rounds: int = 2, every: int = 16, batch: int = 1024,
           n_noise: int = 128, rate: float = 0.08, seed: int = 5) -> Model:
     """Average of the models that the tasks train on every ``every``-th token of each text."""
-    spark = texts.sparkSession
+    spark, texts = texts.sparkSession, texts.select("text")
     model = Model.fresh(counts, dim, seed)
     shipped_counts = spark.sparkContext.broadcast(counts)
     for turn in range(rounds):
