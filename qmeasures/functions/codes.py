@@ -30,6 +30,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# FIXED VALUES — code systems that are listed in code tables but have no claim column.
+_NO_CLAIM_COLUMN = {"SNOMEDCT", "LOINC", "RXNORM"}
+# FIXED VALUES — ICD version text of each diagnosis code system.
+_DIAG_VERSION = {"ICD9CM-DIAG": "09", "ICD10CM-DIAG": "10"}
+
+
+class CodeTableError(ValueError):
+    """A code table row that a predicate or lookup cannot use."""
+
+
 _SINGLE_COLUMN = {
     "CPT": "hcpcs",
     "HCPCS": "hcpcs",
@@ -55,6 +65,7 @@ class CodeRow:
     code: str
     grouping_id: str | None
     diag_type: str | None
+    copies: int = 1
 
 
 def _blank_to_none(v):
@@ -81,13 +92,14 @@ def _measure_slice(codes: DataFrame, measure: str) -> dict:
             .select(F.lower(F.trim("component")).alias("component"), "codesystem", "code",
                     *[c if c in codes.columns else F.lit(None).cast("string").alias(c)
                       for c in ("grouping_id", "diag_type")])
-            .distinct()
+            .groupBy("component", "codesystem", "code", "grouping_id", "diag_type")
+            .agg(F.count(F.lit(1)).alias("copies"))
             .collect())
     by_comp = defaultdict(list)
     for r in rows:
         by_comp[r["component"]].append(
             CodeRow(str(r["codesystem"]).strip().upper(), str(r["code"]).strip(),
-                    _blank_to_none(r["grouping_id"]), _blank_to_none(r["diag_type"])))
+                    _blank_to_none(r["grouping_id"]), _blank_to_none(r["diag_type"]), r["copies"]))
     _MEASURE_CACHE[key] = (codes, dict(by_comp))
     return _MEASURE_CACHE[key][1]
 
@@ -136,8 +148,9 @@ def _codesystem_term(codesystem: str, rows: list[CodeRow], columns) -> Column:
     if cs.endswith("-PROC"):
         codes = {r.code for r in rows}
         return _any([_isin(c, codes) for c in _numbered(columns, "icdproc")])
-    # code systems without a claim column (SNOMEDCT, LOINC, RXNORM) never match a claim line
-    return F.lit(False)
+    if cs in _NO_CLAIM_COLUMN:
+        return F.lit(False)
+    raise CodeTableError(f"code system {codesystem!r} is not known")
 
 
 def predicate_from_rows(rows: list[CodeRow], columns) -> Column:
@@ -178,27 +191,40 @@ def code_set(codes: DataFrame, measure: str, component: str, codesystems=None) -
                    if wanted is None or r.codesystem in wanted})
 
 
-def versioned_diag_keys(codes: DataFrame, measure: str, component: str) -> list[str]:
-    """``<version>|<code>`` keys for ICD diagnosis codes ('09' for ICD-9, '10' for ICD-10)."""
-    out = set()
-    for r in code_rows(codes, measure, component):
-        if r.codesystem == "ICD9CM-DIAG":
-            out.add("09|" + r.code)
-        elif r.codesystem == "ICD10CM-DIAG":
-            out.add("10|" + r.code)
-    return sorted(out)
+def versioned_diag_codes(codes: DataFrame, measure: str, component: str,
+                         only: tuple[str, ...] | None = None) -> dict[str, list[str]]:
+    """ICD version ('09' / '10') -> diagnosis codes of a lookup list.
+
+    The key (code, version) must be unique: a repeated row raises.  ``only`` names the
+    code systems the whole component may use; any other row raises instead of being
+    left out.
+    """
+    rows = code_rows(codes, measure, component)
+    if only is not None:
+        wrong = sorted({r.codesystem for r in rows} - {c.upper() for c in only})
+        if wrong:
+            raise CodeTableError(f"{measure}/{component}: code systems {wrong} are not supported in this list")
+    out: dict[str, list[str]] = {}
+    for r in rows:
+        if r.codesystem in _DIAG_VERSION:
+            out.setdefault(_DIAG_VERSION[r.codesystem], []).extend([r.code] * r.copies)
+    for version, found in out.items():
+        if len(set(found)) < len(found):
+            twice = sorted({c for c in found if found.count(c) > 1})
+            raise CodeTableError(f"{measure}/{component}: version {version} lists {twice} more than once")
+    return {v: sorted(c) for v, c in out.items()}
 
 
-def any_versioned_diag(frame, keys: list[str], version_col: str = "icdversion") -> Column:
-    """True when any diagnosis of the line, paired with the line's ICD version, is in ``keys``.
+def any_versioned_diag(frame, by_version: dict[str, list[str]], version_col: str = "icdversion") -> Column:
+    """True when any diagnosis of the line is in the list of the line's ICD version.
 
     This is the lookup form used for large diagnosis lists: the version is part of
-    the key (unlike :func:`claims_filter`).
+    the key (unlike :func:`claims_filter`).  One hashed set per version and column; no
+    key strings are built.
     """
     columns = frame.columns if isinstance(frame, DataFrame) else list(frame)
     diags = _numbered(columns, "icddiag")
-    if not keys or version_col not in columns:
+    if not by_version or version_col not in columns:
         return F.lit(False)
-    return _any([F.coalesce(F.concat_ws("|", F.col(version_col), F.col(c)).isin(keys)
-                            & F.col(c).isNotNull() & (F.col(c) != ""), F.lit(False))
-                 for c in diags])
+    return _any([F.coalesce(F.col(version_col) == version, F.lit(False)) & _any([_isin(c, listed) for c in diags])
+                 for version, listed in sorted(by_version.items())])

@@ -46,7 +46,9 @@ def claim_flags(inp: ClaimsInputs, p: MeasureParams, adults: DataFrame) -> tuple
     per_claim = (lines.groupBy("member_id", "prm_fromdate_case", "prm_todate_case", "claimid")
                  .agg(F.max("prm_fromdate").alias("prm_fromdate"), F.max("days_since_ips").alias("days_since_ips"),
                       *[F.max(c).alias(c) for c in comps]))
-    return per_claim, comps
+    # the claim's dates are maxima over all its lines, so claims are dropped only after the
+    # roll-up; a claim without any flag contributes nothing to any branch
+    return per_claim.filter(F.greatest(*[F.col(c) for c in comps], F.lit(0)) > 0), comps
 
 
 def episodes(inp: ClaimsInputs, p: MeasureParams, adults: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -58,6 +60,7 @@ def episodes(inp: ClaimsInputs, p: MeasureParams, adults: DataFrame) -> tuple[Da
         F.col("prm_fromdate").alias("prm_fromdate_case"), F.col("prm_fromdate").alias("prm_todate_case"),
         claims_filter(inp.medications, MEASURE, "alcohol_treatment_meds", pharm).cast("int").alias("alcohol_rx_treatment"),
         claims_filter(inp.medications, MEASURE, "opioid_treatment_meds", pharm).cast("int").alias("opioid_rxclaim_treatment"))
+    rx = rx.filter((F.col("alcohol_rx_treatment") == 1) | (F.col("opioid_rxclaim_treatment") == 1))
     both = (med.withColumn("claim_source", F.lit("med"))
             .unionByName(rx.withColumn("claim_source", F.lit("rx")), allowMissingColumns=True))
     visit = (_on("iet_standalone_visits") | (_on("iet_visits_grp_1") & _on("iet_pos_grp_1"))
@@ -244,7 +247,7 @@ def _result(flags: DataFrame, p: MeasureParams, num: str, den: str) -> DataFrame
 
 
 def _flags(inp, p):
-    return inp.memo(("aod_flags", p), lambda: aod_flags(inp, p))
+    return inp.memo(("aod_flags", p.key()), lambda: materialize(aod_flags(inp, p)))
 
 
 def aod_init(inp: ClaimsInputs, p: MeasureParams, flags: DataFrame | None = None) -> DataFrame:

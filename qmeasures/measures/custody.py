@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from qmeasures.functions.codes import claims_filter, code_set, versioned_diag_keys, any_versioned_diag
+from qmeasures.functions.codes import any_versioned_diag, claims_filter, code_set, versioned_diag_codes
 from qmeasures.functions.dates import D, age_years, shift_date
 from qmeasures.functions.text import mmddyyyy
 from qmeasures.inputs import ClaimsInputs
@@ -69,13 +69,14 @@ def assessment_flags(inp: ClaimsInputs, p: MeasureParams, denom: DataFrame) -> D
     dent = claims_filter(codes, MEASURE, "numerator_dental", c)
     prts = claims_filter(codes, MEASURE, "numerator_prts", c)
     combined_cpt = code_set(codes, MEASURE, "numerator_physment", ["CPT"])
-    mh_keys = versioned_diag_keys(codes, MEASURE, "numerator_physment")
+    mh_codes = versioned_diag_codes(codes, MEASURE, "numerator_physment")
     lines = (c.filter(F.col("prm_fromdate").between(D(p.measure_start), D(p.measure_end))
                       & (phys | ment | dent | prts))
              .select("member_id", "prm_fromdate",
                      phys.alias("_phys"), ment.alias("_ment"), dent.alias("_dent"), prts.alias("_prts"),
                      (F.coalesce(F.col("hcpcs").isin(combined_cpt), F.lit(False))
-                      & any_versioned_diag(c, mh_keys)).alias("_physment")))
+                      & any_versioned_diag(c, mh_codes)).alias("_physment"))
+             .distinct())  # bounded by the calendar before the join with the notifications
     j = lines.join(denom.select("member_id", "report_date", "report_date_age",
                                 "report_date_minus_30", "report_date_plus_60"), "member_id")
     in_win = F.col("prm_fromdate").between(F.col("report_date_minus_30"), F.col("report_date_plus_60"))
@@ -94,7 +95,7 @@ def assessment_flags(inp: ClaimsInputs, p: MeasureParams, denom: DataFrame) -> D
         dt_ = inp.inpdental
         ddent = claims_filter(codes, MEASURE, "numerator_dental", dt_)
         dlines = (dt_.filter(F.col("fromdate").between(D(p.measure_start), D(p.measure_end)) & ddent)
-                  .select("member_id", F.col("fromdate").alias("prm_fromdate")))
+                  .select("member_id", F.col("fromdate").alias("prm_fromdate")).distinct())
         dj = dlines.join(denom.select("member_id", "report_date", "report_date_age",
                                       "report_date_minus_30", "report_date_plus_60"), "member_id")
         flagged = flagged.unionByName(dj.select(

@@ -43,15 +43,21 @@ def relevant_lines(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
             "icddiag_excl": _pred(inp, "numer_excl_mh", c),
             "is_psych": _pred(inp, "numer_excl_psych", c),
             "is_ip": _pred(inp, "numer_excl_ip_stay", c),
-            "is_denied": F.coalesce(F.col("prm_denied_yn") == "Y", F.lit(False)),
             "is_hospice": in_range("prm_fromdate", p.measure_start, p.measure_end)
             & _pred(inp, "denom_excl_hospice", c),
         }
-        keep = flags["is_ed"] | flags["is_psych"] | flags["is_ip"] | flags["is_denied"] | flags["is_hospice"]
+        keep = flags["is_ed"] | flags["is_psych"] | flags["is_ip"] | flags["is_hospice"]
         rel = c.filter(keep).select("member_id", "claimid", "prm_fromdate", "prm_line",
                                     *[v.cast("int").alias(k) for k, v in flags.items()])
         return materialize(rel)
-    return inp.memo(("ed_lines", p), memo)
+    return inp.memo(("ed_lines", p.key()), memo)
+
+
+def denied_ed_claims(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
+    """ED claims with a denied line; denials of other claims never leave the scan's semi-join."""
+    ed_claims = relevant_lines(inp, p).filter(F.col("is_ed") == 1).select("member_id", "claimid").distinct()
+    denied = inp.outclaims.filter(F.col("prm_denied_yn") == "Y").select("member_id", "claimid").distinct()
+    return denied.join(ed_claims, ["member_id", "claimid"], "left_semi")
 
 
 def hospice_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
@@ -88,8 +94,7 @@ def ed_lines(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
                                                    "icddiag_excl")
     psych = (rel.filter(F.col("is_psych") == 1).select("member_id", "claimid").distinct()
              .withColumn("cpt_exclusion_flag", F.lit(1)))
-    denied = (rel.filter(F.col("is_denied") == 1).select("member_id", "claimid").distinct()
-              .withColumn("denied_excl", F.lit(1)))
+    denied = denied_ed_claims(inp, p).withColumn("denied_excl", F.lit(1))
     ip = (inpatient_follow_keys(rel).withColumnRenamed("ed_date", "prm_fromdate")
           .withColumn("ip_following", F.lit(1)))
     in_year = in_range("prm_fromdate", p.measure_start, p.measure_end).cast("int")
@@ -190,7 +195,7 @@ def mental_illness_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
 
 
 def ed_visits_mi(inp: ClaimsInputs, p: MeasureParams, ed_all: DataFrame | None = None) -> DataFrame:
-    ed_all = ed_all if ed_all is not None else inp.memo(("ed_all", p), lambda: ed_visits_all(inp, p))
+    ed_all = ed_all if ed_all is not None else inp.memo(("ed_all", p.key()), lambda: ed_visits_all(inp, p))
     out = mental_illness_members(inp, p).join(ed_all, "member_id").select(
         "member_id", F.coalesce("numerator", F.lit(0.0)).alias("numerator"), "denominator",
         "comments", "comp_quality_date_actionable")

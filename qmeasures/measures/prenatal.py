@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from qmeasures.functions.codes import claims_filter, versioned_diag_keys, any_versioned_diag
+from qmeasures.functions.codes import any_versioned_diag, claims_filter, versioned_diag_codes
 from qmeasures.functions.dates import D
 from qmeasures.inputs import ClaimsInputs
 from qmeasures.operators.intervals import anchored_groups, coverage_islands, eligibility_gaps
@@ -42,11 +42,11 @@ def intake_period(p: MeasureParams):
 def line_flags(inp: ClaimsInputs) -> DataFrame:
     c = inp.outclaims
     comps = [x for x, _ in inp.component_list(MEASURE, exclude=SKIPPED_COMPONENTS)]
-    preg_keys = [k for k in versioned_diag_keys(inp.hedis_codes, MEASURE, "pregnancy_diagnosis")
-                 if k.startswith("10|")]
+    # the list must be ICD-10 diagnoses throughout; anything else stops the run
+    pregnancy = versioned_diag_codes(inp.hedis_codes, MEASURE, "pregnancy_diagnosis", only=("ICD10CM-Diag",))
     return c.select("member_id", "prm_fromdate", "prm_todate",
                     *[claims_filter(inp.hedis_codes, MEASURE, x, c).cast("int").alias(x) for x in comps],
-                    any_versioned_diag(c, preg_keys).cast("int").alias("pregnancy_diagnosis"))
+                    any_versioned_diag(c, pregnancy).cast("int").alias("pregnancy_diagnosis"))
 
 
 def delivery_dates(flags: DataFrame, p: MeasureParams) -> DataFrame:
@@ -54,8 +54,10 @@ def delivery_dates(flags: DataFrame, p: MeasureParams) -> DataFrame:
     lo, hi = intake_period(p)
     deliveries = (flags.filter((F.col("deliveries") == 1) & F.col("prm_todate").between(D(lo), D(hi)))
                   .select("member_id", "prm_fromdate", "prm_todate").distinct())
+    # every group takes at least DELIVERY_GROUP_DAYS + 1 days of the intake period
+    most = (hi - lo).days // (DELIVERY_GROUP_DAYS + 1) + 1
     grouped = anchored_groups(deliveries, "member_id", ["prm_fromdate", "prm_todate"], "prm_todate",
-                              DELIVERY_GROUP_DAYS, group_col="delivery_id")
+                              DELIVERY_GROUP_DAYS, group_col="delivery_id", max_groups=most)
     return grouped.groupBy("member_id", "delivery_id").agg(F.max("prm_todate").alias("delivery_date"))
 
 
@@ -130,8 +132,9 @@ def prenatal_postpartum_long(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     prenatal_visit = _on("prenatal_bundled") | _on("standalone_prenatal") | (_on("prenatal_visits") & _on("pregnancy_diagnosis"))
     postpartum_visit = ((_on("postpartum_visits") | _on("cervical_cytology_lab") | _on("postpartum_bundled"))
                         & ~(_on("acute_inpatient") | _on("acute_inpatient_pos")))
-    visits = (flags.filter(prenatal_visit | postpartum_visit)
-              .select("member_id", "prm_todate", prenatal_visit.alias("_pre"), postpartum_visit.alias("_post")))
+    # one row per member and day before the join with the deliveries: bounded by the calendar
+    visits = (flags.filter(prenatal_visit | postpartum_visit).groupBy("member_id", "prm_todate")
+              .agg(F.max(prenatal_visit).alias("_pre"), F.max(postpartum_visit).alias("_post")))
     timed = (visits.join(windows.select("member_id", "delivery_date", "prenatal_care_start_date",
                                         "prenatal_care_end_date", "postpartum_care_start_date",
                                         "postpartum_care_end_date"), "member_id")
@@ -155,7 +158,7 @@ def prenatal_postpartum_long(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
 
 
 def _published(inp, p, measure):
-    long = inp.memo(("prenatal_long", p), lambda: prenatal_postpartum_long(inp, p))
+    long = inp.memo(("prenatal_long", p.key()), lambda: materialize(prenatal_postpartum_long(inp, p)))
     return to_result(long.filter((F.col("measure") == measure) & (F.col("denominator") != 0)))
 
 

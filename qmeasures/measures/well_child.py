@@ -51,7 +51,7 @@ def relevant_lines(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
             "member_id", "fromdate", F.coalesce(hospice, F.lit(False)).cast("int").alias("is_hospice"),
             visit.cast("int").alias("is_visit"))
         return materialize(rel)
-    return inp.memo(("well_child_lines", p), memo)
+    return inp.memo(("well_child_lines", p.key()), memo)
 
 
 def qualifying_visits(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:

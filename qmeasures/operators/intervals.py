@@ -13,6 +13,7 @@ All spans are inclusive ``[start, end]`` DATE pairs.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -147,38 +148,47 @@ def coverage_islands(spans: DataFrame, keys, lo: dt.date | None, hi: dt.date | N
 
 
 def anchored_groups(df: DataFrame, keys, order, date_col: str, window_days: int,
-                    group_col: str = "group_id") -> DataFrame:
+                    group_col: str = "group_id", max_groups: int | None = None) -> DataFrame:
     """Anchored grouping: the first row opens a group that ends at ``date + window_days``.
 
     Rows are taken in ``order``; a row whose ``date_col`` lies after the open group's
     window end opens the next group (and becomes its anchor).  The window is fixed by
     the anchor, not sliding, so this is not a session window.
 
-    Plan: each pass is one window over the still-unassigned rows: every key group's
-    first row anchors, rows up to the first one beyond the anchor's window join it,
-    the rest carries over.  Passes = the largest number of groups of one key; each
-    pass's remainder is written to the shared checkpoint folder so lineage stays
-    flat.  No key group is ever collected into one array or one task's memory.
+    Plan: with ``max_groups`` (a bound that follows from the dates, e.g. period length
+    over window length) the passes are a chain of windows over one partitioning and one
+    order, so there is one shuffle and no action; a row still without a group after the
+    last pass raises an error when the plan runs.  Without a bound, the rows left over
+    by each pass are written to the shared folder and the passes go on until none is
+    left.  No key group is ever collected into one array.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c) if isinstance(c, str) else c for c in order])
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    pending = df
-    done = []
-    ordinal = 0
+    if max_groups is not None:
+        out = df.withColumn(group_col, F.lit(None).cast("long"))
+        for ordinal in range(max_groups):
+            out = _anchor_pass(out, group_col, date_col, window_days, ordinal, whole, upto)
+        left_over = F.raise_error(F.lit(f"rows beyond {max_groups} anchored groups")).cast("long")
+        return out.withColumn(group_col, F.coalesce(F.col(group_col), left_over))
+    pending, done, ordinal = df.withColumn(group_col, F.lit(None).cast("long")), [], 0
     while True:
-        anchor_end = F.date_add(F.first(F.col(date_col)).over(whole), window_days)
-        beyond = F.coalesce((F.col(date_col) > anchor_end), F.lit(False)).cast("int")
-        marked = pending.withColumn("_cut", F.max(beyond).over(upto))
-        done.append(marked.filter(F.col("_cut") == 0).drop("_cut")
-                    .withColumn(group_col, F.lit(ordinal).cast("long")))
-        pending = materialize(marked.filter(F.col("_cut") == 1).drop("_cut"))
+        marked = materialize(_anchor_pass(pending, group_col, date_col, window_days, ordinal, whole, upto))
+        done.append(marked.filter(F.col(group_col).isNotNull()))
+        pending = marked.filter(F.col(group_col).isNull())
         ordinal += 1
         if pending.isEmpty():
-            break
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+            return reduce(DataFrame.unionByName, done)
+
+
+def _anchor_pass(df: DataFrame, group_col: str, date_col: str, window_days: int, ordinal: int, whole, upto) -> DataFrame:
+    """Give group ``ordinal`` to the open rows up to the first one beyond the first open row's window."""
+    is_open = F.col(group_col).isNull()
+    # rows without a date never end a window, and a group they open has none
+    first = F.first(F.when(is_open, F.struct(F.col(date_col).alias("d"))), ignorenulls=True).over(whole)
+    anchored = df.withColumn("_end", F.date_add(first["d"], window_days))
+    beyond = F.coalesce(is_open & (F.col(date_col) > F.col("_end")), F.lit(False)).cast("int")
+    cut = anchored.withColumn("_cut", F.max(beyond).over(upto))
+    return cut.withColumn(group_col, F.when(is_open & (F.col("_cut") == 0), F.lit(ordinal).cast("long"))
+                          .otherwise(F.col(group_col))).drop("_end", "_cut")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_WRITTEN: dict[str, list[str]] = {}  # application -> folders written
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -20,4 +22,19 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediates this application wrote; frames built on them end with it.
+
+    Call it when a run's results are written.  Only folders made by :func:`materialize`
+    are touched.  Returns how many were deleted.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    return len(paths)

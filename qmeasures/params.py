@@ -44,6 +44,10 @@ class MeasureParams:
     def for_year(cls, year: int, date_latestpaid: dt.date, **kw) -> "MeasureParams":
         return cls(measure_start=dt.date(year, 1, 1), date_latestpaid=date_latestpaid, **kw)
 
+    def key(self) -> tuple:
+        """Identity of a run for shared intermediates; ``extra`` counts."""
+        return (self, tuple(sorted((k, repr(v)) for k, v in self.extra.items())))
+
     def with_(self, **kw) -> "MeasureParams":
         return replace(self, **kw)
 

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from qmeasures.operators.rollup import measure_rate
+from qmeasures.plans.validate import raise_violations, target_checks
 from qmeasures.schemas import RESULT_SCHEMA
 from qmeasures.sources import refdata
 
@@ -85,7 +86,9 @@ def combine_results(results: dict, abbreviations: DataFrame, targets: DataFrame,
     stacked = stack_results(results)
     ref = with_ordinal(abbreviations).select(F.upper("measure_abbreviation").alias("_k"),
                                              F.col("measure_abbreviation").alias("comp_quality_short"))
-    roster = roster.select("member_id", "mem_report_hier_1")
+    # one row per member, so a member listed twice is not published twice; members listed
+    # with different hierarchies are reported by validate.roster_checks
+    roster = roster.groupBy("member_id").agg(F.min("mem_report_hier_1").alias("mem_report_hier_1"))
     decorated = (stacked.join(roster, "member_id")
                  .join(ref, F.upper(F.col("Measure_Abbreviation")) == F.col("_k"), "left"))
     return decorated.select(
@@ -99,6 +102,7 @@ def combine_results(results: dict, abbreviations: DataFrame, targets: DataFrame,
 
 def measure_reference(abbreviations: DataFrame, targets: DataFrame) -> DataFrame:
     ab = with_ordinal(abbreviations)
+    raise_violations(target_checks(targets))  # a repeated target would repeat the measure
     t = targets.select(F.upper("measure_name_short").alias("_k"), "measure_direction", "measure_target_value")
     j = ab.join(t, F.upper("measure_abbreviation") == F.col("_k"), "left")
     return j.select(
@@ -107,7 +111,7 @@ def measure_reference(abbreviations: DataFrame, targets: DataFrame) -> DataFrame
         F.col("measure_direction").alias("comp_quality_direction"),
         F.col("measure_target_value").alias("comp_quality_target_value"),
         F.col("measure_format").alias("comp_quality_format_code"),
-        F.col("measure_calculation_type").alias("comp_quality_calculation_type"))
+        F.col("measure_calculation_type").alias("comp_quality_calculation_type")).orderBy("comp_quality_dual")
 
 
 def rate_summary(results: dict) -> DataFrame:

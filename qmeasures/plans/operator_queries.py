@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from qmeasures.functions.codes import any_versioned_diag, claims_filter, versioned_diag_keys
+from qmeasures.functions.codes import any_versioned_diag, claims_filter, versioned_diag_codes
 from qmeasures.functions.dates import D, age_years
 from qmeasures.measures import aod, dental, ed_visits, oral_eval, prenatal
 from qmeasures.operators.empirical import elig_end_frequency, empirical_elig_end
@@ -270,7 +270,7 @@ SELECT m.member_id FROM mem m WHERE NOT EXISTS (SELECT 1 FROM member_months x WH
 def diag_lookup(spark, sf_dir) -> DataFrame:
     inp = _inp(spark, sf_dir)
     c = inp.outclaims
-    keys = versioned_diag_keys(inp.oha_codes, DHS, "numerator_physment")
+    keys = versioned_diag_codes(inp.oha_codes, DHS, "numerator_physment")
     return c.filter(any_versioned_diag(c, keys)).select("member_id", "claimid", "prm_fromdate", "icdversion")
 
 

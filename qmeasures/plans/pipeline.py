@@ -21,14 +21,14 @@ from qmeasures.sources.reference import write_results
 
 def run_pipeline(inputs: ClaimsInputs, params: MeasureParams, registry: MeasureRegistry,
                  abbreviations: DataFrame, targets: DataFrame, roster: DataFrame, out_dir: str) -> dict:
-    """Write ``results_<measure>``, ``oha_stacked_results_raw``, ``quality_measures`` and
+    """Write ``results_<measure>``, ``stacked_results_raw``, ``quality_measures`` and
     ``ref_quality_measures`` as parquet under ``out_dir``; return the rate summary rows."""
     results = registry.run(inputs, params)
     paths = write_results(results, out_dir)
     # later steps read the written result tables, not the measure plans again
     spark = abbreviations.sparkSession
     written = {name: spark.read.parquet(path) for name, path in paths.items()}
-    stack_results(written).write.mode("overwrite").parquet(os.path.join(out_dir, "oha_stacked_results_raw.parquet"))
+    stack_results(written).write.mode("overwrite").parquet(os.path.join(out_dir, "stacked_results_raw.parquet"))
     combine_results(written, abbreviations, targets, roster).write.mode("overwrite").parquet(
         os.path.join(out_dir, "quality_measures.parquet"))
     measure_reference(abbreviations, targets).write.mode("overwrite").parquet(

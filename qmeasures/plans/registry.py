@@ -4,8 +4,9 @@ A measure is ``fn(inputs, params) -> DataFrame`` returning at least the
 ``RESULT_SCHEMA`` columns (member_id, denominator, numerator, comments,
 comp_quality_date_actionable).  Measures are keyed by their published abbreviation;
 registering an existing key replaces it (custom measures run after the standard ones
-and may overwrite a result).  The registry only orders the work: every measure is a
-lazy DataFrame plan, evaluated when the combined table is written.
+and may overwrite a result); names compare case-insensitively.  Running a measure writes
+the intermediates it shares between branches to the checkpoint folder at once; the
+result itself is a lazy DataFrame over them.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from collections import OrderedDict
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from qmeasures.inputs import ClaimsInputs
 from qmeasures.params import MeasureParams
@@ -31,6 +32,18 @@ def check_result_schema(name: str, df: DataFrame) -> None:
     missing = [f.name for f in RESULT_SCHEMA.fields if f.name.lower() not in have and f.name != "comments"]
     if missing:
         raise SchemaMismatch(f"measure {name!r} lacks result columns {missing}")
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    wrong = [f"{f.name} is {kinds[f.name.lower()].simpleString()}" for f in RESULT_SCHEMA.fields
+             if f.name.lower() in kinds and not _fits(f.name, kinds[f.name.lower()])]
+    if wrong:
+        raise SchemaMismatch(f"measure {name!r}: {', '.join(wrong)}")
+
+
+def _fits(column: str, kind: T.DataType) -> bool:
+    if isinstance(kind, T.NullType):
+        return column not in ("member_id", "numerator", "denominator")
+    allowed = {"member_id": (T.StringType,), "comments": (T.StringType,), "comp_quality_date_actionable": (T.DateType,)}
+    return isinstance(kind, allowed.get(column, (T.NumericType,)))
 
 
 class MeasureRegistry:
@@ -40,24 +53,23 @@ class MeasureRegistry:
         self._enabled: set[str] = set()
 
     def register(self, name: str, fn: MeasureFn, optional: bool = False) -> "MeasureRegistry":
-        if name in self._measures:
-            del self._measures[name]  # a later registration overrides (and runs later)
+        # a later registration overrides (and runs later); its spelling of the name is used
+        for old in [n for n in self._measures if n.upper() == name.upper()]:
+            del self._measures[old]
         self._measures[name] = fn
-        if optional:
-            self._optional.add(name)
-        else:
-            self._optional.discard(name)
+        (self._optional.add if optional else self._optional.discard)(name.upper())
         return self
 
     def enable(self, *names: str) -> "MeasureRegistry":
-        unknown = [n for n in names if n not in self._measures]
+        known = {n.upper() for n in self._measures}
+        unknown = [n for n in names if n.upper() not in known]
         if unknown:
             raise KeyError(f"unknown measures {unknown}")
-        self._enabled.update(names)
+        self._enabled.update(n.upper() for n in names)
         return self
 
     def active(self) -> list[str]:
-        return [n for n in self._measures if n not in self._optional or n in self._enabled]
+        return [n for n in self._measures if n.upper() not in self._optional or n.upper() in self._enabled]
 
     def run(self, inputs: ClaimsInputs, params: MeasureParams) -> "OrderedDict[str, DataFrame]":
         out: "OrderedDict[str, DataFrame]" = OrderedDict()

@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from qmeasures.schemas import COMMENT_LENGTH
+
 # FIXED VALUES — code systems a code table may use.
 ALLOWED_CODESYSTEMS = ["CPT", "HCPCS", "ICD9CM-Proc", "ICD9CM-Diag", "ICD10CM-Proc", "ICD10CM-Diag", "UBREV",
                        "UBTOB", "POS", "NDC", "CDT", "MODIFIER", "SNOMEDCT", "DENTAL", "TOOTH", "LOINC", "RXNORM"]
@@ -20,7 +22,18 @@ DIAG_TYPES = ["", "All", "Primary", "Secondary"]
 
 
 class ReferenceError_(AssertionError):
-    pass
+    """Failed checks; ``violations`` holds every violating row."""
+
+    def __init__(self, message: str, violations: DataFrame):
+        super().__init__(message)
+        self.violations = violations
+
+
+def raise_violations(violations: DataFrame) -> None:
+    """Raise when there is any violation: counts by rule in the message, all rows attached."""
+    counts = violations.groupBy("rule").count().orderBy("rule").collect()  # one row per rule
+    if counts:
+        raise ReferenceError_("checks failed: " + ", ".join(f"{r['rule']}: {r['count']}" for r in counts), violations)
 
 
 def _v(df: DataFrame, rule: str, key: F.Column, detail: F.Column | None = None) -> DataFrame:
@@ -48,8 +61,8 @@ def code_table_checks(codes: DataFrame, abbreviations: DataFrame) -> DataFrame:
     bad_measure = codes.join(allowed_measures, "measure", "left_anti")
     checks = [
         _v(bad_measure, "measure_known", F.col("measure"), F.col("component")),
-        _v(codes.filter(~F.col("codesystem").isin(ALLOWED_CODESYSTEMS)), "codesystem_allowed",
-           F.col("codesystem"), F.col("code")),
+        _v(codes.filter(~F.coalesce(F.col("codesystem").isin(ALLOWED_CODESYSTEMS), F.lit(False))), "codesystem_allowed",
+           F.coalesce("codesystem", F.lit("(none)")), F.col("code")),
     ]
     grouped = codes.select("measure", "component", "grouping_id").distinct().filter(F.col("grouping_id").isNotNull())
     checks.append(unique_values(grouped, ["component", "grouping_id"], "grouping_id_unique_per_component"))
@@ -85,6 +98,26 @@ def result_null_checks(df: DataFrame, cols) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def comment_length_checks(df: DataFrame, most: int = COMMENT_LENGTH) -> DataFrame:
+    """Comments longer than the published column holds (they are kept whole)."""
+    return _v(df.filter(F.length("comments") > most), "comment_fits", F.col("member_id"), F.length("comments"))
+
+
+def one_row_per_member_checks(df: DataFrame) -> DataFrame:
+    return unique_values(df, "member_id", "one_row_per_member")
+
+
+def roster_checks(roster: DataFrame) -> DataFrame:
+    """Members listed with more than one reporting hierarchy."""
+    seen = roster.groupBy("member_id").agg(F.count_distinct(F.coalesce("mem_report_hier_1", F.lit("(none)"))).alias("n"))
+    return _v(seen.filter("n > 1"), "one_hierarchy_per_member", F.col("member_id"), F.col("n"))
+
+
+def target_checks(targets: DataFrame) -> DataFrame:
+    return unique_values(targets.select(F.upper("measure_name_short").alias("measure_name_short")), "measure_name_short",
+                         "target_unique")
+
+
 def check_references(refs: dict, fail_fast: bool = False) -> DataFrame:
     """All reference-table checks; ``refs`` holds ``oha_abbreviations`` and any code tables."""
     abbreviations = refs["oha_abbreviations"]
@@ -95,9 +128,7 @@ def check_references(refs: dict, fail_fast: bool = False) -> DataFrame:
                          .withColumn("detail", F.concat_ws(" ", F.lit(name + ":"), F.col("detail"))))
     out = reduce(DataFrame.unionByName, parts)
     if fail_fast:
-        bad = out.limit(20).collect()
-        if bad:
-            raise ReferenceError_(f"reference checks failed: {[tuple(r) for r in bad]}")
+        raise_violations(out)
     return out
 
 

@@ -40,11 +40,13 @@ MAPPING_SCHEMA = T.StructType([
     T.StructField("component", T.StringType()),
 ])
 
+# the published column holds this many characters; longer comments are reported
+# (validate.comment_length_checks), never cut
 COMMENT_LENGTH = 128
 
 
 def to_result(df: DataFrame, comments_col: str = "comments") -> DataFrame:
-    """Project a measure frame onto ``RESULT_SCHEMA`` (types cast, comments cut to 128)."""
+    """Project a measure frame onto ``RESULT_SCHEMA`` (types cast)."""
     cols = set(df.columns)
     comments = F.col(comments_col) if comments_col in cols else F.lit(None)
     actionable = (F.col("comp_quality_date_actionable") if "comp_quality_date_actionable" in cols
@@ -53,7 +55,7 @@ def to_result(df: DataFrame, comments_col: str = "comments") -> DataFrame:
         F.col("member_id").cast("string").alias("member_id"),
         F.col("denominator").cast("double").alias("denominator"),
         F.col("numerator").cast("double").alias("numerator"),
-        F.substring(comments.cast("string"), 1, COMMENT_LENGTH).alias("comments"),
+        comments.cast("string").alias("comments"),
         actionable.cast("date").alias("comp_quality_date_actionable"),
     )
 

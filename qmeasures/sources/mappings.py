@@ -39,8 +39,9 @@ def read_mapping_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read a mapping CSV (header, 3 columns) as measure, value_set_name, component + ordinal."""
     raw = spark.read.csv(path, header=True, schema="measure string, value_set_name string, component string",
                          enforceSchema=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
-    # The file order is meaningful (component order); keep it as an explicit ordinal.
-    return raw.withColumn("ordinal", F.monotonically_increasing_id())
+    # The file order is meaningful (component order); keep it as an explicit ordinal.  A
+    # mapping is one small file: the ordinal is the line number, whatever the splits are.
+    return raw.coalesce(1).withColumn("ordinal", F.monotonically_increasing_id())
 
 
 def default_mappings(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
@@ -76,13 +77,15 @@ def normalize_medical_codes(code_list: DataFrame, mapping: DataFrame) -> DataFra
     """Vendor code list (``value_set_name, code, code_system``) x mapping -> code table.
 
     Dots are removed from codes; vendor code systems map through
-    :data:`MEDICAL_CODESYSTEM_MAP` (unknown systems become NULL, as a dictionary miss).
+    :data:`MEDICAL_CODESYSTEM_MAP`.  An unknown system keeps its vendor name (a missing one
+    reads ``(none)``), so the code-system check reports the row.
     """
     joined = code_list.join(mapping.select("measure", "value_set_name", "component"),
                             "value_set_name", "inner")
     return joined.select(
         F.col("measure"), F.col("component"),
-        _map_literal(MEDICAL_CODESYSTEM_MAP)[F.col("code_system")].alias("codesystem"),
+        F.coalesce(_map_literal(MEDICAL_CODESYSTEM_MAP)[F.col("code_system")], F.col("code_system"),
+                   F.lit("(none)")).alias("codesystem"),
         F.regexp_replace(F.col("code").cast("string"), r"\.", "").alias("code"),
         F.lit(None).cast("string").alias("grouping_id"),
         F.lit(None).cast("string").alias("diag_type"))

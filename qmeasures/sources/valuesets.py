@@ -47,17 +47,32 @@ def read_value_set_concepts(spark: SparkSession, path: str, prefix: str = "ns0:"
     return concepts.select("value_set_oid", *[F.col("c._" + a).alias(a) for a in CONCEPT_ATTRS])
 
 
-def value_set_codes(concepts: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+def value_set_checks(concepts: DataFrame, requests: DataFrame) -> DataFrame:
+    """Violations (rule, key, detail): requested OIDs without a file, unknown code systems."""
+    absent = requests.join(concepts.select("value_set_oid").distinct(), "value_set_oid", "left_anti")
+    listed = requests.select("value_set_oid").distinct().join(concepts, "value_set_oid")
+    unknown = listed.filter(~F.coalesce(F.col("codeSystemName").isin(list(VALUESET_CODESYSTEM_MAP)), F.lit(False)))
+    return absent.select(F.lit("value_set_present").alias("rule"), F.col("value_set_oid").alias("key"),
+                         F.col("value_set_name").alias("detail")).unionByName(
+        unknown.select(F.lit("code_system_known").alias("rule"), F.col("value_set_oid").alias("key"),
+                       F.coalesce("codeSystemName", F.lit("(none)")).alias("detail")).distinct())
+
+
+def value_set_codes(concepts: DataFrame, requests: DataFrame, fail_fast: bool = True) -> tuple[DataFrame, DataFrame]:
     """(full listing, code-table rows) for the requested value sets.
 
-    ``requests``: Measure, component_name, value_set_name, value_set_oid.
+    ``requests``: Measure, component_name, value_set_name, value_set_oid.  With
+    ``fail_fast`` any violation of :func:`value_set_checks` raises.
     """
+    if fail_fast:
+        from qmeasures.plans.validate import raise_violations
+        raise_violations(value_set_checks(concepts, requests))
     full = requests.join(concepts, "value_set_oid").select(
         "Measure", "component_name", "value_set_name", "value_set_oid", *CONCEPT_ATTRS)
     cs_map = F.create_map(*[F.lit(x) for kv in VALUESET_CODESYSTEM_MAP.items() for x in kv])
     skinny = full.select(
         F.col("Measure").alias("measure"), F.col("component_name").alias("component"),
-        cs_map[F.col("codeSystemName")].alias("codesystem"),
+        F.coalesce(cs_map[F.col("codeSystemName")], F.col("codeSystemName"), F.lit("(none)")).alias("codesystem"),
         F.regexp_replace("code", r"\.", "").alias("code"),
         F.lit(None).cast("string").alias("grouping_id"), F.lit(None).cast("string").alias("diag_type"))
     return full, skinny
