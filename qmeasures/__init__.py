@@ -9,7 +9,6 @@ Sub-packages:
   value-set XML) and the adapter that derives the claims model from the test tables.
 * ``measures``   – the ready measures, each ``(inputs, params) -> DataFrame``.
 * ``plans``      – registry of measures, combine/publish, rate summary, validators.
-* ``streaming``  – intentionally empty (the measures are one-shot batch computations).
 """
 
 from qmeasures.params import MeasureParams  # noqa: F401

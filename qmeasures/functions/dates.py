@@ -30,23 +30,6 @@ def age_years(dob, at) -> Column:
     return (F.year(at) - F.year(dob) - before_birthday).cast("int")
 
 
-def add_days(x, n) -> Column:
-    return F.date_add(_c(x), n) if isinstance(n, int) else F.date_add(_c(x), n.cast("int"))
-
-
-def days_between(later, earlier) -> Column:
-    """``later - earlier`` in days."""
-    return F.datediff(_c(later), _c(earlier))
-
-
-def month_begin(x, shift: int = 0) -> Column:
-    return F.add_months(F.trunc(_c(x), "month"), shift)
-
-
-def month_end(x, shift: int = 0) -> Column:
-    return F.last_day(F.add_months(_c(x), shift))
-
-
 def in_range(x, lo, hi) -> Column:
     """Inclusive ``lo <= x <= hi`` that is never NULL (for projections)."""
     x = _c(x)

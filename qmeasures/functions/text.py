@@ -15,8 +15,3 @@ def percent0(p) -> Column:
     """Whole percent with a ``%`` sign, half away from zero (0.125 -> ``13%``)."""
     p = F.col(p) if isinstance(p, str) else p
     return F.concat(F.round(p * 100, 0).cast("long").cast("string"), F.lit("%"))
-
-
-def blank_to_null(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(F.trim(c) == "", F.lit(None)).otherwise(c)

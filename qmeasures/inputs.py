@@ -58,6 +58,10 @@ class ClaimsInputs:
             store[key] = build()
         return store[key]
 
+    def forget(self) -> None:
+        """Drop shared intermediates (after their files are released)."""
+        self.__dict__.pop("_memo", None)
+
     def members(self) -> DataFrame:
         """One row per member (duplicate roster rows collapse; earliest dob wins)."""
         return self.member.groupBy("member_id").agg(F.min("dob").alias("dob"))

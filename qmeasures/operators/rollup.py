@@ -33,12 +33,6 @@ def max_rollup(df: DataFrame, keys, flags=None) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in flags])
 
 
-def sum_rollup(df: DataFrame, keys, flags=None) -> DataFrame:
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    flags = flags if flags is not None else numeric_columns(df, exclude=keys)
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in flags])
-
-
 def measure_rate(results: DataFrame, group_cols=()) -> DataFrame:
     """Rate summary: sums and ``round(sum num / sum den, 4)``; 0 when the denominator is 0."""
     # sums are reported at 6 decimals: member contributions are whole numbers or

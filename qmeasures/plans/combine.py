@@ -46,6 +46,8 @@ def with_ordinal(abbreviations: DataFrame, order_col: str | None = None) -> Data
     """
     if "comp_quality_dual" in abbreviations.columns:
         return abbreviations
+    if order_col is None and "_ordinal" in abbreviations.columns:  # kept by the reference sink
+        order_col = "_ordinal"
     order = F.col(order_col) if order_col else F.monotonically_increasing_id()
     return abbreviations.withColumn("comp_quality_dual", F.row_number().over(Window.orderBy(order)).cast("long"))
 

@@ -236,8 +236,10 @@ SELECT d.member_id, {_result_cols(
 FROM denom d LEFT JOIN visits v ON d.member_id = v.member_id"""
 
 
-def _ed_core() -> str:
+def _ed_core(predictions: bool = True) -> str:
     e = "ed_visits"
+    probs = ("SELECT member_id, max(er_visits_pred_prob) AS p FROM predictions GROUP BY member_id" if predictions else
+             "SELECT member_id, CAST(NULL AS DOUBLE) AS p FROM mem WHERE false")
     return prefix("mem", "member_months", "lines", "predictions") + f""",
 hosp AS (SELECT DISTINCT member_id FROM lines WHERE prm_fromdate BETWEEN {MS} AND {ME}
     AND {O(e, 'denom_excl_hospice')}),
@@ -263,7 +265,7 @@ visits AS (SELECT member_id, min_fromdate, max(iy) AS iy, min(ro) AS ro, max(dn)
     WHERE ipf = 0 AND mh = 0 AND px = 0 AND NOT starts_with(upper(coalesce(prm_line, '')), 'I')
     GROUP BY member_id, min_fromdate HAVING max(dn) <> 1),
 prior AS (SELECT member_id, max(min_fromdate) AS vd FROM visits WHERE iy = 0 GROUP BY member_id),
-pr AS (SELECT member_id, max(er_visits_pred_prob) AS p FROM predictions GROUP BY member_id),
+pr AS ({probs}),
 num AS (SELECT member_id, sum(CASE WHEN ro = 1 THEN 0 ELSE 1 END) AS n FROM visits WHERE iy = 1 GROUP BY member_id),
 ranked AS (SELECT member_id, min_fromdate, ro,
     row_number() OVER (PARTITION BY member_id ORDER BY min_fromdate DESC) AS rk FROM visits WHERE iy = 1),
@@ -280,15 +282,15 @@ dd AS (SELECT m.member_id, pr.p, CASE WHEN h.member_id IS NOT NULL THEN 0.0 ELSE
     LEFT JOIN hosp h ON m.member_id = h.member_id),
 ed_all AS (SELECT d.member_id,
     CASE WHEN d.den = 0 THEN 0 ELSE coalesce(n.n, 0) END AS numerator, d.den AS denominator,
-    substr(CASE WHEN d.den = 0 THEN d.dc ELSE coalesce(t.c, d.dc) END, 1, 128) AS comments,
+    CASE WHEN d.den = 0 THEN d.dc ELSE coalesce(t.c, d.dc) END AS comments,
     CASE WHEN (CASE WHEN d.den = 0 THEN 0 ELSE coalesce(n.n, 0) END) = 0
          THEN CASE WHEN d.p >= 0.5 THEN {ME} END
          ELSE CASE WHEN d.p >= 0.25 THEN {ME} END END AS comp_quality_date_actionable
     FROM dd d LEFT JOIN num n ON d.member_id = n.member_id LEFT JOIN txt t ON d.member_id = t.member_id)"""
 
 
-def ed_all_sql() -> str:
-    return _ed_core() + f"""
+def ed_all_sql(predictions: bool = True) -> str:
+    return _ed_core(predictions) + f"""
 SELECT member_id, {_result_cols(comments='comments', actionable='comp_quality_date_actionable')} FROM ed_all"""
 
 
@@ -302,8 +304,10 @@ SELECT e.member_id, {_result_cols(num='coalesce(e.numerator, 0)', den='e.denomin
 FROM mi JOIN adults a ON mi.member_id = a.member_id JOIN ed_all e ON mi.member_id = e.member_id"""
 
 
-def custody_sql() -> str:
+def custody_sql(dental_table: bool = True) -> str:
     d = "DHS_assessments"
+    joint = "c.pm" if dental_table else "false"          # the joint rule applies only with a dental table
+    dental_rows = "true" if dental_table else "false"
     mh_keys = sorted({("09|" if r[2].upper() == "ICD9CM-DIAG" else "10|") + r[3] for r in A.OHA_CODES
                       if r[0] == d and r[1] == "Numerator_PhysMent" and r[2].upper().endswith("-DIAG")})
     combined_cpt = sorted({r[3] for r in A.OHA_CODES if r[0] == d and r[1] == "Numerator_PhysMent" and r[2] == "CPT"})
@@ -334,14 +338,14 @@ cl AS (SELECT member_id, prm_fromdate, {O(d, 'Numerator_Physical')} AS ph, {O(d,
       AND ({O(d, 'Numerator_Physical')} OR {O(d, 'Numerator_Mental')} OR {O(d, 'Numerator_Dental')}
            OR {O(d, 'Numerator_PRTS')})),
 fl AS (SELECT c.member_id, x.report_date,
-        CASE WHEN c.pm THEN 1 WHEN c.prm_fromdate BETWEEN x.m30 AND x.p60 AND (c.ph OR c.pr) THEN 1 ELSE 0 END AS phys,
-        CASE WHEN c.pm THEN 1 WHEN c.prm_fromdate BETWEEN x.m30 AND x.p60 AND (c.mn OR c.pr) THEN 1 ELSE 0 END AS ment,
+        CASE WHEN {joint} THEN 1 WHEN c.prm_fromdate BETWEEN x.m30 AND x.p60 AND (c.ph OR c.pr) THEN 1 ELSE 0 END AS phys,
+        CASE WHEN {joint} THEN 1 WHEN c.prm_fromdate BETWEEN x.m30 AND x.p60 AND (c.mn OR c.pr) THEN 1 ELSE 0 END AS ment,
         CASE WHEN c.prm_fromdate BETWEEN x.m30 AND x.p60 AND c.de THEN 1 ELSE 0 END AS dent
     FROM cl c JOIN denom x ON c.member_id = x.member_id
     UNION ALL
     SELECT i.member_id, x.report_date, 0, 0, CASE WHEN i.fromdate BETWEEN x.m30 AND x.p60 THEN 1 ELSE 0 END
     FROM inpdental i JOIN denom x ON i.member_id = x.member_id
-    WHERE i.fromdate BETWEEN {MS} AND {ME} AND {O(d, 'Numerator_Dental', cols=DENTAL_COLS, alias='i')}),
+    WHERE {dental_rows} AND i.fromdate BETWEEN {MS} AND {ME} AND {O(d, 'Numerator_Dental', cols=DENTAL_COLS, alias='i')}),
 agg AS (SELECT member_id, report_date, max(phys) AS ph, max(ment) AS mt, max(dent) AS dt FROM fl
     GROUP BY member_id, report_date),
 res AS (SELECT x.member_id, x.report_date, x.gap_cnt, x.dgc,
@@ -672,7 +676,8 @@ def rate_summary_sql() -> str:
     return f"""SELECT Measure_Abbreviation, round(sum(numerator), 6) AS sum_numerator,
     round(sum(denominator), 6) AS sum_denominator,
     CASE WHEN sum(denominator) > 0 THEN round(coalesce(sum(numerator), 0) / sum(denominator), 4) ELSE 0.0 END
-    AS measure_rate FROM ({_stack_body()}) GROUP BY Measure_Abbreviation"""
+    AS measure_rate FROM ({_stack_body()}
+    UNION ALL SELECT {_RESULT_SELECT}, 'ED_VISITS_ALL' FROM ({ed_all_sql()})) GROUP BY Measure_Abbreviation"""
 
 
 def combined_sql() -> str:

@@ -9,32 +9,58 @@ from __future__ import annotations
 
 import argparse
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from qmeasures.inputs import ClaimsInputs
+from qmeasures.operators.reuse import release
 from qmeasures.params import MeasureParams
 from qmeasures.plans.combine import combine_results, measure_reference, rate_summary, stack_results
 from qmeasures.plans.registry import MeasureRegistry
+from qmeasures.plans.validate import (check_references, comment_length_checks, one_row_per_member_checks, raise_violations,
+                                      result_null_checks, roster_checks, target_checks)
 from qmeasures.sources.reference import write_results
 
 
+# custody keeps one row per notification outcome
+SEVERAL_ROWS_PER_MEMBER = {"DHS_ASSESSMENTS"}
+
+
 def run_pipeline(inputs: ClaimsInputs, params: MeasureParams, registry: MeasureRegistry,
                  abbreviations: DataFrame, targets: DataFrame, roster: DataFrame, out_dir: str) -> dict:
     """Write ``results_<measure>``, ``stacked_results_raw``, ``quality_measures`` and
-    ``ref_quality_measures`` as parquet under ``out_dir``; return the rate summary rows."""
+    ``ref_quality_measures`` as parquet under ``out_dir``; return the rate summary rows.
+
+    Reference tables, targets and roster are checked before anything is computed, the
+    written results before they are published; any violation raises.
+    """
+    # checks first: nothing is written when a reference table or the roster is faulty
+    refs = {"oha_abbreviations": abbreviations, "oha_codes": inputs.oha_codes, "hedis_codes": inputs.hedis_codes,
+            "medications": inputs.medications}
+    checks = [check_references(refs), roster_checks(roster), target_checks(targets)]
+    raise_violations(reduce(DataFrame.unionByName, checks))
     results = registry.run(inputs, params)
     paths = write_results(results, out_dir)
     # later steps read the written result tables, not the measure plans again
     spark = abbreviations.sparkSession
     written = {name: spark.read.parquet(path) for name, path in paths.items()}
+    found = []
+    for name, df in written.items():
+        found += [comment_length_checks(df), result_null_checks(df, ["member_id", "denominator", "numerator"])]
+        if name.upper() not in SEVERAL_ROWS_PER_MEMBER:
+            found.append(one_row_per_member_checks(df))
+    raise_violations(reduce(DataFrame.unionByName, found))
     stack_results(written).write.mode("overwrite").parquet(os.path.join(out_dir, "stacked_results_raw.parquet"))
     combine_results(written, abbreviations, targets, roster).write.mode("overwrite").parquet(
         os.path.join(out_dir, "quality_measures.parquet"))
     measure_reference(abbreviations, targets).write.mode("overwrite").parquet(
         os.path.join(out_dir, "ref_quality_measures.parquet"))
-    return {r["Measure_Abbreviation"]: (r["sum_numerator"], r["sum_denominator"], r["measure_rate"])
-            for r in rate_summary(written).collect()}
+    rates = {r["Measure_Abbreviation"]: (r["sum_numerator"], r["sum_denominator"], r["measure_rate"])
+             for r in rate_summary(written).collect()}
+    release(spark)  # the results are written: the run's intermediates can go
+    inputs.forget()
+    return rates
 
 
 def main(argv=None) -> None:

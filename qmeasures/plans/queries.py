@@ -112,7 +112,9 @@ def combined_results(spark, sf_dir) -> DataFrame:
 
 def rate_summary_q(spark, sf_dir) -> DataFrame:
     from qmeasures.plans.combine import rate_summary
-    return rate_summary(all_measure_results(spark, sf_dir))
+    # the all-visits table is reported as a rate beside the published measures
+    all_ed = ed_visits.ed_visits_all(_inputs(spark, sf_dir), P)
+    return rate_summary(all_measure_results(spark, sf_dir) | {"ed_visits_all": all_ed})
 
 
 MEASURE_QUERIES = {
@@ -134,16 +136,14 @@ MEASURE_QUERIES = {
 
 
 def all_queries() -> dict:
-    from qmeasures.plans import operator_queries
-    out = dict(MEASURE_QUERIES)
-    out.update(operator_queries.QUERIES)
-    return out
+    from qmeasures.plans import check_queries, operator_queries
+    return MEASURE_QUERIES | operator_queries.QUERIES | check_queries.QUERIES
 
 
 @lru_cache(maxsize=1)
 def all_oracles() -> dict:
     from qmeasures.plans import oracle_sql as S
-    from qmeasures.plans import operator_queries
+    from qmeasures.plans import check_queries, operator_queries
     out = {
         "m_well_child": S.well_child_sql(),
         "m_ed_visits": S.ed_all_sql(),
@@ -160,5 +160,4 @@ def all_oracles() -> dict:
         "combined_results": S.combined_sql(),
         "rate_summary": S.rate_summary_sql(),
     }
-    out.update(operator_queries.ORACLES())
-    return out
+    return out | operator_queries.ORACLES() | check_queries.oracles()

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -158,6 +157,8 @@ def code_table(spark: SparkSession, rows) -> DataFrame:
     """The synthetic code table as a DataFrame (one instance per session and list, so the
     per-measure code slices read on the driver are reused across queries)."""
     key = (spark.sparkContext.applicationId, id(rows))
+    for old in [k for k in _CODE_TABLES if k[0] != key[0]]:  # frames of ended sessions
+        del _CODE_TABLES[old]
     if key not in _CODE_TABLES:
         _CODE_TABLES[key] = spark.createDataFrame(rows, CODE_TABLE_SCHEMA)
     return _CODE_TABLES[key]
@@ -313,6 +314,17 @@ def _claim_tables(model: dict[str, DataFrame]) -> dict[str, DataFrame]:
 _STAGED: dict = {}
 
 
+def _listing(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the source files, so changed data is staged anew."""
+    conf, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+    out = []
+    for name in ("customer", "orders", "lineitem", "supplier"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        out += [f"{s.getPath().toString()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(path)]
+    return ";".join(sorted(out))
+
+
 def stage_model(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Write the derived claims model once per session as parquet in the shared folder.
 
@@ -323,11 +335,14 @@ def stage_model(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     storage on a cluster); a lost executor only loses cached blocks, the files stay.
     """
     from qmeasures.session import ensure_checkpoint_dir
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _STAGED if k[0] != app]:  # sessions that have ended
+        del _STAGED[old]
+    key = (app, sf_dir, _listing(spark, sf_dir))
     if key in _STAGED:
         return _STAGED[key]
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
+    tag = hashlib.sha1("|".join(key[1:]).encode()).hexdigest()[:10]
     base = f"{root}/model-{key[0]}-{tag}"
     from concurrent.futures import ThreadPoolExecutor
 

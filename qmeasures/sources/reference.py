@@ -42,7 +42,8 @@ def read_reference_csv(spark: SparkSession, data_path: str, schema: T.StructType
     df = spark.read.csv(data_path, schema=schema, sep=",", mode="FAILFAST", header=True,
                         enforceSchema=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
     if ordinal_col:
-        df = df.withColumn(ordinal_col, F.monotonically_increasing_id())
+        # reference files are small: one split, so the ordinal is the line's position
+        df = df.coalesce(1).withColumn(ordinal_col, F.monotonically_increasing_id())
     return df
 
 
@@ -57,20 +58,34 @@ def import_flatfile_references(spark: SparkSession, folder: str) -> dict[str, Da
 
 
 def write_references(refs: dict[str, DataFrame], out_folder: str) -> dict[str, str]:
-    """Parquet sink, one dataset per table (overwrite)."""
+    """Parquet sink, one dataset per table (overwrite); the file order stays in ``_ordinal``."""
     paths = {}
     for name, df in refs.items():
         path = os.path.join(out_folder, f"{name}.parquet")
-        df.drop("_ordinal").write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
 
 
-def write_results(results: dict[str, DataFrame], out_folder: str, prefix: str = "results_") -> dict[str, str]:
-    """Result sink: ``results_<measure>`` parquet datasets (label kept as the dataset name)."""
+LABEL_KEY = "label"
+
+
+def dataset_label(path: str, spark: SparkSession) -> str | None:
+    """The label that :func:`write_results` stored with a result."""
+    return spark.read.parquet(path).schema["member_id"].metadata.get(LABEL_KEY)
+
+
+def write_results(results: dict[str, DataFrame], out_folder: str, prefix: str = "results_",
+                  labels: dict[str, str] | None = None) -> dict[str, str]:
+    """Result sink: ``results_<measure>`` parquet datasets.
+
+    The dataset label (default ``<measure> results``) is kept in the schema, as metadata
+    of the key column, and so survives the parquet files.
+    """
     paths = {}
     for name, df in results.items():
         path = os.path.join(out_folder, f"{prefix}{name}.parquet")
-        df.write.mode("overwrite").parquet(path)
+        label = (labels or {}).get(name, f"{name} results")
+        df.withMetadata("member_id", {LABEL_KEY: label}).write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths
