@@ -113,6 +113,19 @@ def _isin(col_name: str, values) -> Column:
     return F.coalesce(F.col(col_name).isin(sorted(values)), F.lit(False))
 
 
+def _any_column_in(columns: list[str], values) -> Column:
+    """Is the value of any of the columns in the set?
+
+    A few columns are tested one by one.  Many (a claim line has 15 diagnoses and 15
+    procedures) are tested as one array, so the generated code stays small enough for
+    the JVM to compile whatever the number of components.
+    """
+    listed = sorted(values)
+    if len(columns) <= 3:
+        return _any([_isin(c, listed) for c in columns])
+    return F.coalesce(F.exists(F.array(*columns), lambda code: code.isin(listed)), F.lit(False))
+
+
 def _any(terms: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, terms) if terms else F.lit(False)
 
@@ -143,11 +156,13 @@ def _codesystem_term(codesystem: str, rows: list[CodeRow], columns) -> Column:
                 targets = diags[1:]
             else:
                 targets = diags
-            terms.extend(_isin(c, codes) for c in targets)
+            if targets:
+                terms.append(_any_column_in(targets, codes))
         return _any(terms)
     if cs.endswith("-PROC"):
         codes = {r.code for r in rows}
-        return _any([_isin(c, codes) for c in _numbered(columns, "icdproc")])
+        procs = _numbered(columns, "icdproc")
+        return _any_column_in(procs, codes) if procs else F.lit(False)
     if cs in _NO_CLAIM_COLUMN:
         return F.lit(False)
     raise CodeTableError(f"code system {codesystem!r} is not known")
@@ -226,5 +241,5 @@ def any_versioned_diag(frame, by_version: dict[str, list[str]], version_col: str
     diags = _numbered(columns, "icddiag")
     if not by_version or version_col not in columns:
         return F.lit(False)
-    return _any([F.coalesce(F.col(version_col) == version, F.lit(False)) & _any([_isin(c, listed) for c in diags])
+    return _any([F.coalesce(F.col(version_col) == version, F.lit(False)) & _any_column_in(diags, listed)
                  for version, listed in sorted(by_version.items())])

@@ -53,6 +53,11 @@ _BASE = {
                       AS icddiag3,
                  CASE WHEN l.l_partkey % 9 = 0 THEN 'P' || CAST(l.l_partkey % 7 AS VARCHAR) END AS icdproc1,
                  CASE WHEN l.l_partkey % 97 = 0 AND l.l_suppkey % 7 = 0 THEN 'PX' END AS icdproc2,
+                 """ + "\n                 ".join(
+        [f"CASE WHEN (l.l_partkey + {k}) % 16 = 0 THEN 'D' || CAST((l.l_suppkey + {3 * k}) % 60 AS VARCHAR) END AS icddiag{k},"
+         for k in range(4, 16)]
+        + [f"CASE WHEN (l.l_suppkey + {k}) % 32 = 0 THEN 'P' || CAST((l.l_partkey + {k}) % 40 AS VARCHAR) END AS icdproc{k},"
+           for k in range(3, 16)]) + """
                  CASE WHEN l.l_returnflag = 'N' AND l.l_linenumber = 5 THEN 'Y' ELSE 'N' END AS prm_denied_yn,
                  l.l_partkey, l.l_suppkey, l.l_linenumber
                FROM lineitem l JOIN ord o ON l.l_orderkey = o.o_orderkey)""",
@@ -108,8 +113,8 @@ def fmt(d: str) -> str:
 
 _COLS = {"CPT": "hcpcs", "HCPCS": "hcpcs", "CDT": "hcpcs", "DENTAL": "hcpcs", "UBREV": "revcode", "POS": "pos",
          "NDC": "ndc", "TOOTH": "tooth", "UBTOB": "billtype"}
-CLAIM_COLS = ["hcpcs", "revcode", "pos", "modifier", "modifier2", "icddiag1", "icddiag2", "icddiag3",
-              "icdproc1", "icdproc2"]
+CLAIM_COLS = ["hcpcs", "revcode", "pos", "modifier", "modifier2", *[f"icddiag{k}" for k in range(1, 16)],
+              *[f"icdproc{k}" for k in range(1, 16)]]
 DENTAL_COLS = ["hcpcs", "pos", "modifier", "modifier2", "tooth"]
 PHARMACY_COLS = ["ndc"]
 
@@ -172,7 +177,7 @@ def RX(measure, comp):
 def versioned(keys, alias=""):
     p = f"{alias}." if alias else ""
     parts = [f"({p}icddiag{i} IS NOT NULL AND {p}icdversion || '|' || {p}icddiag{i} IN {_lst(keys)})"
-             for i in (1, 2, 3)]
+             for i in range(1, 16)]
     return "coalesce(" + " OR ".join(parts) + ", false)"
 
 

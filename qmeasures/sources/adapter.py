@@ -30,6 +30,7 @@ from qmeasures.schemas import CODE_TABLE_SCHEMA
 from qmeasures.sources.mappings import default_components
 
 DRIVER_PARAMS = MeasureParams(measure_start=dt.date(1998, 1, 1), date_latestpaid=dt.date(1998, 10, 31))
+CODE_COLUMNS = 15  # diagnoses and procedures of a claim line
 DOB_ANCHOR = dt.date(1998, 12, 31)
 ALLOWED_TAXONOMY = [f"TX{i}" for i in range(10)]
 
@@ -240,7 +241,13 @@ def claim_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.when(_mod("l_linenumber", 2) == 0,
                F.concat(F.lit("D"), _s(F.pmod(F.col("l_partkey") + F.col("l_suppkey"), F.lit(45))))).alias("icddiag3"),
         F.when(_mod("l_partkey", 9) == 0, F.concat(F.lit("P"), _s(_mod("l_partkey", 7)))).alias("icdproc1"),
+        *[F.when(F.pmod(F.col("l_partkey") + k, F.lit(16)) == 0,
+                 F.concat(F.lit("D"), _s(F.pmod(F.col("l_suppkey") + 3 * k, F.lit(60))))).alias(f"icddiag{k}")
+          for k in range(4, CODE_COLUMNS + 1)],
         F.when((_mod("l_partkey", 97) == 0) & (_mod("l_suppkey", 7) == 0), F.lit("PX")).alias("icdproc2"),
+        *[F.when(F.pmod(F.col("l_suppkey") + k, F.lit(32)) == 0,
+                 F.concat(F.lit("P"), _s(F.pmod(F.col("l_partkey") + k, F.lit(40))))).alias(f"icdproc{k}")
+          for k in range(3, CODE_COLUMNS + 1)],
         F.when((F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 5), "Y").otherwise("N").alias("prm_denied_yn"),
         F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"))
 
