@@ -22,12 +22,14 @@ Every table is a DataFrame; optional tables may be ``None``.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 
 _COMPONENT_CACHE: dict = {}
+_MEMO_LOCK = threading.Lock()
 
 
 @dataclass
@@ -53,10 +55,13 @@ class ClaimsInputs:
     def memo(self, key, build):
         """Share an intermediate between measures run on the same inputs (e.g. the
         prenatal and postpartum measures read one delivery plan)."""
-        store = self.__dict__.setdefault("_memo", {})
-        if key not in store:
-            store[key] = build()
-        return store[key]
+        with _MEMO_LOCK:
+            store = self.__dict__.setdefault("_memo", {})
+            lock = self.__dict__.setdefault("_memo_locks", {}).setdefault(key, threading.RLock())
+        with lock:  # measures run side by side: one of them builds, the others wait
+            if key not in store:
+                store[key] = build()
+            return store[key]
 
     def forget(self) -> None:
         """Drop shared intermediates (after their files are released)."""
