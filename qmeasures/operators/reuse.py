@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: dict[str, list[str]] = {}  # application -> folders written
+observers: list = []  # called with each frame that is written (plan reports)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -21,6 +22,8 @@ def materialize(df: DataFrame) -> DataFrame:
     from qmeasures.session import ensure_checkpoint_dir
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    for see in observers:
+        see(df)
     df.write.mode("overwrite").parquet(path)
     _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
