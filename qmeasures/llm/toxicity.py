@@ -321,7 +321,7 @@ def _windows(docs: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          learn: Column | None = None, max_rows: int = 2000) -> Network | None:
+          learn: Column | None = None, max_rows: int = 3200) -> Network | None:
     """Fit on at most ``max_rows`` / 2 labelled rows of either class."""
     bound_batches(docs.sparkSession)
     marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
