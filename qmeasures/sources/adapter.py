@@ -114,19 +114,19 @@ MEDICATION_CODES = [
 ]
 
 OHA_CODES = [
-    ("ed_visits", "numer_cpt", "CPT", "H10", None, None),
-    ("ed_visits", "numer_cpt", "CPT", "H11", None, None),
-    ("ed_visits", "numer_rev", "UBREV", "R5", None, None),
-    ("ed_visits", "numer_procs", "CPT", "H12", "G1", None),
-    ("ed_visits", "numer_procs", "POS", "07", "G1", None),
-    ("ed_visits", "numer_procs", "CPT", "H13", "G2", None),
-    ("ed_visits", "numer_procs", "POS", "08", "G2", None),
-    ("ed_visits", "numer_excl_mh", "ICD10CM-Diag", "D7", None, "Primary"),
-    ("ed_visits", "numer_excl_mh", "ICD9CM-Diag", "D6", None, "Primary"),
-    ("ed_visits", "numer_excl_psych", "CPT", "H14", None, None),
-    ("ed_visits", "numer_excl_ip_stay", "UBREV", "R7", None, None),
-    ("ed_visits", "denom_excl_hospice", "CPT", "HSP", None, None),
-    ("ed_visits", "denom_excl_hospice", "UBREV", "RHSP", None, None),
+    ("ED_Visits", "numer_cpt", "CPT", "H10", None, None),
+    ("ED_Visits", "numer_cpt", "CPT", "H11", None, None),
+    ("ED_Visits", "numer_rev", "UBREV", "R5", None, None),
+    ("ED_Visits", "numer_procs", "CPT", "H12", "G1", None),
+    ("ED_Visits", "numer_procs", "POS", "07", "G1", None),
+    ("ED_Visits", "numer_procs", "CPT", "H13", "G2", None),
+    ("ED_Visits", "numer_procs", "POS", "08", "G2", None),
+    ("ED_Visits", "numer_excl_mh", "ICD10CM-Diag", "D7", None, "Primary"),
+    ("ED_Visits", "numer_excl_mh", "ICD9CM-Diag", "D6", None, "Primary"),
+    ("ED_Visits", "numer_excl_psych", "CPT", "H14", None, None),
+    ("ED_Visits", "numer_excl_ip_stay", "UBREV", "R7", None, None),
+    ("ED_Visits", "denom_excl_hospice", "CPT", "HSP", None, None),
+    ("ED_Visits", "denom_excl_hospice", "UBREV", "RHSP", None, None),
     ("ED_Visits_MI", "Denominator", "ICD10CM-Diag", "D1", None, None),
     ("ED_Visits_MI", "Denominator", "ICD10CM-Diag", "D2", None, None),
     ("ED_Visits_MI", "Denominator", "ICD9CM-Diag", "D5", None, None),
