@@ -121,7 +121,7 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", learn: Column | None = None,
           max_rows: int = 1200, buckets: int = 1 << 14, dim: int = 16, steps: int = 500, rate: float = 20.0,
-          reject_quantile: float = 0.0005, reject_most: float = 0.5, max_langs: int = 512, seed: int = 7) -> LanguageModel:
+          reject_quantile: float = 0.0005, reject_most: float = 0.4, max_langs: int = 512, seed: int = 7) -> LanguageModel:
     """Fit on at most ``max_rows`` labelled rows, the first by hash of each language.
 
     ``learn`` marks the rows that may be learnt from.  ``reject_quantile`` of the
