@@ -5,8 +5,8 @@ word's share follows its add-one count.  The model predicts the next top word, c
 end of text from the two tokens before it: position-wise scaled embeddings are added up
 and multiplied with output embeddings.  It is trained in numpy by noise-contrastive
 estimation with noise drawn from the corpus frequencies.  Every task trains from the same
-start on evenly spaced tokens of its whole texts, and Spark averages the parameters by
-the number of examples, ``rounds`` times.
+start on every token of its texts, and Spark averages the parameters by the number of
+examples, ``rounds`` times.
 
 Scoring normalises exactly: for the contexts that occur, one matrix product with all
 output embeddings gives the log normaliser, kept for the next batches.  Probabilities
@@ -201,6 +201,12 @@ class Model:
         return out
 
 
+def _add_rows(to: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """to[at] += values, repeated rows adding up."""
+    width = to.shape[1]
+    to += np.bincount((at[:, None] * width + np.arange(width)).ravel(), values.ravel(), to.size).reshape(to.shape).astype(to.dtype)
+
+
 class Contrast:
     """Noise-contrastive estimation with Adagrad; one set of noise outputs per batch."""
 
@@ -220,10 +226,8 @@ class Contrast:
         d_q = g_noise @ m.target[noise] + g_word[:, None] * m.target[word]
         d_scale = np.stack([(d_q * m.context[one]).sum(axis=0), (d_q * m.context[two]).sum(axis=0)])
         d_context, d_target, d_bias = np.zeros_like(m.context), np.zeros_like(m.target), np.zeros_like(m.bias)
-        np.add.at(d_context, one, d_q * m.scale[0])
-        np.add.at(d_context, two, d_q * m.scale[1])
-        np.add.at(d_target, word, g_word[:, None] * q)
-        np.add.at(d_target, noise, g_noise.T @ q)
+        _add_rows(d_context, np.concatenate([one, two]), np.concatenate([d_q * m.scale[0], d_q * m.scale[1]]))
+        _add_rows(d_target, np.concatenate([word, noise]), np.concatenate([g_word[:, None] * q, g_noise.T @ q]))
         np.add.at(d_bias, word, g_word)
         np.add.at(d_bias, noise, g_noise.sum(axis=0))
         return [d_scale, d_context, d_target, d_bias]
@@ -266,9 +270,9 @@ def _slices(texts: list[bytes], most: int = 4 << 20) -> Iterator[tuple[int, int]
         yield at, len(texts)
 
 
-def train(texts: DataFrame, counts: Counts, dim: int = 24, rounds: int = 2, every: int = 16, batch: int = 1024,
+def train(texts: DataFrame, counts: Counts, dim: int = 24, rounds: int = 2, every: int = 1, batch: int = 1024,
           n_noise: int = 128, rate: float = 0.08, seed: int = 5) -> Model:
-    """Average of the models that the tasks train on every ``every``-th token of each text."""
+    """Average of the models that the tasks train on every token of each text; ``every`` above 1 thins them."""
     spark, texts = texts.sparkSession, texts.select("text")
     model = Model.fresh(counts, dim, seed)
     shipped_counts = spark.sparkContext.broadcast(counts)

@@ -125,3 +125,11 @@ def test_nothing_to_learn(spark):
     got = {tuple(r) for r in lbl.score(df, F.lit(False)).select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score").collect()}
     assert got == {(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)}
     assert lbl.score(df.limit(0), F.lit(True)).collect() == []
+
+
+def test_training_reads_every_token(spark):
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60)))], "doc_id long, text string")
+    facts = lbl.gather(lbl.count_words(df), 1, 100, 100)
+    fresh, model = lbl.Model.fresh(facts, 4, 5), lbl.train(df, facts, dim=4)
+    moved = (model.context != fresh.context).any(axis=1)
+    assert facts.n_top == 60 and moved[:60].all() and moved[-1]  # each word stands before a token learned from
