@@ -10,7 +10,8 @@ logistic calibration fitted on rows held back from training.  Everything is trai
 Labels are per text, so training first spreads the label over windows and then, as in
 multiple-instance learning, goes on with the window that speaks most for the label.
 It uses at most ``max_rows`` labelled rows, the first by hash, as many of either class
-as there are, and at most ``MOST_WINDOWS`` windows of each, spread over the whole text.
+as there are, and all windows of each; while labels are spread, the windows of a text
+share its weight.  Calibration reads all windows of the held-back texts, as scoring does.
 
 In a task the input projections of distinct words are computed once (bounded cache),
 so a window step is one table look-up and one small matrix product for many windows.
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from qmeasures.llm.common import as_texts, bound_batches
 
 WORDS = re.compile(r"\w+")
-WINDOW, STRIDE, MOST_WINDOWS = 32, 16, 64
+WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, GRAM_BUCKETS, EMBED, HIDDEN = 1 << 15, 1 << 16, 8, 8
 GRAMS = (3, 4, 5, 6)
 CACHE_WORDS, CHUNK = 150_000, 2048
@@ -177,7 +178,7 @@ class Adagrad:
 class Lexicon:
     """Word and n-gram buckets of the training words, by word number (0: no word)."""
 
-    def __init__(self, windows: list[list[str]]):
+    def __init__(self, windows: Iterable[list[str]]):
         self.number = {w: i for i, w in enumerate(dict.fromkeys(w for x in windows for w in x), 1)}
         word, grams, size = word_inputs(list(self.number)) if self.number else (np.zeros(0, np.int64),) * 3
         self.word, self.size = np.concatenate([[0], word]), np.concatenate([[1], size])
@@ -258,45 +259,57 @@ def _step(net: Network, opt: Adagrad, lexicon: Lexicon, ids: np.ndarray, labels:
     opt.rows("gram", net.gram, flat, (d_x[:, EMBED:] * spread[:, None])[rows])
 
 
-def fit(texts: list[list[list[str]]], labels: list[int], prior: float = 0.5, seed: int = 11, spread_rounds: int = 3, rounds: int = 8,
+def fit(texts: list[str], labels: list[int], prior: float = 0.5, seed: int = 11, spread_rounds: int = 3, rounds: int = 8,
         batch: int = 64) -> Network | None:
-    """Train on texts given as word windows; a fifth is held back to calibrate to the share
+    """Train on texts given as words between spaces; a fifth is held back to calibrate to the share
     ``prior`` of toxic texts."""
     y = np.array(labels, dtype=np.float32)
     if not len(y) or y.min() == y.max():
         return None
     rng = np.random.default_rng(seed)
     net, opt = Network.fresh(rng), Adagrad(0.05)
-    flat = [w for t in texts for w in t]
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    lexicon = Lexicon(flat)
-    ids = lexicon.matrix(flat)
+    lexicon = Lexicon(t.split() for t in texts)
+    parts, first_word, size = [], [], 0  # word numbers of each text, filled up to its last window
+    for text in texts:
+        words = [lexicon.number[w] for w in text.split()]
+        at = starts(len(words))
+        parts.append(np.zeros(at[-1] + WINDOW, np.int32))
+        parts[-1][:len(words)] = words
+        first_word.append(np.array(at) + size)
+        size += len(parts[-1])
+    flat, count = np.concatenate(parts), np.array([len(x) for x in first_word])
+    owner, first_word = np.repeat(np.arange(len(texts)), count), np.concatenate(first_word)
+
+    def ids(chosen: np.ndarray) -> np.ndarray:
+        return flat[first_word[chosen][:, None] + np.arange(WINDOW)]
+
     held = rng.random(len(texts)) < 0.2
     if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         held[:] = False
     train_windows = np.flatnonzero(~held[owner])
     balance = np.where(y > 0, 0.5 / y[~held].mean(), 0.5 / (1 - y[~held].mean())).astype(np.float32)
 
-    def passes(chosen: np.ndarray) -> None:
+    def passes(chosen: np.ndarray, weights: np.ndarray) -> None:
         chosen = rng.permutation(chosen)
         for at in range(0, len(chosen), batch):
             part = chosen[at:at + batch]
-            _step(net, opt, lexicon, ids[part], y[owner[part]], balance[owner[part]])
+            _step(net, opt, lexicon, ids(part), y[owner[part]], weights[owner[part]])
 
     def by_text() -> tuple[np.ndarray, np.ndarray]:
-        found = _logits(net, net.project(lexicon.inputs(net)).transpose(1, 0, 2), ids)
+        table = net.project(lexicon.inputs(net)).transpose(1, 0, 2)
+        found = np.concatenate([_logits(net, table, ids(np.arange(at, min(at + CHUNK, len(owner)))))
+                                for at in range(0, len(owner), CHUNK)])
         order = np.lexsort((-found, owner))
         first = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])]
         return found, first  # first: the window with the largest logit of each text
 
     for _ in range(spread_rounds):
-        keep = min(len(train_windows), 12 * len(texts))
-        passes(rng.choice(train_windows, keep, replace=False))
+        passes(train_windows, balance / count)
     for _ in range(rounds):
         _, first = by_text()
         also = rng.choice(train_windows[y[owner[train_windows]] == 0],
                           min(int((y[owner[train_windows]] == 0).sum()), 2 * len(texts)), replace=False)
-        passes(np.concatenate([first[~held], also]))
+        passes(np.concatenate([first[~held], also]), balance)
     found, _ = by_text()
     x = np.array([features(part) for part in np.split(found, np.flatnonzero(np.diff(owner)) + 1)])
     use = held if held.any() else ~held
@@ -304,20 +317,13 @@ def fit(texts: list[list[list[str]]], labels: list[int], prior: float = 0.5, see
     return net
 
 
-def _windows(docs: DataFrame) -> DataFrame:
-    """(label, text) -> (label, windows): at most MOST_WINDOWS, evenly spread, each as joined words."""
+def _words(docs: DataFrame) -> DataFrame:
+    """(label, text) -> (label, words): all words of each text with spaces between."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text in as_texts(batch.column(1)):
-                words = WORDS.findall(text.lower())
-                at = starts(len(words))
-                if len(at) > MOST_WINDOWS:
-                    at = [at[i * len(at) // MOST_WINDOWS] for i in range(MOST_WINDOWS)]
-                out.append([" ".join(words[i:i + WINDOW]) for i in at])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))],
-                                             names=["label", "windows"])
-    return docs.mapInArrow(run, "label int, windows array<string>")
+            out = [" ".join(WORDS.findall(text.lower())) for text in as_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["label", "words"])
+    return docs.mapInArrow(run, "label int, words string")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -338,10 +344,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy(place, "id")))
               .where(F.col("n") <= share).select("id", "label"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = _windows(texts.join(F.broadcast(chosen), "id")  # at most max_rows ids
+    rows = _words(texts.join(F.broadcast(chosen), "id")  # at most max_rows ids
                     .groupBy("id", "label").agg(F.min("text").alias("text")).select("label", "text")).collect()
-    rows = sorted(rows, key=lambda r: (r.label, r.windows))
-    return fit([[w.split() for w in r.windows] for r in rows], [r.label for r in rows],
+    rows = sorted(rows, key=lambda r: (r.label, r.words))
+    return fit([r.words for r in rows], [r.label for r in rows],
                counts[1] / (counts[0] + counts[1]))
 
 

@@ -113,3 +113,27 @@ def test_nothing_to_learn(spark):
     assert toxicity.train(df, none) is None
     assert {tuple(r) for r in toxicity.score(df, None).collect()} == {(1, 0.0, 0), (2, 0.0, 0)}
     assert toxicity.score(df.limit(0), None).collect() == []
+
+
+def test_one_passage_in_a_very_long_text(spark, monkeypatch):
+    docs, labels = corpus(150)
+    rng = random.Random(8)
+    vocab = sorted({w for _, t in docs for w in t.split() if not w.startswith("vile")})
+
+    def long_text(toxic):
+        words = rng.choices(vocab, k=20_000)
+        if toxic:
+            at = rng.randrange(100, 19_900)
+            words[at:at + 6] = ["vileworm", "vilerat", "vilecrow"] * 2
+        return " ".join(words)
+    for i in range(200, 216):
+        docs.append((i, long_text(i % 2)))
+        labels.append((i, 1, i % 2))
+    read, features = [], toxicity.features
+    monkeypatch.setattr(toxicity, "features", lambda logits: read.append(len(logits)) or features(logits))
+    net = toxicity.train(spark.createDataFrame(docs, "doc_id long, text string"),
+                         spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert sorted(read)[-16:] == [len(toxicity.starts(20_000))] * 16  # calibrated on what scoring reads
+    fresh = [long_text(i % 2) for i in range(8)]
+    found = net.score(toxicity.Scorer(net).features(fresh)) >= 0.3
+    assert found.tolist() == [bool(i % 2) for i in range(8)]
