@@ -5,8 +5,15 @@ character 2- to 4-grams between word-boundary marks); a linear softmax reads it.
 Embeddings and softmax are trained together by stochastic gradient descent in numpy on
 a bounded, hash-ordered set of labelled rows (``max_rows``, shared evenly between the
 languages); their subword counts are gathered on the executors.  A temperature fitted
-on a part held back from training calibrates the probability, and texts whose
-calibrated probability falls below what nearly all held-back texts reach are rejected.
+on a part held back from training calibrates the probability.
+
+A softmax can't be low for every language, so rejection rests on other evidence: the mean
+log frequency of a text's subwords in the language found (the smoothed mean shares of its
+labelled texts).  Each sampled text gets it from the other four fifths of the texts.  Its
+distance from the language's median, over the spread expected at its length, is the
+text's fit; texts that fit worse than ``reject_slack`` times the lowest
+``reject_quantile`` of the sampled texts are rejected.  A language with a single text
+has no such evidence, and its texts are not rejected.
 
 Average and softmax are both linear before the exponent, so the product of embedding
 and softmax matrix is one small score table per subword; tasks add up the scores of
@@ -51,17 +58,27 @@ class LanguageModel:
     scores: np.ndarray  # (buckets, languages): embedding times softmax weights
     bias: np.ndarray
     temperature: float
-    reject_below: float
+    evidence: np.ndarray  # (buckets, languages): log frequencies
+    typical: np.ndarray   # median evidence of each language; -inf without any
+    spread: np.ndarray    # variance of the evidence between texts, and that of one subword
+    reject_below: float   # lowest fit
 
     def probabilities(self, sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return _softmax((sums / np.maximum(counts, 1)[:, None] + self.bias) / self.temperature)
 
+    def fit(self, sums: np.ndarray, counts: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        """Distance of the evidence (sums over subwords, by language) from what is typical of ``lang``."""
+        n = np.maximum(counts, 1)
+        found = sums[np.arange(len(lang)), lang] / n
+        return (found - self.typical[lang]) / np.sqrt(self.spread[0] + self.spread[1] / n)
+
 
 class WordScores:
-    """Score sums of whole words, cached up to ``CACHE_WORDS`` distinct words."""
+    """Score and evidence sums of whole words, cached up to ``CACHE_WORDS`` distinct words."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.buckets, self.width = model, len(model.scores), len(model.langs) + 1
+        self.model, self.buckets, self.width = model, len(model.scores), 2 * len(model.langs) + 1
+        self.table = np.concatenate([model.scores, model.evidence], axis=1)
         self.clear()
 
     def clear(self) -> None:
@@ -73,7 +90,7 @@ class WordScores:
         if at >= len(self.rows):
             self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
         found = subwords(word, self.buckets)
-        self.rows[at, :-1] = self.model.scores[found].sum(axis=0)
+        self.rows[at, :-1] = self.table.take(found, axis=0).sum(axis=0)
         self.rows[at, -1] = len(found)
         return at
 
@@ -85,15 +102,15 @@ class WordScores:
                 self.clear()
             known = self.ids
             index = [known[w] if w in known else self.add(w) for w in part]
-            total += self.rows[index].sum(axis=0)
+            total += self.rows.take(index, axis=0).sum(axis=0)
         return total
 
 
 def _features(docs: DataFrame, buckets: int) -> DataFrame:
-    """Labelled rows -> (lang, bucket list, share list), the shares of a text adding up to 1."""
+    """Labelled rows -> (lang, bucket list, share list, subwords), the shares of a text adding up to 1."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places, shares = [], []
+            places, shares, sizes = [], [], []
             for text in as_texts(batch.column(1)):
                 cache: dict[str, list[int]] = {}
                 found: list[int] = []
@@ -104,14 +121,15 @@ def _features(docs: DataFrame, buckets: int) -> DataFrame:
                 at, n = np.unique(np.array(found, dtype=np.int32), return_counts=True)
                 places.append(at)
                 shares.append((n / max(1, n.sum())).astype(np.float32))
+                sizes.append(len(found))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(places, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float32()))],
-                names=["lang", "at", "share"])
-    return docs.mapInArrow(run, "lang string, at array<int>, share array<float>")
+                [batch.column(0), pa.array(places, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float32())),
+                 pa.array(sizes, pa.int64())], names=["lang", "at", "share", "n"])
+    return docs.mapInArrow(run, "lang string, at array<int>, share array<float>, n long")
 
 
 def _averages(part: list, emb: np.ndarray) -> np.ndarray:
-    return np.stack([share @ emb[at] for at, share, _ in part])
+    return np.stack([share @ emb[at] for at, share, *_ in part])
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -119,14 +137,43 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
+def _log_frequency(shares: np.ndarray, texts: int, unseen: float) -> np.ndarray:
+    return np.log((1 - unseen) * shares / max(1, texts) + unseen / len(shares))
+
+
+def _evidence(data: list, order: np.ndarray, buckets: int, n_langs: int, quantile: float, slack: float,
+              unseen: float = 0.05, folds: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Log frequencies, typical evidence, spread and lowest fit; see :class:`LanguageModel`."""
+    table, typical = np.empty((buckets, n_langs), np.float32), np.full(n_langs, -np.inf)
+    away, sizes = [], []
+    for lang in range(n_langs):
+        own = [data[i] for i in order if data[i][2] == lang]
+        shares = np.zeros((folds, buckets))
+        for i, (at, share, *_) in enumerate(own):
+            shares[i % folds, at] += share
+        table[:, lang] = _log_frequency(shares.sum(axis=0), len(own), unseen)
+        if len(own) < 2:
+            continue
+        found = np.empty(len(own))
+        for k in range(min(folds, len(own))):
+            other = _log_frequency(shares.sum(axis=0) - shares[k], len(own) - len(own[k::folds]), unseen)
+            found[k::folds] = [share @ other[at] for at, share, *_ in own[k::folds]]
+        typical[lang] = np.median(found)
+        away.append(found - typical[lang])
+        sizes.append([n for *_, n in own])
+    if not away:
+        return table, typical, np.ones(2), -np.inf
+    d, n = np.concatenate(away), np.concatenate(sizes)
+    spread = np.maximum(np.linalg.lstsq(np.column_stack([np.ones(len(d)), 1 / n]), d * d, rcond=None)[0], 1e-3)
+    return table, typical, spread, slack * min(-1.0, float(np.quantile(d / np.sqrt(spread[0] + spread[1] / n), quantile)))
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", learn: Column | None = None,
           max_rows: int = 1200, buckets: int = 1 << 14, dim: int = 16, steps: int = 500, rate: float = 20.0,
-          reject_quantile: float = 0.0005, reject_most: float = 0.4, max_langs: int = 512, seed: int = 7) -> LanguageModel:
+          reject_quantile: float = 0.0005, reject_slack: float = 1.5, max_langs: int = 512, seed: int = 7) -> LanguageModel:
     """Fit on at most ``max_rows`` labelled rows, the first by hash of each language.
 
-    ``learn`` marks the rows that may be learnt from.  ``reject_quantile`` of the
-    held-back texts fall below the rejection threshold, which is never above
-    ``reject_most``.
+    ``learn`` marks the rows that may be learnt from.
     """
     bound_batches(docs.sparkSession)
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
@@ -138,7 +185,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", learn
         raise ValueError(f"more than {max_langs} languages are labelled")
     langs = sorted(counts)
     if not langs:
-        return LanguageModel([], np.zeros((1, 0)), np.zeros(0), 1.0, 1.0)
+        return LanguageModel([], np.zeros((1, 0)), np.zeros(0), 1.0, np.zeros((1, 0)), np.zeros(0), np.ones(2), 0.0)
     # twice the wanted share by hash first, so that what is ordered doesn't grow with the corpus
     share = max(1, max_rows // len(langs))
     part = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, 2 * share / counts[lang]))])
@@ -148,7 +195,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", learn
               .where(F.col("n") <= share).select("lang", "text"))
     got = _features(sample, buckets).collect()
     rng = np.random.default_rng(seed)
-    data = [(np.array(r.at), np.array(r.share), langs.index(r.lang)) for r in got if r.at]
+    data = [(np.array(r.at), np.array(r.share), langs.index(r.lang), r.n) for r in got if r.at]
     order = rng.permutation(len(data))
     held = [data[i] for i in order[: len(data) // 5]]
     fit = [data[i] for i in order[len(data) // 5:]]
@@ -163,9 +210,9 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", learn
         back = p @ out.T
         out -= rate * pace * (text.T @ p)
         bias -= 0.1 * pace * p.sum(axis=0)
-        for (at, share, _), toward in zip(part, back):
+        for (at, share, *_), toward in zip(part, back):
             emb[at] -= rate * pace * share[:, None] * toward
-    temperature, reject = 1.0, 0.0
+    temperature = 1.0
     if held:
         logits = _averages(held, emb) @ out + bias
         truth = np.array([x[2] for x in held])
@@ -173,9 +220,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", learn
         def loss(t: float) -> float:
             return -float(np.mean(np.log(_softmax(logits / t)[np.arange(len(held)), truth] + 1e-300)))
         temperature = min(np.geomspace(0.2, 5, 60), key=loss)
-        sure = _softmax(logits / temperature).max(axis=1)
-        reject = min(reject_most, 0.9 * float(np.quantile(sure, reject_quantile)))
-    return LanguageModel(langs, (emb @ out).astype(np.float32), bias, float(temperature), reject)
+    return LanguageModel(langs, (emb @ out).astype(np.float32), bias, float(temperature),
+                         *_evidence(data, order, buckets, len(langs), reject_quantile, reject_slack))
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -193,12 +239,14 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
             sums = np.array([words.of(t) for t in texts]).reshape(len(texts), -1)
             lettered = np.array([bool(words.model.langs) and bool(LETTER.search(t)) for t in texts], dtype=bool)
             names, score = np.full(len(texts), "und", dtype=object), np.zeros(len(texts))
+            rejected = ~lettered
             if words.model.langs:
-                p = words.model.probabilities(sums[:, :-1], sums[:, -1])
+                wide = len(words.model.langs)
+                p = words.model.probabilities(sums[:, :wide], sums[:, -1])
                 best = p.argmax(axis=1)
                 names[lettered] = np.array(words.model.langs, dtype=object)[best[lettered]]
                 score[lettered] = p.max(axis=1)[lettered]
-            rejected = ~lettered | (score < words.model.reject_below)
+                rejected |= words.model.fit(sums[:, wide:-1], sums[:, -1], best) < words.model.reject_below
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
                 names=[*keep, "lang_pred", "score", "rejected"])

@@ -48,3 +48,17 @@ def test_nothing_to_learn(spark):
     df = spark.createDataFrame([(1, "abc", None), (2, None, None)], "doc_id long, text string, lang string")
     assert {tuple(r) for r in langid.identify(df).collect()} == {(1, "und", 0.0, True), (2, "und", 0.0, True)}
     assert langid.identify(df.limit(0)).collect() == []
+
+
+def test_rejects_a_language_not_learned_and_gibberish(spark):
+    data = rows(400)
+    rng = random.Random(5)
+    noise = [(2000 + i, " ".join("".join(rng.choices("bdfghjkmpqvwxyz", k=rng.randint(3, 9))) for _ in range(40)), None)
+             for i in range(20)]
+    for known in (["aa", "bb"], ["aa"]):
+        df = spark.createDataFrame(data + noise, "doc_id long, text string, lang string")
+        got = {r.doc_id: r.rejected for r in langid.identify(df, learn=df.lang.isin(known)).collect()}
+        own = [got[i] for i, _, lang in data if lang in known]
+        foreign = [got[i] for i, text, lang in data if lang == "cc" and len(text.split()) >= 10]
+        assert sum(own) <= 0.01 * len(own)
+        assert sum(foreign) >= 0.95 * len(foreign) > 0 and all(got[i] for i, *_ in noise)
