@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qmeasures.llm import bpe, kneser, langid, lattice, logbilinear, packing, simhash, topk, toxicity, warc
+from qmeasures.llm import bpe, divergence, kneser, langid, lattice, logbilinear, packing, simhash, topk, toxicity, warc
 from qmeasures.llm.common import fold, scratch, table
 
 
@@ -59,6 +59,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_roundtrip": op8_bpe_roundtrip,
     "op9_packing": op9_packing,
     "op10_language_id": op10_language_id,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -102,4 +107,30 @@ ORACLES: dict[str, str] = {
                    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+                   FROM documents),
+        w AS (SELECT i, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= 10),
+        v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        x AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term),
+        c AS (SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(x.n, 0) AS n,
+                     sum(coalesce(x.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+              FROM g JOIN k ON g.lang = k.lang
+              LEFT JOIN x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+        p AS (SELECT c.lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (c.total + 2 * v) AS p,
+                     1 + (1000000000::HUGEINT * (lang_n + 2)) // (v.total + 2 * v) AS q
+              FROM c JOIN v ON c.lang = v.lang),
+        s AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+              FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+              UNION ALL
+              SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q),
+        r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM r WHERE part = 'pair' OR rank <= 10""",
 }
