@@ -44,7 +44,8 @@ OTHER = ("[ROLE]", "[/ROLE] ", "</s>")
 #: A control string, its backslashes included, from behind its first character on.
 _REST = r"(?:\[(?=%s/?(?:INST|ROLE)\])|<(?=%s(?:/?s>|</?SYS>>)))"
 _BARE, _ANY, _ESCAPED = _REST % ("", ""), _REST % (r"\\*", r"\\*"), _REST % (r"\\+", r"\\+")
-_CLOSED = r"(?<=<</SYS>>|\[/INST\]|</s>)"
+_CLOSINGS = ("<</SYS>>", "[/INST]", "</s>")
+_PIECE = r"(?s).*?(?:<</SYS>>|\[/INST\]|</s>)"
 
 
 def escape(text: Column) -> Column:
@@ -88,10 +89,13 @@ def parse_turn(piece: Column) -> Column:
 
 
 def pieces(formatted: Column) -> Column:
-    """The turns of a formatted conversation as text; the first is null if the text does not open or close as it must."""
-    inner = F.when(formatted.startswith(BOS), F.substring(formatted, F.lit(len(BOS) + 1), F.length(formatted)))
-    parts = F.split(inner, _CLOSED)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1))
+    """The turns of a formatted conversation as text; null if the text does not open or close as it must."""
+    inner = F.substring(formatted, F.lit(len(BOS) + 1), F.length(formatted))
+    whole = inner == ""
+    for closing in _CLOSINGS:
+        whole |= inner.endswith(closing)
+    # every piece starts where the one before ends, so with a closing at the end nothing is left over
+    return F.when(formatted.startswith(BOS) & whole, F.regexp_extract_all(inner, F.lit(_PIECE), F.lit(0)))
 
 
 def parse(formatted: Column) -> Column:
@@ -145,8 +149,10 @@ def read_chats(chats: DataFrame) -> DataFrame:
     def joined(parts: Column) -> Column:  # null if a part is
         return F.when(~F.exists(parts, lambda x: x.isNull()), F.array_join(parts, ""))
 
-    read = chats.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"),
-                        joined(F.zip_with(pieces(F.col("formatted")), F.col("spans"), masked)).alias("loss"))
+    read = chats.select("conv_id", "formatted", "spans", pieces(F.col("formatted")).alias("pieces")).select(
+        "conv_id", "formatted", F.transform("pieces", parse_turn).alias("turns"),
+        F.zip_with("pieces", "spans", masked).alias("loss"))
+    read = read.withColumn("loss", joined(F.col("loss")))
     told = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
                        F.sha2(joined(told), 256).alias("turns_sha256"),
