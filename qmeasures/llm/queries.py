@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qmeasures.llm import bpe, chat, divergence, kneser, langid, lattice, logbilinear, packing, simhash, topk, toxicity, warc
+from qmeasures.llm import (bpe, chat, crosstoken, divergence, kneser, langid, lattice, logbilinear, packing, simhash, topk,
+                           toxicity, warc)
 from qmeasures.llm.common import fold, materialize, scratch, table
 
 
@@ -70,6 +71,11 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_chats(materialize(chat.format_chats(rows.union(planted))))
 
 
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstoken.align_corpus(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                   public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_source_divergence": op11_source_divergence,
     "op12_chat_format": op12_chat_format,
+    "op13_cross_tokenizer": op13_cross_tokenizer,
 }
 
 ORACLES: dict[str, str] = {
