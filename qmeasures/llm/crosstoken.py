@@ -4,8 +4,8 @@ Every text is tokenised whole by A (byte-level BPE, of a space and the text) and
 (sentencepiece BPE, which puts that space itself).  Where a token of A and a token of B
 both end and the next token of each starts with a space, the document is cut; each cut
 is verified on the byte offsets of both.  What lies between two cuts is a window, a pair of
-id tuples.  A window's alignment depends on its ids alone, so it is worked out once and
-remembered under them; a document is then a list of windows.
+id tuples.  A window's alignment depends on its ids alone, so it is worked out once in a block
+of documents and remembered under them; a document is then a list of windows.
 
     group   A and B tokens between two neighbouring offsets where tokens of both end
     link    an A token and a B token whose byte ranges overlap
@@ -28,7 +28,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -52,8 +51,6 @@ _LONG_SPACE = re.compile(r"\s{500}")
 STEP_BYTES = 1 << 20      # text aligned at a time
 BLOCK_BYTES = 16 << 20    # text of a block
 BLOCK_LINKS = 1 << 20     # links in the window table of a block
-REMEMBERED = 200_000      # windows of up to MEMO_TOKENS tokens whose alignment a worker keeps
-MEMO_TOKENS = 64
 
 
 @dataclass
@@ -94,26 +91,11 @@ def load(a_path: str, b_path: str) -> Vocabularies:
     return Vocabularies(a_json, a_bytes, ranked, b_model, b_bytes)
 
 
-def align(a_ids: list[int], b_ids: list[int], a_len: list[int], b_len: list[int]) -> tuple[list[int], str, int]:
-    """Links as a << 32 | b in order, the groups as text, their number; both sides have the same bytes."""
-    links, groups = [], []
-    i = j = at_i = at_j = 0
-    end_a, end_b = a_len[a_ids[0]], b_len[b_ids[0]]
-    while True:
-        links.append(a_ids[i] << 32 | b_ids[j])
-        if end_a == end_b:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a_ids[at_i:i])) + "|" + ",".join(map(str, b_ids[at_j:j])))
-            at_i, at_j = i, j
-            if i == len(a_ids):
-                return links, ";".join(groups), len(groups)
-            end_a, end_b = end_a + a_len[a_ids[i]], end_b + b_len[b_ids[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += a_len[a_ids[i]]
-        else:
-            j += 1
-            end_b += b_len[b_ids[j]]
+def _runs(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of the given sizes; runs may be empty."""
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    end = np.cumsum(sizes)
+    return total[end] - total[end - sizes]
 
 
 class Aligner:
@@ -135,7 +117,9 @@ class Aligner:
             lengths = [len(t) for t in tokens]
             self.sides.append((tokens, lengths, np.array(lengths), np.array([t[:1] == b" " for t in tokens]),
                                np.uint16 if len(tokens) <= 1 << 16 else np.uint32))
-        self.memo: dict[tuple[bytes, bytes], tuple[list[int], str, int]] = {}
+        a_told, b_told = ([str(i) for i in range(len(side[0]))] for side in self.sides)
+        # ids as they are written: within a group, and as the last of it
+        self.told = [x + end for told, ends in ((a_told, ",|"), (b_told, ",;")) for end in ends for x in told]
 
     def encode_a(self, text: str) -> list[int]:
         if self.fast is None or _LONG_SPACE.search(text):
@@ -178,34 +162,58 @@ class Aligner:
         first = np.cumsum([0] + [len(a) for a, _ in kept[:-1]])  # A tokens before each text
         return list(zip(*keys)), np.searchsorted(cuts, starts[0][0][first])
 
-    def alignment(self, key: tuple[bytes, bytes]) -> tuple[list[int], str, int]:
-        found = self.memo.get(key)
-        if found is None:
-            a, b = (np.frombuffer(raw, side[4]).tolist() for raw, side in zip(key, self.sides))
-            found = align(a, b, self.sides[0][1], self.sides[1][1])
-            if len(a) + len(b) <= MEMO_TOKENS:
-                if len(self.memo) >= REMEMBERED:
-                    self.memo.clear()
-                self.memo[key] = found
-        return found
+    def align(self, keys: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+        """Windows -> links (a << 32 | b, in order), links of each, groups of each, and the groups as text."""
+        ids, counts, starts, ends = [], [], [], []
+        for k, (_, _, lengths, _, kind) in enumerate(self.sides):
+            raw = [key[k] for key in keys]
+            x = np.frombuffer(b"".join(raw), kind).astype(np.int64)
+            ids.append(x)
+            counts.append(np.array([len(r) for r in raw]) // np.dtype(kind).itemsize)
+            ends.append(np.cumsum(lengths[x]))  # both sides have the same bytes
+            starts.append(ends[-1] - lengths[x])
+        low, high = np.searchsorted(ends[1], starts[0], "right"), np.searchsorted(starts[1], ends[0], "left")
+        met = high - low  # B tokens that each A token overlaps
+        b = np.arange(met.sum()) + np.repeat(low - np.cumsum(met) + met, met)
+        links = np.repeat(ids[0], met) << 32 | ids[1][b]
+        last = [other[np.minimum(np.searchsorted(other, own), len(other) - 1)] == own for own, other in (ends, ends[::-1])]
+        group = [np.cumsum(x) - x for x in last]
+        words = [len(side[0]) for side in self.sides]
+        told = np.concatenate([ids[0] + last[0] * words[0], ids[1] + 2 * words[0] + last[1] * words[1]])
+        order = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
+        parts = list(map(self.told.__getitem__, told[order].tolist()))
+        edge = np.cumsum(counts[0] + counts[1]).tolist()
+        texts = ["".join(parts[s:e])[:-1] for s, e in zip([0, *edge], edge)]
+        return links, _runs(met, counts[0]), _runs(last[0], counts[0]), texts
 
 
 class _Numbers(dict):
-    """Window -> its number in the block; a new one is aligned when it is first asked for."""
+    """Window (id tuples of A and B, as bytes) -> its number in the block, with all windows' alignments."""
 
     def __init__(self, aligner: Aligner) -> None:
         super().__init__()
-        self.aligner, self.texts, self.groups, self.sizes, self.links = aligner, [], [], [], array("q")
+        self.aligner, self.texts, self.new = aligner, [], []
+        self.groups, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.links: list[np.ndarray] = []
+        self.n_links = 0
 
     def __missing__(self, key: tuple[bytes, bytes]) -> int:
-        links, text, groups = self.aligner.alignment(key)
-        number = self[key] = len(self.texts)
-        self.texts.append(text)
-        self.groups.append(groups)
-        self.sizes.append(len(links))
-        self.links.extend(links)
+        self.new.append(key)
+        number = self[key] = len(self)
         return number
 
+    def numbers(self, keys: list[tuple[bytes, bytes]]) -> list[int]:
+        """The numbers of windows; those that the block hasn't met are aligned, all together."""
+        found = [self[k] for k in keys]
+        if self.new:
+            links, sizes, groups, texts = self.aligner.align(self.new)
+            self.links.append(links)
+            self.n_links += len(links)
+            self.sizes, self.groups = np.append(self.sizes, sizes), np.append(self.groups, groups)
+            self.texts += texts
+            self.new = []
+        return found
+
 
 _DOC = "doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 _BLOCK = ", block long, windows array<int>, sizes array<int>, links array<long>, pairs array<long>, uses array<long>"
@@ -224,21 +232,22 @@ class _Block:
     def add(self, ids: list, texts: list[str | None]) -> None:
         pairs = self.windows.aligner.tokens(texts)
         kept = [p for p in pairs if p]
+        told = iter(())
         if kept:
             keys, first = self.windows.aligner.windows(kept)
-            numbers = [self.windows[k] for k in keys]
-            bounds = iter([*first.tolist(), len(numbers)])
-            start = next(bounds)
+            numbers = self.windows.numbers(keys)
+            flat, edge = np.array(numbers, np.int32), [*first.tolist(), len(numbers)]
+            sizes = np.diff(edge)
+            told = zip(_runs(self.windows.groups[flat], sizes).tolist(), _runs(self.windows.sizes[flat], sizes).tolist(),
+                       zip(edge, edge[1:]))
         for pair in pairs:
             if pair is None:
                 self.docs.append((0, 0, 0, 0, "", ()))
                 continue
-            end = next(bounds)
-            own, start = numbers[start:end], end
-            text = ";".join(map(self.windows.texts.__getitem__, own))
-            self.docs.append((len(pair[0]), len(pair[1]), sum(map(self.windows.groups.__getitem__, own)),
-                              sum(map(self.windows.sizes.__getitem__, own)), hashlib.sha256(text.encode()).hexdigest(),
-                              np.array(own, np.int32)))
+            groups, links, (start, end) = next(told)
+            text = ";".join(map(self.windows.texts.__getitem__, numbers[start:end]))
+            self.docs.append((len(pair[0]), len(pair[1]), groups, links, hashlib.sha256(text.encode()).hexdigest(),
+                              flat[start:end]))
         self.ids += ids
         self.bytes += sum(len(t or "") for t in texts)
 
@@ -256,7 +265,7 @@ class _Block:
         for doc in self.docs:
             if len(doc[5]):
                 used += np.bincount(doc[5], minlength=len(used))
-        links = np.frombuffer(self.windows.links, np.int64)
+        links = np.concatenate([np.zeros(0, np.int64), *self.windows.links])
         pairs, place = np.unique(links, return_inverse=True)
         uses = np.bincount(place, np.repeat(used, self.windows.sizes), len(pairs)).astype(np.int64)
         row = [None] * 6 + [self.number, None, self.windows.sizes, links, pairs, uses]
@@ -281,7 +290,7 @@ def _blocks(shipped, mark: str, schema: pa.Schema):
                     end += 1
                 block.add(ids[at:end], texts[at:end])
                 at = end
-                if block.bytes >= BLOCK_BYTES or len(block.windows.links) >= BLOCK_LINKS:
+                if block.bytes >= BLOCK_BYTES or block.windows.n_links >= BLOCK_LINKS:
                     yield from block.batches(schema)
                     number += 1
                     block = _Block(number, _Numbers(aligner))
@@ -293,13 +302,6 @@ def _blocks(shipped, mark: str, schema: pa.Schema):
 _ALIGNERS: dict[str, Aligner] = {}  # of this Python worker, by vocabularies
 
 
-def _summed(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums of consecutive runs; runs may be empty."""
-    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-    end = np.cumsum(sizes)
-    return total[end] - total[end - sizes]
-
-
 def _looked_up(block: pa.Table, counts: pa.Table) -> pa.Table:
     """Documents of one block with n_best and count_sum, from the corpus-wide counts of its pairs."""
     flat = lambda column: (column.combine_chunks().flatten().to_numpy(zero_copy_only=False),
@@ -312,7 +314,7 @@ def _looked_up(block: pa.Table, counts: pa.Table) -> pa.Table:
     at = order[np.searchsorted(pair, links, sorter=order)] if len(links) else np.zeros(0, np.int64)
     windows, lengths = flat(docs.column("windows"))
     for name, values in (("n_best", best[at]), ("count_sum", n[at])):
-        docs = docs.append_column(name, pa.array(_summed(_summed(values, sizes)[windows], lengths)))
+        docs = docs.append_column(name, pa.array(_runs(_runs(values, sizes)[windows], lengths)))
     return docs.drop_columns(["block", "windows", "sizes", "links"])
 
 

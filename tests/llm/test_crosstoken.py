@@ -94,18 +94,16 @@ def test_against_slow(spark, rows):
     assert sum(r[1] == 0 for r in want) >= 3 and sum(r[1] > 0 for r in want) > 100
 
 
-def test_small_blocks_and_forgetting_change_nothing(rows, monkeypatch):
-    """Driven without Spark: blocks of one step, and no memory for windows."""
-    v = crosstoken.load(A, B)
-    whole = crosstoken._Block(0, crosstoken._Numbers(crosstoken.Aligner(v)))
+def test_remembered_windows_change_nothing(rows):
+    """Driven without Spark: each text in a block of its own, and all in one."""
+    aligner = crosstoken.Aligner(crosstoken.load(A, B))
+    whole = crosstoken._Block(0, crosstoken._Numbers(aligner))
     whole.add([i for i, _ in rows], [t for _, t in rows])
-    monkeypatch.setattr(crosstoken, "REMEMBERED", 1)
-    monkeypatch.setattr(crosstoken, "MEMO_TOKENS", 4)
-    aligner = crosstoken.Aligner(v)
     for (i, text), doc in zip(rows, whole.docs):
         single = crosstoken._Block(1, crosstoken._Numbers(aligner))
         single.add([i], [text])
         assert single.docs[0][:5] == doc[:5], text
+    assert len(whole.windows) < sum(len(d[5]) for d in whole.docs) / 2
 
 
 def test_many_blocks_share_counts(spark, rows, monkeypatch):
