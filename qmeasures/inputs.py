@@ -25,8 +25,10 @@ from __future__ import annotations
 import threading
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from qmeasures.operators.flagged import FlagRequest, flag_lines
+from qmeasures.operators.reuse import materialize
 
 _COMPONENT_CACHE: dict = {}
 _MEMO_LOCK = threading.Lock()
@@ -66,6 +68,42 @@ class ClaimsInputs:
     def forget(self) -> None:
         """Drop shared intermediates (after their files are released)."""
         self.__dict__.pop("_memo", None)
+        self.__dict__.pop("_flags", None)
+
+    #: line columns that measures read beside flags
+    LINE_COLUMNS = ("member_id", "claimid", "prm_line", "prm_fromdate", "prm_todate", "fromdate", "prm_fromdate_case",
+                    "prm_todate_case", "icdversion")
+
+    def request(self, source: str, measure: str, component: str, **how) -> FlagRequest:
+        return FlagRequest(source, measure, component, **how)
+
+    def flagged_lines(self, requests, write_where: Column | None = None) -> DataFrame:
+        """Medical claim lines with a boolean column for each request (``FlagRequest.name``), at least one of
+        whose codes a line carries.
+
+        If the run has prepared the flags of all its measures (:meth:`prepare_flags`), all of them read what was
+        written.  Otherwise the frame is lazy, and a measure's own filters reach the scan; a measure that
+        reads many flags several times gives its filter as ``write_where``, and gets the lines that pass
+        it written once.  Either way the measure applies its filters itself.
+        """
+        wanted = sorted(set(requests), key=lambda r: r.name)
+        shared = self.__dict__.get("_flags")
+        if shared is not None and set(wanted) <= shared[0]:
+            return shared[1]
+        if write_where is None:
+            return self.memo(("flagged", tuple(wanted)), lambda: self._flag(self.outclaims, wanted))
+        return self.memo(("flagged", tuple(wanted), str(write_where)), lambda: materialize(
+            self._flag(self.outclaims.filter(write_where), wanted)))
+
+    def _flag(self, claims: DataFrame, wanted) -> DataFrame:
+        tables = {"oha": self.oha_codes, "hedis": self.hedis_codes, "medications": self.medications}
+        return flag_lines(claims, tables, wanted, self.LINE_COLUMNS)
+
+    def prepare_flags(self, requests) -> None:
+        """One scan of the code columns for all these requests, written; later calls read the result."""
+        shared = self.__dict__.get("_flags")
+        if shared is None or not set(requests) <= shared[0]:
+            self.__dict__["_flags"] = (frozenset(requests), materialize(self._flag(self.outclaims, requests)))
 
     def members(self) -> DataFrame:
         """One row per member (duplicate roster rows collapse; earliest dob wins)."""

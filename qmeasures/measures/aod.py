@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from qmeasures.functions.codes import claims_filter
 from qmeasures.functions.dates import D, age_years
 from qmeasures.inputs import ClaimsInputs
+from qmeasures.operators.flagged import FlagRequest
 from qmeasures.operators.intervals import contiguous_runs, eligibility_gaps
 from qmeasures.operators.ordered import first_row
 from qmeasures.operators.reuse import materialize
@@ -32,23 +34,31 @@ def intake_start(p: MeasureParams) -> dt.date:
     return dt.date(p.measure_start.year, 1, 1)
 
 
+def requests(inp: ClaimsInputs) -> list[FlagRequest]:
+    """Claim line flags of the measure."""
+    return [inp.request("hedis", MEASURE, c) for c, _ in inp.component_list(MEASURE, source="hedis")]
+
+
 def claim_flags(inp: ClaimsInputs, p: MeasureParams, adults: DataFrame) -> tuple[DataFrame, list[str]]:
     """Medical claims in [Jan 1 - 60 d, end] of adults: component flags max'ed per claim."""
     start = intake_start(p)
-    lo = start - dt.timedelta(days=HISTORY_DAYS)
-    claims = (inp.outclaims.filter(F.col("prm_fromdate").between(D(lo), D(p.measure_end)))
-              .join(adults, "member_id", "left_semi"))
-    comps = [c for c, _ in inp.component_list(MEASURE, source="hedis")]
-    lines = claims.select(
-        "member_id", "claimid", "prm_fromdate", "prm_fromdate_case", "prm_todate_case",
-        F.datediff("prm_todate_case", D(start)).alias("days_since_ips"),
-        *[claims_filter(inp.hedis_codes, MEASURE, c, claims).cast("int").alias(c) for c in comps])
-    per_claim = (lines.groupBy("member_id", "prm_fromdate_case", "prm_todate_case", "claimid")
-                 .agg(F.max("prm_fromdate").alias("prm_fromdate"), F.max("days_since_ips").alias("days_since_ips"),
-                      *[F.max(c).alias(c) for c in comps]))
-    # the claim's dates are maxima over all its lines, so claims are dropped only after the
-    # roll-up; a claim without any flag contributes nothing to any branch
-    return per_claim.filter(F.greatest(*[F.col(c) for c in comps], F.lit(0)) > 0), comps
+    in_window = F.col("prm_fromdate").between(D(start - dt.timedelta(days=HISTORY_DAYS)), D(p.measure_end))
+    wanted = requests(inp)
+    comps = [r.component for r in wanted]
+    keys = ["member_id", "prm_fromdate_case", "prm_todate_case", "claimid"]
+    # a claim without any flag contributes nothing to any branch: flagged claims first
+    any_flag = reduce(lambda a, b: a | b, [F.col(f"`{r.name}`") for r in wanted], F.lit(False))
+    flagged = (inp.flagged_lines(wanted, in_window).filter(in_window & any_flag).join(adults, "member_id", "left_semi")
+               .select(*keys, "prm_fromdate", *[F.col(f"`{r.name}`").cast("int").alias(r.component) for r in wanted]))
+    # the claim's service date is the maximum over all its lines in the window, flagged or not
+    # (a scan of five narrow columns; keys may be NULL)
+    same = reduce(lambda a, b: a & b, [F.col(f"f.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys])
+    dates = (inp.outclaims.filter(in_window).select(*keys, "prm_fromdate").alias("l")
+             .join(flagged.select(*keys).distinct().alias("f"), same, "left_semi")
+             .select(*keys, "prm_fromdate", *[F.lit(None).cast("int").alias(c) for c in comps]))
+    per_claim = (flagged.unionByName(dates).groupBy(*keys)
+                 .agg(F.max("prm_fromdate").alias("prm_fromdate"), *[F.max(c).alias(c) for c in comps]))
+    return per_claim.withColumn("days_since_ips", F.datediff("prm_todate_case", D(start))), comps
 
 
 def episodes(inp: ClaimsInputs, p: MeasureParams, adults: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from qmeasures.functions.codes import any_versioned_diag, claims_filter, code_set, versioned_diag_codes
+from qmeasures.functions.codes import claims_filter
 from qmeasures.functions.dates import D, age_years, shift_date
 from qmeasures.functions.text import mmddyyyy
 from qmeasures.inputs import ClaimsInputs
 from qmeasures.operators.empirical import empirical_elig_end
+from qmeasures.operators.flagged import FlagRequest
 from qmeasures.operators.intervals import eligibility_gaps
 from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
@@ -60,22 +61,22 @@ def denominator_rows(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
                     "report_date_plus_60", "gap_cnt", "gap_days", "delayed_start_gap_cnt"))
 
 
+def requests(inp: ClaimsInputs) -> list[FlagRequest]:
+    """Claim line flags of the measure; the combined rule needs a procedure and a versioned diagnosis."""
+    return [*(inp.request("oha", MEASURE, f"numerator_{x}") for x in ("physical", "mental", "dental", "prts")),
+            inp.request("oha", MEASURE, "numerator_physment", systems=("CPT",)),
+            inp.request("oha", MEASURE, "numerator_physment", versioned=True)]
+
+
 def assessment_flags(inp: ClaimsInputs, p: MeasureParams, denom: DataFrame) -> DataFrame:
     """max physical / mental / dental assessment flags per (member, report_date, age)."""
-    c = inp.outclaims
     codes = inp.oha_codes
-    phys = claims_filter(codes, MEASURE, "numerator_physical", c)
-    ment = claims_filter(codes, MEASURE, "numerator_mental", c)
-    dent = claims_filter(codes, MEASURE, "numerator_dental", c)
-    prts = claims_filter(codes, MEASURE, "numerator_prts", c)
-    combined_cpt = code_set(codes, MEASURE, "numerator_physment", ["CPT"])
-    mh_codes = versioned_diag_codes(codes, MEASURE, "numerator_physment")
-    lines = (c.filter(F.col("prm_fromdate").between(D(p.measure_start), D(p.measure_end))
+    phys, ment, dent, prts, combined, mental_diag = (F.col(f"`{r.name}`") for r in requests(inp))
+    lines = (inp.flagged_lines(requests(inp)).filter(F.col("prm_fromdate").between(D(p.measure_start), D(p.measure_end))
                       & (phys | ment | dent | prts))
              .select("member_id", "prm_fromdate",
                      phys.alias("_phys"), ment.alias("_ment"), dent.alias("_dent"), prts.alias("_prts"),
-                     (F.coalesce(F.col("hcpcs").isin(combined_cpt), F.lit(False))
-                      & any_versioned_diag(c, mh_codes)).alias("_physment"))
+                     (combined & mental_diag).alias("_physment"))
              .distinct())  # bounded by the calendar before the join with the notifications
     j = lines.join(denom.select("member_id", "report_date", "report_date_age",
                                 "report_date_minus_30", "report_date_plus_60"), "member_id")

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from qmeasures.functions.codes import claims_filter
 from qmeasures.functions.dates import D, age_years, in_range, within
 from qmeasures.functions.text import mmddyyyy, percent0
 from qmeasures.inputs import ClaimsInputs
+from qmeasures.operators.flagged import FlagRequest
 from qmeasures.operators.ordered import top_k
 from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
@@ -25,32 +25,47 @@ MI_MIN_DATES = 2
 MI_MIN_AGE = 18
 
 
-def _pred(inp, component, frame):
-    return claims_filter(inp.oha_codes, MEASURE, component, frame)
+ED = ("numer_cpt", "numer_rev", "numer_procs")
+
+
+def _request(inp: ClaimsInputs, component: str) -> FlagRequest:
+    return inp.request("oha", MEASURE, component)
+
+
+def _mi_request(inp: ClaimsInputs) -> FlagRequest:
+    return inp.request("oha", MEASURE_MI, "denominator")
+
+
+def requests(inp: ClaimsInputs) -> list[FlagRequest]:
+    """Claim line flags of the measure."""
+    return [_request(inp, x) for x in (*ED, "numer_excl_mh", "numer_excl_psych", "numer_excl_ip_stay", "denom_excl_hospice")]
+
+
+def requests_mi(inp: ClaimsInputs) -> list[FlagRequest]:
+    return [*requests(inp), _mi_request(inp)]
 
 
 def relevant_lines(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
-    """One pass over the claim lines: every flag the measure needs, only flagged lines kept.
+    """Lines with an ED, psychiatric-exclusion, inpatient-stay or hospice flag of the measure.
 
-    The ED, psychiatric-exclusion, inpatient-stay, denied and hospice branches all read
-    this narrow, checkpointed frame instead of scanning the claims table once each.
+    Five branches read this narrow frame, so it is written once.
     """
-    def memo():
-        c = inp.outclaims
-        ed = _pred(inp, "numer_cpt", c) | _pred(inp, "numer_rev", c) | _pred(inp, "numer_procs", c)
-        flags = {
-            "is_ed": ed,
-            "icddiag_excl": _pred(inp, "numer_excl_mh", c),
-            "is_psych": _pred(inp, "numer_excl_psych", c),
-            "is_ip": _pred(inp, "numer_excl_ip_stay", c),
-            "is_hospice": in_range("prm_fromdate", p.measure_start, p.measure_end)
-            & _pred(inp, "denom_excl_hospice", c),
-        }
-        keep = flags["is_ed"] | flags["is_psych"] | flags["is_ip"] | flags["is_hospice"]
-        rel = c.filter(keep).select("member_id", "claimid", "prm_fromdate", "prm_line",
-                                    *[v.cast("int").alias(k) for k, v in flags.items()])
-        return materialize(rel)
-    return inp.memo(("ed_lines", p.key()), memo)
+    return inp.memo(("ed_lines", p.key()), lambda: materialize(_relevant(inp, p)))
+
+
+def _relevant(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
+    lines = inp.flagged_lines(requests(inp))
+    on = lambda component: F.col(f"`{_request(inp, component).name}`")
+    flags = {
+        "is_ed": on(ED[0]) | on(ED[1]) | on(ED[2]),
+        "icddiag_excl": on("numer_excl_mh"),
+        "is_psych": on("numer_excl_psych"),
+        "is_ip": on("numer_excl_ip_stay"),
+        "is_hospice": in_range("prm_fromdate", p.measure_start, p.measure_end) & on("denom_excl_hospice"),
+    }
+    keep = flags["is_ed"] | flags["is_psych"] | flags["is_ip"] | flags["is_hospice"]
+    return lines.filter(keep).select("member_id", "claimid", "prm_fromdate", "prm_line",
+                                     *[v.cast("int").alias(k) for k, v in flags.items()])
 
 
 def denied_ed_claims(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
@@ -184,10 +199,11 @@ def ed_visits_all(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
 
 def mental_illness_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     """Adults with >= 2 distinct diagnosis dates in the 36 months before the year end."""
-    c = inp.outclaims
+    request = _mi_request(inp)
+    shared = inp.flagged_lines([request])
     lo = F.add_months(D(p.measure_end), -MI_LOOKBACK_MONTHS)
-    dx = (c.filter((F.col("prm_fromdate") > lo) & (F.col("prm_fromdate") < D(p.measure_end))
-                   & claims_filter(inp.oha_codes, MEASURE_MI, "denominator", c))
+    dx = (shared.filter((F.col("prm_fromdate") > lo) & (F.col("prm_fromdate") < D(p.measure_end))
+                   & F.col(f"`{request.name}`"))
           .groupBy("member_id").agg(F.count_distinct("prm_fromdate").alias("cnt"))
           .filter(F.col("cnt") >= MI_MIN_DATES))
     adults = inp.members().filter(age_years("dob", p.measure_end) >= MI_MIN_AGE).select("member_id")

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from qmeasures.functions.codes import claims_filter
 from qmeasures.functions.dates import D, age_years, shift_date
 from qmeasures.inputs import ClaimsInputs
+from qmeasures.operators.flagged import FlagRequest
 from qmeasures.operators.intervals import eligibility_gaps
 from qmeasures.operators.reuse import materialize
 from qmeasures.operators.rollup import max_rollup
@@ -30,16 +31,38 @@ def _on(c):
     return F.coalesce(F.col(c) != 0, F.lit(False))
 
 
-def claim_flags(inp: ClaimsInputs, p: MeasureParams, adults: DataFrame) -> DataFrame:
-    """Component flags per claim (max over lines) with derived flags and time period."""
-    prior_start = shift_date(p.measure_start, years=-1)
-    prior_end = shift_date(p.measure_end, years=-1)
-    claims = inp.outclaims.join(adults.select("member_id"), "member_id", "left_semi")
-    comps = [c for c, _ in inp.component_list(MEASURE, source="hedis")]
-    lines = (claims.filter(F.col("prm_fromdate").between(D(prior_start), D(p.measure_end)))
-             .select("member_id", "prm_fromdate", "claimid",
-                     *[claims_filter(inp.hedis_codes, MEASURE, c, claims).cast("int").alias(c) for c in comps]))
-    per_claim = max_rollup(lines, ["member_id", "prm_fromdate", "claimid"], comps)
+def requests(inp: ClaimsInputs) -> list[FlagRequest]:
+    """Claim line flags of the measure."""
+    return [inp.request("hedis", MEASURE, c) for c, _ in inp.component_list(MEASURE, source="hedis")]
+
+
+def _two_years(p: MeasureParams) -> Column:
+    return F.col("prm_fromdate").between(D(shift_date(p.measure_start, years=-1)), D(p.measure_end))
+
+
+def _period(p: MeasureParams) -> Column:
+    prior_start, prior_end = shift_date(p.measure_start, years=-1), shift_date(p.measure_end, years=-1)
+    return (F.when(F.col("prm_fromdate").between(D(p.measure_start), D(p.measure_end)), "current_year")
+            .when(F.col("prm_fromdate").between(D(prior_start), D(prior_end)), "prior_year"))
+
+
+def claim_flags(inp: ClaimsInputs, p: MeasureParams, adults: DataFrame, every_claim: bool = False) -> DataFrame:
+    """Component flags per claim (max over lines) with derived flags and time period.
+
+    Claims without any flag are left out unless ``every_claim`` is set: all their flags are 0.
+    """
+    wanted = requests(inp)
+    comps = [r.component for r in wanted]
+    keys = ["member_id", "prm_fromdate", "claimid"]
+    lines = (inp.flagged_lines(wanted, _two_years(p)).filter(_two_years(p)).join(adults.select("member_id"), "member_id", "left_semi")
+             .select(*keys, *[F.col(f"`{r.name}`").cast("int").alias(r.component) for r in wanted]))
+    if every_claim:
+        others = (inp.outclaims.filter(_two_years(p)).join(adults.select("member_id"), "member_id", "left_semi")
+                  .select(*keys, *[F.lit(0).alias(c) for c in comps]))
+        lines = lines.unionByName(others)
+    else:
+        lines = lines.filter(F.greatest(*[F.col(c) for c in comps], F.lit(0), F.lit(0)) > 0)
+    per_claim = max_rollup(lines, keys, comps)
     tele = _or("telehealth_modifier", "telehealth_pos")
     op = _or("outpatient", "observation", "ed")
     diab = _on("diabetes")
@@ -58,9 +81,22 @@ def claim_flags(inp: ClaimsInputs, p: MeasureParams, adults: DataFrame) -> DataF
     out = out.withColumn("two_visits_non_tele", F.greatest("nonacute_ip_diabetes", "other_outpatient_non_tele"))
     out = out.withColumn("two_visits_tele", F.greatest("other_outpatient_tele", "telephone_diabetes",
                                                        "online_assessments_diabetes"))
-    period = (F.when(F.col("prm_fromdate").between(D(p.measure_start), D(p.measure_end)), "current_year")
-              .when(F.col("prm_fromdate").between(D(prior_start), D(prior_end)), "prior_year"))
-    return out.withColumn("time_period", period)
+    return out.withColumn("time_period", _period(p))
+
+
+def period_rows(inp: ClaimsInputs, p: MeasureParams, adults: DataFrame) -> DataFrame:
+    """Sums of every flag per member x time period, for each period in which the member has any claim.
+
+    The flags come from the flagged claims; that a period has a claim at all, which the number of
+    period rows depends on, from a scan of two columns.
+    """
+    flags = claim_flags(inp, p, adults)
+    present = (inp.outclaims.filter(_two_years(p)).select("member_id", _period(p).alias("time_period")).distinct()
+               .join(adults.select("member_id"), "member_id", "left_semi"))
+    nothing = [F.lit(0).cast(f.dataType).alias(f.name) for f in flags.schema.fields
+               if f.name not in ("member_id", "prm_fromdate", "claimid", "time_period")]
+    rows = flags.drop("prm_fromdate", "claimid").unionByName(present.select("member_id", "time_period", *nothing))
+    return period_sums(rows.filter(F.col("time_period").isNotNull()))
 
 
 def period_sums(flags: DataFrame) -> DataFrame:
@@ -127,9 +163,9 @@ def denominator_inputs(inp: ClaimsInputs, p: MeasureParams):
     """(members with age, adults, period sums, medical-rule members, rx members, rx exclusion members)."""
     members = inp.members().withColumn("age", age_years("dob", p.measure_end))
     adults = members.filter(F.col("age") >= MIN_AGE).select("member_id", "age")
-    two_years = F.col("prm_fromdate").between(D(shift_date(p.measure_start, years=-1)), D(p.measure_end))
+    two_years = _two_years(p)
     # member x period sums: read by the denominator rule and the exclusion rules
-    periods = materialize(period_sums(claim_flags(inp, p, adults)).filter(F.col("time_period").isNotNull()))
+    periods = materialize(period_rows(inp, p, adults))
     qualifies = ((F.col("acute_ip_diabetes") >= 1) | (F.col("two_visits_non_tele") >= 2)
                  | ((F.col("two_visits_non_tele") >= 1) & (F.col("two_visits_tele") >= 1)))
     med_members = periods.filter(qualifies).select("member_id").distinct()

@@ -6,9 +6,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from qmeasures.functions.codes import any_versioned_diag, claims_filter, versioned_diag_codes
 from qmeasures.functions.dates import D
 from qmeasures.inputs import ClaimsInputs
+from qmeasures.operators.flagged import FlagRequest
 from qmeasures.operators.intervals import anchored_groups, coverage_islands, eligibility_gaps
 from qmeasures.operators.ordered import first_row
 from qmeasures.operators.reuse import materialize
@@ -39,14 +39,17 @@ def intake_period(p: MeasureParams):
     return start, next_year - dt.timedelta(days=1)
 
 
-def line_flags(inp: ClaimsInputs) -> DataFrame:
-    c = inp.outclaims
+def requests(inp: ClaimsInputs) -> list[FlagRequest]:
+    """Claim line flags of the measure; the pregnancy list must be ICD-10 diagnoses throughout."""
     comps = [x for x, _ in inp.component_list(MEASURE, exclude=SKIPPED_COMPONENTS)]
-    # the list must be ICD-10 diagnoses throughout; anything else stops the run
-    pregnancy = versioned_diag_codes(inp.hedis_codes, MEASURE, "pregnancy_diagnosis", only=("ICD10CM-Diag",))
-    return c.select("member_id", "prm_fromdate", "prm_todate",
-                    *[claims_filter(inp.hedis_codes, MEASURE, x, c).cast("int").alias(x) for x in comps],
-                    any_versioned_diag(c, pregnancy).cast("int").alias("pregnancy_diagnosis"))
+    return [*(inp.request("hedis", MEASURE, x) for x in comps),
+            inp.request("hedis", MEASURE, "pregnancy_diagnosis", versioned=True, only=("ICD10CM-Diag",))]
+
+
+def line_flags(inp: ClaimsInputs) -> DataFrame:
+    wanted = requests(inp)
+    return inp.flagged_lines(wanted).select("member_id", "prm_fromdate", "prm_todate",
+                                            *[F.col(f"`{r.name}`").cast("int").alias(r.component) for r in wanted])
 
 
 def delivery_dates(flags: DataFrame, p: MeasureParams) -> DataFrame:
@@ -75,7 +78,7 @@ def enrollment_segments(delivery_spans: DataFrame) -> DataFrame:
 
 
 def relevant_lines(inp: ClaimsInputs) -> DataFrame:
-    """Materialised claim lines that carry a delivery, visit, non-live-birth or hospice flag."""
+    """Written claim lines that carry a delivery, visit, non-live-birth or hospice flag."""
     all_flags = line_flags(inp)
     relevant = (_on("deliveries") | _on("non_live_births") | _on("hospice_encounter") | _on("hospice_intervention")
                 | _on("prenatal_bundled") | _on("standalone_prenatal") | _on("prenatal_visits")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from qmeasures.functions.codes import claims_filter
 from qmeasures.functions.dates import D, age_years, in_range, within
 from qmeasures.functions.text import mmddyyyy
 from qmeasures.inputs import ClaimsInputs
 from qmeasures.operators.empirical import empirical_elig_end
+from qmeasures.operators.flagged import FlagRequest
 from qmeasures.operators.intervals import eligibility_gaps
 from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
@@ -19,6 +19,12 @@ AGE_LOW, AGE_HIGH = 3, 6
 MAX_GAPS, MAX_GAP_DAYS = 1, 45
 
 
+def requests(inp: ClaimsInputs) -> list[FlagRequest]:
+    """Claim line flags of the measure."""
+    return [inp.request("hedis", MEASURE, x) for x in ("hospice_encounter", "hospice_intervention", "well_care",
+                                                       "telehealth_modifier", "telehealth_pos")]
+
+
 def denominator_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     """member_id, dob, denom_excluded_yn for members passing age and continuity."""
     excluded = (relevant_lines(inp, p).filter(F.col("is_hospice") == 1)
@@ -37,21 +43,18 @@ def denominator_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
 
 
 def relevant_lines(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
-    """One pass over the claim lines: hospice lines of the year and qualifying visits."""
-    def memo():
-        codes = inp.hedis_codes
-        claims = inp.outclaims
-        hospice = (within("fromdate", p.measure_start, p.measure_end)
-                   & (claims_filter(codes, MEASURE, "hospice_encounter", claims)
-                      | claims_filter(codes, MEASURE, "hospice_intervention", claims)))
-        visit = (claims_filter(codes, MEASURE, "well_care", claims)
-                 & ~claims_filter(codes, MEASURE, "telehealth_modifier", claims)
-                 & ~claims_filter(codes, MEASURE, "telehealth_pos", claims))
-        rel = claims.filter(hospice | visit).select(
-            "member_id", "fromdate", F.coalesce(hospice, F.lit(False)).cast("int").alias("is_hospice"),
-            visit.cast("int").alias("is_visit"))
-        return materialize(rel)
-    return inp.memo(("well_child_lines", p.key()), memo)
+    """Hospice lines of the year and qualifying visits, written once for both branches."""
+    return inp.memo(("well_child_lines", p.key()), lambda: materialize(_relevant(inp, p)))
+
+
+def _relevant(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
+    on = lambda component: F.col(f"`{inp.request('hedis', MEASURE, component).name}`")
+    hospice = (within("fromdate", p.measure_start, p.measure_end)
+               & (on("hospice_encounter") | on("hospice_intervention")))
+    visit = on("well_care") & ~on("telehealth_modifier") & ~on("telehealth_pos")
+    return inp.flagged_lines(requests(inp)).filter(hospice | visit).select(
+        "member_id", "fromdate", F.coalesce(hospice, F.lit(False)).cast("int").alias("is_hospice"),
+        visit.cast("int").alias("is_visit"))
 
 
 def qualifying_visits(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:

@@ -95,7 +95,7 @@ def claim_rollup(spark, sf_dir) -> DataFrame:
     inp = _inp(spark, sf_dir)
     adults = (inp.members().withColumn("age", age_years("dob", P.measure_end))
               .filter(F.col("age") >= oral_eval.MIN_AGE).select("member_id", "age"))
-    return oral_eval.claim_flags(inp, P, adults)
+    return oral_eval.claim_flags(inp, P, adults, every_claim=True)
 
 
 def claim_rollup_sql() -> str:

@@ -79,12 +79,12 @@ DRIVER_TARGETS = [
 ]
 
 
-def all_measure_results(spark, sf_dir) -> dict:
+def all_measure_results(spark, sf_dir, shared_pass: bool | None = None) -> dict:
     """Every registered measure (opt-in ones enabled) on one set of inputs."""
     from qmeasures.plans.registry import default_registry
     reg = default_registry().enable("DHS_assessments", "diabetes_oral_eval", "prev_dental_1_to_5",
                                     "prev_dental_6_to_14")
-    return reg.run(_inputs(spark, sf_dir), P)
+    return reg.run(_inputs(spark, sf_dir), P, shared_pass=shared_pass)
 
 
 def roster(spark, sf_dir) -> DataFrame:
@@ -102,6 +102,12 @@ def stack_results_q(spark, sf_dir) -> DataFrame:
     return stack_results(all_measure_results(spark, sf_dir))
 
 
+def shared_pass_results(spark, sf_dir) -> DataFrame:
+    """All measures over one written pass of the claim lines' code columns."""
+    from qmeasures.plans.combine import stack_results
+    return stack_results(all_measure_results(spark, sf_dir, shared_pass=True))
+
+
 def combined_results(spark, sf_dir) -> DataFrame:
     from qmeasures.plans.combine import abbreviations_frame, combine_results
     targets = spark.createDataFrame(DRIVER_TARGETS, "measure_name_short string, measure_target_value double, "
@@ -130,6 +136,7 @@ MEASURE_QUERIES = {
     "m_aod_engage": m_aod_engage,
     "long_flags": long_flags,
     "stack_results": stack_results_q,
+    "shared_pass_results": shared_pass_results,
     "combined_results": combined_results,
     "rate_summary": rate_summary_q,
 }
@@ -157,6 +164,7 @@ def all_oracles() -> dict:
         "m_aod_engage": S.aod_sql("engage"),
         "long_flags": S.dental_long_sql(),
         "stack_results": S.stack_sql(),
+        "shared_pass_results": S.stack_sql(),
         "combined_results": S.combined_sql(),
         "rate_summary": S.rate_summary_sql(),
     }
