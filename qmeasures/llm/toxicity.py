@@ -157,6 +157,12 @@ def calibrate(x: np.ndarray, y: np.ndarray, prior: float) -> np.ndarray:
     return beta
 
 
+def _sum_rows(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``values`` with the same place; every place from 0 on occurs."""
+    order = np.argsort(at, kind="stable")
+    return np.add.reduceat(values[order], np.flatnonzero(np.diff(at[order], prepend=-1)), axis=0)
+
+
 class Adagrad:
     def __init__(self, rate: float):
         self.rate, self.seen = rate, {}
@@ -169,8 +175,7 @@ class Adagrad:
     def rows(self, name: str, p: np.ndarray, at: np.ndarray, g: np.ndarray) -> None:
         s = self.seen.setdefault(name, np.full(p.shape, 1e-6, np.float32))
         places, inverse = np.unique(at, return_inverse=True)
-        total = np.zeros((len(places), p.shape[1]), np.float32)
-        np.add.at(total, inverse, g)
+        total = _sum_rows(g, inverse)
         s[places] += total * total
         p[places] -= self.rate * total / np.sqrt(s[places])
 
@@ -214,11 +219,11 @@ def _step(net: Network, opt: Adagrad, lexicon: Lexicon, ids: np.ndarray, labels:
     mask = (part > 0).astype(np.float32)
     used, inverse = np.unique(part, return_inverse=True)
     inverse = inverse.reshape(part.shape)
-    grams = [lexicon.grams[lexicon.at[i]:lexicon.at[i] + lexicon.size[i]] for i in used]
-    flat, rows = np.concatenate(grams), np.repeat(np.arange(len(used)), lexicon.size[used])
-    spread = (1 / np.sqrt(lexicon.size[used])).astype(np.float32)
-    means = np.zeros((len(used), EMBED), np.float32)
-    np.add.at(means, rows, net.gram[flat])
+    size = lexicon.size[used]
+    rows = np.repeat(np.arange(len(used)), size)
+    flat = lexicon.grams[np.arange(len(rows)) + np.repeat(lexicon.at[used] - np.cumsum(size) + size, size)]
+    spread = (1 / np.sqrt(size)).astype(np.float32)
+    means = _sum_rows(net.gram[flat], rows)
     x = np.concatenate([net.word[lexicon.word[used]], means * spread[:, None]], axis=1)
     gates = net.project(x)[:, inverse]
     logits, states, hidden, weight, pooled, tape = net.forward(gates, mask, keep=True)
@@ -249,8 +254,7 @@ def _step(net: Network, opt: Adagrad, lexicon: Lexicon, ids: np.ndarray, labels:
     d_x = np.zeros_like(x)
     d_w, d_b = np.zeros_like(net.w), np.zeros_like(net.b)
     for d in (0, 1):
-        by_word = np.zeros((len(used), 3 * h), np.float32)
-        np.add.at(by_word, inverse.ravel(), d_gates[d].reshape(-1, 3 * h))
+        by_word = _sum_rows(d_gates[d].reshape(-1, 3 * h), inverse.ravel())
         d_w[d], d_b[d] = x.T @ by_word, by_word.sum(axis=0)
         d_x += by_word @ net.w[d].T
     for name, g in (("out", d_out), ("bias", d_bias), ("key", d_key), ("att", d_att), ("u", d_u), ("w", d_w), ("b", d_b)):
@@ -260,7 +264,7 @@ def _step(net: Network, opt: Adagrad, lexicon: Lexicon, ids: np.ndarray, labels:
 
 
 def fit(texts: list[str], labels: list[int], prior: float = 0.5, seed: int = 11, spread_rounds: int = 3, rounds: int = 8,
-        batch: int = 64) -> Network | None:
+        batch: int = 256) -> Network | None:
     """Train on texts given as words between spaces; a fifth is held back to calibrate to the share
     ``prior`` of toxic texts."""
     y = np.array(labels, dtype=np.float32)
