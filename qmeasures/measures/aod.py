@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from qmeasures.functions.codes import claims_filter
 from qmeasures.functions.dates import D, age_years
 from qmeasures.inputs import ClaimsInputs
+from qmeasures.operators.binned import events_in_windows
 from qmeasures.operators.flagged import FlagRequest
 from qmeasures.operators.intervals import contiguous_runs, eligibility_gaps
 from qmeasures.operators.ordered import first_row
@@ -115,9 +116,9 @@ def negative_history(eps: DataFrame, index: DataFrame) -> DataFrame:
     """Members with an AOD event 1-59 days before the index start (interval semi-join)."""
     aod_events = eps.filter(_on("aod_abuse_dependence") | _on("aod_med_treatment") | _on("alc_rx_treatment")
                             | _on("opioid_rx_treatment")).select("member_id", F.col("prm_fromdate_case").alias("_ev"))
-    lag = F.datediff("prm_fromdate_case", "_ev")
-    return (index.select("member_id", "prm_fromdate_case").join(aod_events, "member_id")
-            .filter((lag > 0) & (lag < HISTORY_DAYS)).select("member_id").distinct())
+    before = index.select("member_id", F.date_sub("prm_fromdate_case", HISTORY_DAYS - 1).alias("_from"),
+                          F.date_sub("prm_fromdate_case", 1).alias("_to"))
+    return events_in_windows(aod_events, before, "member_id", "_ev", "_from", "_to").select("member_id").distinct()
 
 
 def _stay_ids(ip: DataFrame) -> DataFrame:
@@ -207,14 +208,15 @@ def engagement(eps: DataFrame, init: DataFrame) -> DataFrame:
     engaged = init.filter(F.col("numer_init_treatment") == 1)
     e = eps.select("member_id", "prm_fromdate_case", *[F.col(c).alias("_" + c) for c in (
         "alc_rx_treatment", "opioid_rx_treatment", "alc_treatment", "opioid_treatment", "other_treatment")])
-    days = F.datediff("prm_fromdate_case", "engage_start_date")
-    sums = (engaged.select("member_id", "engage_start_date").join(e, "member_id")
-            .filter((days > 0) & (days <= ENGAGE_DAYS))
-            .groupBy("member_id")
-            .agg(F.sum("_alc_rx_treatment").alias("sum_alc_rx"), F.sum("_opioid_rx_treatment").alias("sum_opioid_rx"),
-                 F.sum("_alc_treatment").alias("sum_alc_treatment"),
-                 F.sum("_opioid_treatment").alias("sum_opioid_treatment"),
-                 F.sum("_other_treatment").alias("sum_other_treatment")))
+    after = engaged.select("member_id", F.date_add("engage_start_date", 1).alias("_from"),
+                           F.date_add("engage_start_date", ENGAGE_DAYS).alias("_to"))
+    sums = (events_in_windows(e, after, "member_id", "prm_fromdate_case", "_from", "_to",
+                              sums=[c for c in e.columns if c.startswith("_")])
+            .select("member_id", F.col("_alc_rx_treatment").alias("sum_alc_rx"),
+                    F.col("_opioid_rx_treatment").alias("sum_opioid_rx"),
+                    F.col("_alc_treatment").alias("sum_alc_treatment"),
+                    F.col("_opioid_treatment").alias("sum_opioid_treatment"),
+                    F.col("_other_treatment").alias("sum_other_treatment")))
     j = engaged.join(sums, "member_id", "left")
     visits = (F.when(_on("alc_episode"), F.col("sum_alc_treatment"))
               .when(_on("opioid_episode"), F.col("sum_opioid_treatment"))

@@ -37,7 +37,7 @@ def denominator_rows(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
                                   p.min_member_count, p.empirical_elig_date_end)
     lo, hi = notification_window(p)
     n = inp.foster_care
-    plus60 = F.least(F.date_add("report_date", DAYS_AFTER), D(elig_end))
+    plus60 = F.least(F.date_add("report_date", DAYS_AFTER), elig_end)
     notes = (n.filter(F.col("report_date").between(D(lo), D(hi))
                       & (age_years("dob", "report_date") <= MAX_AGE)
                       & F.coalesce(~F.col("branch_code").isin(EXCLUDED_BRANCHES), F.lit(True)))

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from qmeasures.functions.dates import D
 from qmeasures.inputs import ClaimsInputs
+from qmeasures.operators.binned import latest_window_at, overlapping_pairs
 from qmeasures.operators.flagged import FlagRequest
 from qmeasures.operators.intervals import anchored_groups, coverage_islands, eligibility_gaps
-from qmeasures.operators.ordered import first_row
 from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
 from qmeasures.schemas import to_result
@@ -64,14 +64,13 @@ def delivery_dates(flags: DataFrame, p: MeasureParams) -> DataFrame:
     return grouped.groupBy("member_id", "delivery_id").agg(F.max("prm_todate").alias("delivery_date"))
 
 
-def enrollment_segments(delivery_spans: DataFrame) -> DataFrame:
-    """Contiguous covered segments per delivery: a new segment unless start = previous end + 1.
+def enrollment_segments(spans: DataFrame, keys=("member_id", "delivery_date")) -> DataFrame:
+    """Contiguous covered segments per key group: a new segment unless start = previous end + 1.
 
     Same rule as coverage islands without clipping, so it runs on the counted
     distinct-span form (bounded per member); ids are 0-based.
     """
-    keys = ["member_id", "delivery_date"]
-    isl = coverage_islands(delivery_spans, keys, None, None)
+    isl = coverage_islands(spans, list(keys), None, None)
     return isl.select(*keys, (F.col("island_id") - 1).cast("long").alias("enrollment_segment_id"),
                       F.col("island_start").alias("enrollment_segment_start"),
                       F.col("island_end").alias("enrollment_segment_end"))
@@ -96,16 +95,17 @@ def delivery_windows(inp: ClaimsInputs, p: MeasureParams, deliveries: DataFrame)
     d = deliveries.select("member_id", "delivery_date",
                           F.date_sub("delivery_date", CE_BEFORE).alias("ce_start_date"),
                           F.date_add("delivery_date", CE_AFTER).alias("ce_end_date"))
-    covered = inp.member_time.filter(F.col("cover_medical") == "Y").select("member_id", "date_start", "date_end")
-    dmt = d.join(covered, "member_id")
+    covered = (inp.member_time.filter(F.col("cover_medical") == "Y").select("member_id", "date_start", "date_end")
+               .join(d.select("member_id").distinct(), "member_id", "left_semi"))
     keys = ["member_id", "delivery_date"]
-    gaps = eligibility_gaps(dmt, keys, "ce_start_date", "ce_end_date")
-    windows = enrollment_segments(dmt)
-    overlapping = (gaps.join(windows, keys)
-                   .filter((F.col("enrollment_segment_start") <= F.col("delivery_date"))
-                           & (F.col("enrollment_segment_end") >= F.date_sub("delivery_date", PRENATAL_LOOKBACK))))
-    last = first_row(overlapping, keys, [("enrollment_segment_start", "desc")],
-                     columns=["gap_cnt", "enrollment_segment_start", "enrollment_segment_end"])
+    # only spans that reach into a delivery's window; a delivery without any keeps its row
+    inside = overlapping_pairs(d, covered, "member_id", ("ce_start_date", "ce_end_date"), ("date_start", "date_end"))
+    gaps = eligibility_gaps(inside.unionByName(d, allowMissingColumns=True), keys, "ce_start_date", "ce_end_date")
+    # a member's segments do not depend on the delivery: found once, then looked up by day
+    segments = (enrollment_segments(covered, ["member_id"])
+                .withColumn("_until", F.date_add("enrollment_segment_end", PRENATAL_LOOKBACK)))
+    last = (latest_window_at(d, segments, "member_id", "delivery_date", "enrollment_segment_start", "_until")
+            .join(gaps, keys))
     recent = F.datediff("delivery_date", "enrollment_segment_start") <= RECENT_SEGMENT_DAYS
     return last.select(
         *keys, "gap_cnt", "enrollment_segment_start",

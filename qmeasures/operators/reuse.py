@@ -2,12 +2,75 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 
-_WRITTEN: dict[str, list[str]] = {}  # application -> folders written
 observers: list = []  # called with each frame that is written (plan reports)
 
 
+class RunScope:
+    """Folders that one run wrote; they are deleted when its last holder lets go."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.holders = spark, [], 0
+
+    def hold(self) -> "RunScope":
+        self.holders += 1
+        return self
+
+    def let_go(self) -> int:
+        """One holder less; the last one deletes the folders.  Returns how many went."""
+        self.holders -= 1
+        return self.delete() if self.holders <= 0 else 0
+
+    def delete(self) -> int:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        paths, self.paths = self.paths, []
+        for path in paths:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+        return len(paths)
+
+
+_OPEN: ContextVar[RunScope | None] = ContextVar("run_scope", default=None)
+_OUTSIDE: dict[str, RunScope] = {}  # application -> what was written outside every run
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[RunScope]:
+    """Intermediates written inside belong to this run and are deleted when it ends.
+
+    Frames built on them end with the run, so its results are written inside.  A caller that
+    reads them for longer takes ``scope.hold()`` and calls ``let_go()`` later.  Runs may
+    interleave: each deletes only its own.  Threads started inside need the caller's context
+    (``contextvars.copy_context().run``), as the measure registry gives its own.
+    """
+    scope = RunScope(spark).hold()
+    token = _OPEN.set(scope)
+    try:
+        yield scope
+    finally:
+        _OPEN.reset(token)
+        scope.let_go()
+
+
+def _scope(spark: SparkSession) -> RunScope:
+    app = spark.sparkContext.applicationId
+    return _OPEN.get() or _OUTSIDE.setdefault(app, RunScope(spark))
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the session's shared folder that belongs to the open run."""
+    from qmeasures.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    _scope(spark).paths.append(path)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a reused intermediate as parquet in the shared folder and read it back.
 
@@ -18,26 +81,19 @@ def materialize(df: DataFrame) -> DataFrame:
     The folder is the session's ``spark.checkpoint.dir``
     (:func:`qmeasures.session.ensure_checkpoint_dir`), i.e. shared storage on a cluster.
     """
-    import uuid
-    from qmeasures.session import ensure_checkpoint_dir
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = stage_path(spark, f"stage-{uuid.uuid4().hex}")
     for see in observers:
         see(df)
     df.write.mode("overwrite").parquet(path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
 def release(spark: SparkSession) -> int:
-    """Delete the intermediates this application wrote; frames built on them end with it.
+    """Delete what this application wrote outside every :func:`run_scope`.
 
-    Call it when a run's results are written.  Only folders made by :func:`materialize`
-    are touched.  Returns how many were deleted.
+    Open runs keep theirs.  Frames built on the folders end with them.  Returns how many
+    were deleted.
     """
-    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in paths:
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
-    return len(paths)
+    scope = _OUTSIDE.pop(spark.sparkContext.applicationId, None)
+    return scope.delete() if scope else 0

@@ -215,7 +215,7 @@ GROUP BY member_id HAVING count(DISTINCT prm_fromdate) >= 2"""
 def empirical_end(spark, sf_dir) -> DataFrame:
     spans = _inp(spark, sf_dir).member_time
     chosen = empirical_elig_end(spans, P.measure_end, P.min_member_count)
-    return elig_end_frequency(spans).withColumn("chosen", (F.col("elig_date_end") == D(chosen)).cast("int"))
+    return elig_end_frequency(spans).withColumn("chosen", (F.col("elig_date_end") == chosen).cast("int"))
 
 
 def empirical_end_sql() -> str:

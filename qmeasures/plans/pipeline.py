@@ -14,13 +14,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from qmeasures.inputs import ClaimsInputs
-from qmeasures.operators.reuse import release
+from qmeasures.operators.reuse import run_scope
 from qmeasures.params import MeasureParams
 from qmeasures.plans.combine import combine_results, measure_reference, rate_summary, stack_results
+from qmeasures.plans.publish import discover, publish, write_run
 from qmeasures.plans.registry import MeasureRegistry
-from qmeasures.plans.validate import (check_references, comment_length_checks, one_row_per_member_checks, raise_violations,
-                                      result_null_checks, roster_checks, target_checks)
-from qmeasures.sources.reference import write_results
+from qmeasures.plans.validate import (check_references, one_row_per_member_checks, raise_violations, roster_checks,
+                                      target_checks)
 
 
 # custody keeps one row per notification outcome
@@ -29,28 +29,29 @@ SEVERAL_ROWS_PER_MEMBER = {"DHS_ASSESSMENTS"}
 
 def run_pipeline(inputs: ClaimsInputs, params: MeasureParams, registry: MeasureRegistry,
                  abbreviations: DataFrame, targets: DataFrame, roster: DataFrame, out_dir: str) -> dict:
-    """Write ``results_<measure>``, ``stacked_results_raw``, ``quality_measures`` and
-    ``ref_quality_measures`` as parquet under ``out_dir``; return the rate summary rows.
+    """Write ``results_<measure>`` into a run folder and publish it by its manifest; then write
+    ``stacked_results_raw``, ``quality_measures`` and ``ref_quality_measures`` as parquet under
+    ``out_dir``.  Returns the rate summary rows.
 
     Reference tables, targets and roster are checked before anything is computed, the
-    written results before they are published; any violation raises.
+    results while and after they are written; any violation raises and nothing is published.
     """
     # checks first: nothing is written when a reference table or the roster is faulty
     # (measure names and code systems of the mapped value-set tables are the mapping's own)
     refs = {"oha_abbreviations": abbreviations, "oha_codes": inputs.oha_codes}
     checks = [check_references(refs), roster_checks(roster), target_checks(targets)]
     raise_violations(reduce(DataFrame.unionByName, checks))
-    results = registry.run(inputs, params)
-    paths = write_results(results, out_dir)
-    # later steps read the written result tables, not the measure plans again
     spark = abbreviations.sparkSession
-    written = {name: spark.read.parquet(path) for name, path in paths.items()}
-    found = []
-    for name, df in written.items():
-        found += [comment_length_checks(df), result_null_checks(df, ["member_id", "denominator", "numerator"])]
-        if name.upper() not in SEVERAL_ROWS_PER_MEMBER:
-            found.append(one_row_per_member_checks(df))
-    raise_violations(reduce(DataFrame.unionByName, found))
+    with run_scope(spark):  # the run's intermediates go when its results are written
+        described = write_run(registry.run(inputs, params), out_dir)
+        inputs.forget()
+    # NULLs and comment lengths were counted by the writes; repeated members need a look at the tables
+    single = [one_row_per_member_checks(spark.read.parquet(t["path"])) for name, t in described["tables"].items()
+              if name.upper() not in SEVERAL_ROWS_PER_MEMBER]
+    raise_violations(reduce(DataFrame.unionByName, single))
+    publish(spark, described, out_dir)
+    # later steps read the published result tables, not the measure plans again
+    written = discover(spark, out_dir, described["run"])
     stack_results(written).write.mode("overwrite").parquet(os.path.join(out_dir, "stacked_results_raw.parquet"))
     combine_results(written, abbreviations, targets, roster).write.mode("overwrite").parquet(
         os.path.join(out_dir, "quality_measures.parquet"))
@@ -58,8 +59,6 @@ def run_pipeline(inputs: ClaimsInputs, params: MeasureParams, registry: MeasureR
         os.path.join(out_dir, "ref_quality_measures.parquet"))
     rates = {r["Measure_Abbreviation"]: (r["sum_numerator"], r["sum_denominator"], r["measure_rate"])
              for r in rate_summary(written).collect()}
-    release(spark)  # the results are written: the run's intermediates can go
-    inputs.forget()
     return rates
 
 

@@ -143,14 +143,14 @@ MEASURE_QUERIES = {
 
 
 def all_queries() -> dict:
-    from qmeasures.plans import check_queries, operator_queries
-    return MEASURE_QUERIES | operator_queries.QUERIES | check_queries.QUERIES
+    from qmeasures.plans import check_queries, operator_queries, scale_queries
+    return MEASURE_QUERIES | operator_queries.QUERIES | check_queries.QUERIES | scale_queries.QUERIES
 
 
 @lru_cache(maxsize=1)
 def all_oracles() -> dict:
     from qmeasures.plans import oracle_sql as S
-    from qmeasures.plans import check_queries, operator_queries
+    from qmeasures.plans import check_queries, operator_queries, scale_queries
     out = {
         "m_well_child": S.well_child_sql(),
         "m_ed_visits": S.ed_all_sql(),
@@ -168,4 +168,4 @@ def all_oracles() -> dict:
         "combined_results": S.combined_sql(),
         "rate_summary": S.rate_summary_sql(),
     }
-    return out | operator_queries.ORACLES() | check_queries.oracles()
+    return out | operator_queries.ORACLES() | check_queries.oracles() | scale_queries.oracles()

@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections import OrderedDict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import DataFrame, types as T
 
@@ -111,7 +112,9 @@ class MeasureRegistry:
             check_result_schema(name, df)
             return to_result(df) if "comments" in df.columns else to_result(df, comments_col="_none_")
         with ThreadPoolExecutor(max_workers=max(1, side_by_side)) as pool:
-            return OrderedDict(zip(names, pool.map(one, names)))
+            # each thread runs in a copy of the caller's context: its run scope gets the intermediates
+            jobs = [pool.submit(copy_context().run, one, n) for n in names]
+            return OrderedDict((n, job.result()) for n, job in zip(names, jobs))
 
 
 def default_registry() -> MeasureRegistry:

@@ -73,13 +73,28 @@ def default_components(spark: SparkSession) -> DataFrame:
     return mapping_union(*default_mappings(spark))
 
 
-def normalize_medical_codes(code_list: DataFrame, mapping: DataFrame) -> DataFrame:
+class MissingValueSets(ValueError):
+    pass
+
+
+def require_value_sets(code_list: DataFrame, mapping: DataFrame) -> None:
+    """Raise when a mapped value set has no code in the list (the mapping names a few hundred)."""
+    missing = sorted(r[0] for r in missing_value_sets(code_list, mapping)
+                     .select(F.coalesce("value_set_name", F.lit("(none)"))).distinct().collect())
+    if missing:
+        raise MissingValueSets(f"Some value sets were not found: {missing}")
+
+
+def normalize_medical_codes(code_list: DataFrame, mapping: DataFrame, require_all: bool = True) -> DataFrame:
     """Vendor code list (``value_set_name, code, code_system``) x mapping -> code table.
 
     Dots are removed from codes; vendor code systems map through
     :data:`MEDICAL_CODESYSTEM_MAP`.  An unknown system keeps its vendor name (a missing one
-    reads ``(none)``), so the code-system check reports the row.
+    reads ``(none)``), so the code-system check reports the row.  A mapped set without
+    codes raises :class:`MissingValueSets` unless ``require_all`` is off.
     """
+    if require_all:
+        require_value_sets(code_list, mapping)
     joined = code_list.join(mapping.select("measure", "value_set_name", "component"),
                             "value_set_name", "inner")
     return joined.select(
@@ -91,8 +106,13 @@ def normalize_medical_codes(code_list: DataFrame, mapping: DataFrame) -> DataFra
         F.lit(None).cast("string").alias("diag_type"))
 
 
-def normalize_drug_codes(med_list: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Medication list (``value_set_name, code, code_system``) x mapping -> NDC code table."""
+def normalize_drug_codes(med_list: DataFrame, mapping: DataFrame, require_all: bool = True) -> DataFrame:
+    """Medication list (``value_set_name, code, code_system``) x mapping -> NDC code table.
+
+    A mapped list without codes raises, as in :func:`normalize_medical_codes`.
+    """
+    if require_all:
+        require_value_sets(med_list, mapping)
     joined = med_list.join(mapping.select("measure", "value_set_name", "component"),
                            "value_set_name", "inner")
     return joined.filter(F.col("code_system") == "NDC").select(

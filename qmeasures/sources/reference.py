@@ -8,11 +8,12 @@ sas_informat``).  Every data file becomes one table named after its lower-cased
 from __future__ import annotations
 
 import csv
-import glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from qmeasures.operators.ordinal import file_ordinal
+
 _TYPES = {"string": T.StringType(), "double": T.DoubleType(), "integer": T.IntegerType(), "int": T.IntegerType(),
           "long": T.LongType(), "date": T.DateType(), "boolean": T.BooleanType()}
 
@@ -20,18 +21,31 @@ _TYPES = {"string": T.StringType(), "double": T.DoubleType(), "integer": T.Integ
 def build_structtype_from_csv(path: str) -> T.StructType:
     """Schema from a 4-column schema CSV (read on the driver: a handful of lines).
 
-    Nullability is recorded as declared; file reads make every field nullable, so it is
-    enforced by the validators rather than by the reader.
+    Nullability is recorded as declared; file reads make every field nullable, so
+    :func:`null_violations` enforces it and :func:`import_flatfile_references` raises on them.
     """
+    spark = SparkSession.active()
+    lines = [r["value"] for r in spark.read.text(path, wholetext=True).collect()]
     fields = []
-    with open(path, newline="") as fh:
-        for row in csv.DictReader(fh):
-            dtype = _TYPES[row["datatype"].strip().lower()]
-            nullable = row["nullable"].strip().lower() == "true"
-            fields.append(T.StructField(row["name"].strip(), dtype, nullable))
+    for row in csv.DictReader(lines[0].splitlines()):
+        dtype = _TYPES[row["datatype"].strip().lower()]
+        nullable = row["nullable"].strip().lower() == "true"
+        fields.append(T.StructField(row["name"].strip(), dtype, nullable))
     return T.StructType(fields)
 
 
+def null_violations(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
+    """``rule, key, detail``: NULLs by column that the schema declares not nullable (one pass)."""
+    strict = [f.name for f in schema.fields if not f.nullable]
+    if not strict:
+        return df.sparkSession.createDataFrame([], "rule string, key string, detail string")
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in strict])
+    listed = F.explode(F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).alias("n")) for c in strict])).alias("v")
+    return counts.select(listed).filter("v.n > 0").select(
+        F.lit("declared_not_null").alias("rule"), F.concat_ws(".", F.lit(table), "v.key").alias("key"),
+        F.col("v.n").cast("string").alias("detail"))
+
+
 def read_reference_csv(spark: SparkSession, data_path: str, schema: T.StructType,
                        ordinal_col: str | None = "_ordinal") -> DataFrame:
     """Strict CSV scan: declared schema applied by position, FAILFAST, header, trimmed.
@@ -42,18 +56,29 @@ def read_reference_csv(spark: SparkSession, data_path: str, schema: T.StructType
     df = spark.read.csv(data_path, schema=schema, sep=",", mode="FAILFAST", header=True,
                         enforceSchema=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
     if ordinal_col:
-        # reference files are small: one split, so the ordinal is the line's position
-        df = df.coalesce(1).withColumn(ordinal_col, F.monotonically_increasing_id())
+        df = file_ordinal(df, ordinal_col)
     return df
 
 
 def import_flatfile_references(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every ``_data/*.csv`` with its ``_schemas`` twin, keyed by lower-cased stem."""
-    refs = {}
-    for data_path in sorted(glob.glob(os.path.join(folder, "_data", "*.csv"))):
-        stem = os.path.splitext(os.path.basename(data_path))[0]
-        schema = build_structtype_from_csv(os.path.join(folder, "_schemas", stem + ".csv"))
+    """Every ``_data/*.csv`` with its ``_schemas`` twin, keyed by lower-cased stem.
+
+    The folder may lie on any file system that Spark reads.  Raises when a file breaks its
+    schema or a column declared not nullable holds a NULL.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/_data")
+    listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    refs, found = {}, []
+    for data_path in sorted(s.getPath().toString() for s in listed):
+        stem, kind = os.path.splitext(data_path.rsplit("/", 1)[1])
+        if kind != ".csv":
+            continue
+        schema = build_structtype_from_csv(f"{folder.rstrip('/')}/_schemas/{stem}.csv")
         refs[stem.lower()] = read_reference_csv(spark, data_path, schema)
+        found.append((stem, schema))
+    broken = [r for stem, schema in found for r in null_violations(refs[stem.lower()], schema, stem).collect()]
+    if broken:
+        raise ValueError(f"NULLs in columns declared not nullable: {[(r['key'], r['detail']) for r in broken]}")
     return refs
 
 
@@ -75,6 +100,11 @@ def dataset_label(path: str, spark: SparkSession) -> str | None:
     return spark.read.parquet(path).schema["member_id"].metadata.get(LABEL_KEY)
 
 
+def label_result(df: DataFrame, label: str) -> DataFrame:
+    """``df`` with its dataset label kept as metadata of the key column."""
+    return df.withMetadata("member_id", {LABEL_KEY: label})
+
+
 def write_results(results: dict[str, DataFrame], out_folder: str, prefix: str = "results_",
                   labels: dict[str, str] | None = None) -> dict[str, str]:
     """Result sink: ``results_<measure>`` parquet datasets.
@@ -86,6 +116,6 @@ def write_results(results: dict[str, DataFrame], out_folder: str, prefix: str =
     for name, df in results.items():
         path = os.path.join(out_folder, f"{prefix}{name}.parquet")
         label = (labels or {}).get(name, f"{name} results")
-        df.withMetadata("member_id", {LABEL_KEY: label}).write.mode("overwrite").parquet(path)
+        label_result(df, label).write.mode("overwrite").parquet(path)
         paths[name] = path
     return paths

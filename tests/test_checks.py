@@ -153,11 +153,26 @@ def test_run_identity_knows_extra():
     assert a == b and a.key() != b.key() and a.key() == a.with_().key()
 
 
+def _folder(frame):
+    return "/" + frame.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0].lstrip("/")
+
+
 def test_release_deletes_only_what_was_written(spark, tmp_path):
-    kept = reuse._WRITTEN.pop(spark.sparkContext.applicationId, [])
-    frame = reuse.materialize(spark.range(3).toDF("x"))
-    folder = frame.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
-    folder = "/" + folder.lstrip("/")
+    kept = reuse._OUTSIDE.pop(spark.sparkContext.applicationId, None)
+    folder = _folder(reuse.materialize(spark.range(3).toDF("x")))
     assert os.path.isdir(folder)
     assert reuse.release(spark) == 1 and not os.path.isdir(folder)
-    reuse._WRITTEN[spark.sparkContext.applicationId] = kept
+    if kept:
+        reuse._OUTSIDE[spark.sparkContext.applicationId] = kept
+
+
+def test_interleaved_runs_delete_their_own_folders(spark):
+    with reuse.run_scope(spark) as first:
+        a = _folder(reuse.materialize(spark.range(3).toDF("x")))
+        later = first.hold()
+        with reuse.run_scope(spark):
+            b = _folder(reuse.materialize(spark.range(4).toDF("x")))
+            assert os.path.isdir(a) and os.path.isdir(b)
+        assert os.path.isdir(a) and not os.path.isdir(b)
+    assert os.path.isdir(a)  # still held
+    assert later.let_go() == 1 and not os.path.isdir(a)

@@ -16,6 +16,7 @@ from qmeasures.sources.valuesets import read_value_set_concepts, value_set_codes
 
 
 def _tmp():
+    os.makedirs("/tmp/qm", exist_ok=True)
     return tempfile.mkdtemp(prefix="qm-test-", dir="/tmp/qm")
 
 
@@ -93,7 +94,9 @@ def test_mappings_and_normalizers(spark):
     assert comps[0] == "deliveries" and "pregnancy_diagnosis" not in comps and len(comps) == 12
     code_list = df(spark, [("Deliveries", "O80.0", "ICD10CM"), ("Deliveries", "59400", "CPT-CAT-II"),
                            ("Unused", "X", "CPT")], "value_set_name string, code string, code_system string")
-    norm = M.normalize_medical_codes(code_list, hedis)
+    with pytest.raises(M.MissingValueSets, match="Some value sets were not found"):
+        M.normalize_medical_codes(code_list, hedis)
+    norm = M.normalize_medical_codes(code_list, hedis, require_all=False)
     got = {(r["measure"], r["component"], r["codesystem"], r["code"]) for r in norm.collect()}
     assert got == {("prenatal_postpartum_care", "deliveries", "ICD10CM-Diag", "O800"),
                    ("prenatal_postpartum_care", "deliveries", "CPT", "59400")}
@@ -102,7 +105,7 @@ def test_mappings_and_normalizers(spark):
     meds_list = df(spark, [("Diabetes Medications", "00002143301", "NDC"),
                            ("Diabetes Medications", "123", "RXNORM")],
                    "value_set_name string, code string, code_system string")
-    drugs = M.normalize_drug_codes(meds_list, meds).collect()
+    drugs = M.normalize_drug_codes(meds_list, meds, require_all=False).collect()
     assert [(r["component"], r["code"]) for r in drugs] == [("diabetes_medications", "00002143301")]
 
 
