@@ -22,7 +22,7 @@ def build_structtype_from_csv(path: str) -> T.StructType:
     """Schema from a 4-column schema CSV (read on the driver: a handful of lines).
 
     Nullability is recorded as declared; file reads make every field nullable, so
-    :func:`null_violations` enforces it and :func:`import_flatfile_references` raises on them.
+    :func:`not_null` enforces it while rows are read and :func:`null_violations` reports it.
     """
     spark = SparkSession.active()
     lines = [r["value"] for r in spark.read.text(path, wholetext=True).collect()]
@@ -34,6 +34,13 @@ def build_structtype_from_csv(path: str) -> T.StructType:
     return T.StructType(fields)
 
 
+def not_null(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
+    """``df`` whose reads raise at a NULL in a column that the schema declares not nullable."""
+    strict = {f.name for f in schema.fields if not f.nullable}
+    held = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"NULL in {table}.{c}, declared not nullable"))) for c in strict}
+    return df.select(*[held[c].alias(c) if c in held else F.col(c) for c in df.columns])
+
+
 def null_violations(df: DataFrame, schema: T.StructType, table: str) -> DataFrame:
     """``rule, key, detail``: NULLs by column that the schema declares not nullable (one pass)."""
     strict = [f.name for f in schema.fields if not f.nullable]
@@ -63,22 +70,18 @@ def read_reference_csv(spark: SparkSession, data_path: str, schema: T.StructType
 def import_flatfile_references(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Every ``_data/*.csv`` with its ``_schemas`` twin, keyed by lower-cased stem.
 
-    The folder may lie on any file system that Spark reads.  Raises when a file breaks its
-    schema or a column declared not nullable holds a NULL.
+    The folder may lie on any file system that Spark reads.  Reading a table raises when its
+    file breaks the schema or a column declared not nullable holds a NULL.
     """
     where = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/_data")
     listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
-    refs, found = {}, []
+    refs = {}
     for data_path in sorted(s.getPath().toString() for s in listed):
         stem, kind = os.path.splitext(data_path.rsplit("/", 1)[1])
         if kind != ".csv":
             continue
         schema = build_structtype_from_csv(f"{folder.rstrip('/')}/_schemas/{stem}.csv")
-        refs[stem.lower()] = read_reference_csv(spark, data_path, schema)
-        found.append((stem, schema))
-    broken = [r for stem, schema in found for r in null_violations(refs[stem.lower()], schema, stem).collect()]
-    if broken:
-        raise ValueError(f"NULLs in columns declared not nullable: {[(r['key'], r['detail']) for r in broken]}")
+        refs[stem.lower()] = not_null(read_reference_csv(spark, data_path, schema), schema, stem)
     return refs
 
 

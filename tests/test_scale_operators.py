@@ -145,7 +145,11 @@ def test_declared_not_null_is_enforced(spark, tmp_path):
     os.makedirs(tmp_path / "_schemas")
     (tmp_path / "_schemas" / "t.csv").write_text("name,datatype,nullable,sas_informat\nx,string,false,$8.\ny,string,true,$8.\n")
     (tmp_path / "_data" / "t.csv").write_text("x,y\na,\n,b\n")
-    with pytest.raises(ValueError, match="declared not nullable.*t.x"):
-        R.import_flatfile_references(spark, str(tmp_path))
+    refs = R.import_flatfile_references(spark, str(tmp_path))
+    with pytest.raises(Exception, match="NULL in t.x, declared not nullable"):
+        refs["t"].collect()
+    schema = R.build_structtype_from_csv(str(tmp_path / "_schemas" / "t.csv"))
+    raw = R.read_reference_csv(spark, str(tmp_path / "_data" / "t.csv"), schema)
+    assert [tuple(r) for r in R.null_violations(raw, schema, "t").collect()] == [("declared_not_null", "t.x", "1")]
     (tmp_path / "_data" / "t.csv").write_text("x,y\na,\nc,b\n")
     assert R.import_flatfile_references(spark, str(tmp_path))["t"].count() == 2
