@@ -6,7 +6,8 @@ times the squared differences of means and of deviations, so their inner product
 most half of what the squared norms leave: with statistics scaled by the root of the
 segment length this bound is the inner product of the statistics.  From coarse to fine,
 candidates whose bound is below the k-th best exact score so far are dropped; survivors
-of all levels get exact scores.
+of all levels, and only they, get exact scores.  The last levels cut unevenly: three quarters,
+then seven eighths of the components stand alone and the rest are one segment.
 
 Queries and candidates are dealt into blocks, and every pair of blocks is one bounded
 group; the best k of each group are merged by rank.  Components are integers, so exact
@@ -27,17 +28,28 @@ from pyspark.sql import functions as F
 
 from qmeasures.llm.common import bound_batches, materialize
 
-LEVELS = (1, 4, 16)
+LEVELS = (1, 4, 16, 32)  # equal segments
+ALONE = (0.75, 0.875)  # finer: this share of the components stand alone, the rest are one segment
 _NO_ID = np.iinfo(np.int64).max
 _SAFE = float(1 << 53)
 
 
-def statistics(x: np.ndarray, segments: int) -> np.ndarray:
-    """(n, dim) -> (n, 2 * segments): means and deviations scaled by the root of the segment length."""
-    edges = np.unique(np.linspace(0, x.shape[1], min(segments, x.shape[1]) + 1).astype(int))
-    parts = [x[:, a:b] for a, b in zip(edges, edges[1:])]
-    return np.concatenate([np.stack([p.mean(axis=1) * np.sqrt(p.shape[1]) for p in parts], axis=1),
-                           np.stack([p.std(axis=1) * np.sqrt(p.shape[1]) for p in parts], axis=1)], axis=1)
+def segmentations(dim: int) -> list[np.ndarray]:
+    """Segment edges of each level, coarse to fine; none has every component alone."""
+    equal = [np.unique(np.linspace(0, dim, s + 1).astype(int)) for s in LEVELS if s == 1 or s < dim]
+    uneven = [np.append(np.arange(int(dim * a) + 1), dim) for a in ALONE if int(dim * a) < dim - 1]
+    return equal + uneven
+
+
+def statistics(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """(n, dim) -> means and deviations by segment, scaled by the root of its length (alone: the component)."""
+    columns = []
+    for a, b in zip(edges, edges[1:]):
+        part = x[:, a:b]
+        columns.append(part.mean(axis=1) * np.sqrt(b - a))
+        if b - a > 1:
+            columns.append(part.std(axis=1) * np.sqrt(b - a))
+    return np.stack(columns, axis=1)
 
 
 def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -52,12 +64,15 @@ def _exact(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def search(q: np.ndarray, q_row: np.ndarray, c: np.ndarray, c_row: np.ndarray, c_id: np.ndarray, k: int,
-           block: int = 128) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query place, candidate place, score) of each query's best k among the candidates."""
+           block: int = 128, seen: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query place, candidate place, score) of each query's best k among the candidates.
+
+    ``seen`` gathers, for each block of queries, the pairs alive at first and after each level.
+    """
     # candidates in id order: the first of equal scores is the one with the smaller id
     order = np.lexsort((c_row, c_id))
     c, c_row = c[order], c_row[order]
-    levels = [(statistics(q, s), statistics(c, s)) for s in LEVELS if s == 1 or s <= q.shape[1]]
+    levels = [(statistics(q, edges), statistics(c, edges)) for edges in segmentations(q.shape[1])]
     norms = np.sqrt((q * q).sum(axis=1)), np.sqrt((c * c).sum(axis=1))
     out: list[tuple] = []
     for at in range(0, len(q), block):
@@ -66,6 +81,7 @@ def search(q: np.ndarray, q_row: np.ndarray, c: np.ndarray, c_row: np.ndarray, c
         alive = q_row[part, None] != c_row
         slack = 1e-9 * norms[0][part, None] * norms[1] + 1e-6  # rounding of the bounds
         kth = np.full(len(rows), -np.inf)
+        counts = [int(alive.sum())]
         for of_q, of_c in levels:
             bound = of_q[part] @ of_c.T + slack
             bound[~alive] = -np.inf
@@ -77,12 +93,12 @@ def search(q: np.ndarray, q_row: np.ndarray, c: np.ndarray, c_row: np.ndarray, c
                     known = _exact(q[rows[r]][None], c[places])[0]
                     kth[r] = max(kth[r], np.partition(known, len(known) - k)[len(known) - k])
             alive &= bound >= kth[:, None]
-        if alive.mean() > 0.1:
-            scores = _exact(q[part], c)
-            found = [(np.flatnonzero(a), s[a]) for a, s in zip(alive, scores)]
-        else:
-            found = [(places := np.flatnonzero(a), _exact(q[row][None], c[places])[0]) for a, row in zip(alive, rows)]
-        for row, (places, scores) in zip(rows, found):
+            counts.append(int(alive.sum()))
+        if seen is not None:
+            seen.append(counts)
+        for row, left in zip(rows, alive):
+            places = np.flatnonzero(left)
+            scores = _exact(q[row][None], c[places])[0]
             best = np.argsort(-scores.astype(float) if not len(scores) or np.abs(scores).max() < _SAFE else
                               np.array([-int(s) for s in scores], dtype=object), kind="stable")[:k]
             out.append((np.full(len(best), row), order[places[best]], scores[best]))

@@ -49,11 +49,32 @@ def test_bounds_hold():
     for dim in (1, 3, 7, 64):
         q, c = rng.integers(-30, 30, (20, dim)).astype(float), rng.integers(-30, 30, (50, dim)).astype(float)
         exact = q @ c.T
-        for s in (1, 2, 4, 16):
-            bound = topk.statistics(q, s) @ topk.statistics(c, s).T
+        for edges in topk.segmentations(dim):
+            bound = topk.statistics(q, edges) @ topk.statistics(c, edges).T
             assert (bound >= exact - 1e-6).all()
 
 
+def _survivors(x, n_queries):
+    seen = []
+    q_row, c_row = np.arange(n_queries), np.arange(len(x))
+    q, c, score = topk.search(x[:n_queries], q_row, x, c_row, c_row, 20, seen=seen)
+    exact = x[:n_queries] @ x.T
+    np.fill_diagonal(exact, -np.inf)
+    want = -np.sort(-exact, axis=1)[:, :20]
+    assert (score.reshape(n_queries, 20) == want).all()
+    return np.array(seen).sum(axis=0) / (n_queries * len(x))
+
+
+def test_levels_drop_candidates():
+    rng = np.random.default_rng(5)
+    smooth = np.floor(64 * np.repeat(rng.normal(size=(1500, 4)), 16, axis=1) + rng.normal(size=(1500, 64)))
+    left = _survivors(smooth, 40)
+    assert (np.diff(left) <= 0).all() and left[-1] < 0.1 and left[2] < 0.2  # coarse levels suffice
+    noise = rng.normal(size=(1500, 64))
+    left = _survivors(np.floor(64 * noise / np.linalg.norm(noise, axis=1, keepdims=True)), 40)
+    assert left[3] > 0.9 and left[-1] < 0.4  # isotropic vectors: only the fine levels help
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 20 == 0).collect() == []
