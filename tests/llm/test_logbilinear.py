@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def remainder(i, mod):
 def test_base_score_and_held_out_gain(spark):
     rows = corpus()
     df = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, score double")
-    got = sorted(map(tuple, lbl.score(df, fold("doc_id", 7) != 2, hot=60, top=30, every=1).collect()), key=str)
+    got = sorted(map(tuple, lbl.score(df, fold("doc_id", 7) != 2, hot=60, batch=512).collect()), key=str)
     count = Counter()
     texts = 0
     for i, t in rows:
@@ -49,75 +50,119 @@ def test_base_score_and_held_out_gain(spark):
     assert len(held) > 10 and sum(g[5] for g in held) > sum(g[4] for g in held) * 0.97
 
 
-def test_probabilities_add_up(spark):
-    rows = corpus(40)
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+def learned(spark, rows, hot, **training):
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("learn", F.lit(True))
     table = lbl.count_words(df)
-    facts = lbl.gather(table, df.count(), 50, 20)
-    model = lbl.train(df, facts, dim=6, rounds=1, every=1)
+    facts = lbl.gather(table, df.count(), hot)
+    return table, facts, lbl.train(lbl.number_texts(df, facts, 2), facts, **training)
+
+
+def probabilities(facts, model, one, two):
+    """log of the probability of every output after the outputs one and two, level by level."""
+    q = [float(model.scale[0][d] * model.context[one][d] + model.scale[1][d] * model.context[two][d])
+         for d in range(model.context.shape[1])] + [1.0]
+    starts = facts.group_starts()
+
+    def normal(rows):
+        z = [sum(a * float(b) for a, b in zip(q, row)) for row in rows]
+        total = math.log(sum(math.exp(x) for x in z))
+        return [x - total for x in z]
+    groups, out = normal(model.group), []
+    for g, (a, b) in enumerate(zip(starts, starts[1:])):
+        out += [groups[g] + x for x in normal(model.target[a:b])]
+    return out
+
+
+def test_probabilities_add_up(spark):
+    table, facts, model = learned(spark, corpus(40), 300, dim=6, batch=256)
     n = facts.outputs()
-    z = model.ahead(np.array([0, n, 3]), np.array([n, n, 1])) @ model.target.T + model.bias
-    p = np.exp(z - model.log_normalisers(np.array([0, n, 3]), np.array([n, n, 1]))[:, None])
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-4)
+    starts = facts.group_starts()
+    assert starts[0] == 0 and starts[-1] == n and (np.diff(starts) > 0).all() and (np.diff(starts) > 1).any()
+    for one, two in ((n, n), (0, n), (3, 1)):
+        every = lbl.Tokens(np.arange(n), np.full(n, one), np.full(n, two), np.array([0]))
+        logs = lbl.Scorer(facts, model).logs(every)
+        assert (10 ** logs).sum() == pytest.approx(1, abs=1e-4)
+        assert np.allclose(logs * math.log(10), probabilities(facts, model, one, two), atol=1e-3)
     counted = {r.h: (r.n, r.kind) for r in table.collect()}
-    tops = set(facts.hot_hash[:facts.n_top].tolist())
+    hot = set(facts.hot_hash.tolist())
     rest = np.ones(lbl.CLASSES)
     for h, (c, kind) in counted.items():
-        if h not in tops:
+        if h not in hot:
             rest[kind] += c + 1
     assert np.allclose(rest, facts.rest_mass())
 
 
 def test_scores_by_definition(spark):
     rows = corpus(30)
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    table = lbl.count_words(df)
-    facts = lbl.gather(table, df.count(), 10_000, 20)
-    model = lbl.train(df, facts, dim=6, rounds=1, every=2)
+    _, facts, model = learned(spark, rows, 60, dim=6, batch=256)
     rank = {h: i for i, h in enumerate(facts.hot_hash.tolist())}
-    scorer, n = lbl.Scorer(facts, model), facts.outputs()
-    texts = [(t or "").encode() for _, t in rows[:35]]
-    sizes, _, _, logs, cold = scorer.score(texts)
-    assert not any(len(c) for c in cold)
-    for text, size, got in zip(texts, sizes, logs):
-        words = text.lower().split()
-        total, before = 0.0, [n, n]
-        for w in [*words, None]:
-            if w is None:
-                out, inside = n - 1, 0.0
-            else:
-                r = rank[lbl.word_hash(w)]
-                out = r if r < facts.n_top else facts.n_top + lbl.word_class(w)
-                inside = 0.0 if r < facts.n_top else math.log10((facts.hot_count[r] + 1) / facts.rest_mass()[out - facts.n_top])
-            z = model.ahead(np.array([before[-1]]), np.array([before[-2]])) @ model.target.T + model.bias
-            total += (z[0, out] - np.log(np.exp(z[0].astype(float)).sum())) / math.log(10) + inside
-            before.append(out)
-        assert size == len(words) + 1 and got == pytest.approx(total, rel=1e-3)
-
-
-def test_gradient_lowers_the_loss(spark):
-    facts = lbl.Counts(1000, 30, 10, np.arange(20), np.arange(40, 20, -1), np.zeros(20, np.int32),
-                       np.full(lbl.CLASSES, 700), np.full(lbl.CLASSES, 730), 20)
+    scorer, n, hot = lbl.Scorer(facts, model), facts.outputs(), len(facts.hot_hash)
+    texts = [(t or "").encode() for _, t in rows[:33]]
+    sizes, places, n_cold, cold = lbl.Words(facts).number(texts)
+    ids = lbl._lists(sizes, places, pa.int32())
+    want_cold = [[lbl.word_hash(w) for w in t.lower().split() if lbl.word_hash(w) not in rank] for t in texts]
+    assert n_cold.tolist() == [len(c) for c in want_cold] and cold.tolist() == sum(want_cold, []) and len(cold)
+    for part in (slice(0, 33), slice(20, 33)):   # a slice of the lists gives the same
+        got = scorer.score(ids[part.start:part.stop])
+        for text, size, known, found in zip(texts[part], got[0], got[1], got[3]):
+            words = text.lower().split()
+            total, before = 0.0, [n, n]
+            for w in [*words, None]:
+                r = n - 1 if w is None else rank.get(lbl.word_hash(w), hot + lbl.word_class(w))
+                total += probabilities(facts, model, before[-1], before[-2])[r] / math.log(10)
+                if hot <= r < n - 1:
+                    total -= math.log10(facts.rest_mass()[r - hot])
+                before.append(r)
+            assert size == len(words) + 1 and known == sum(lbl.word_hash(w) in rank for w in words) + 1
+            assert found == pytest.approx(total, rel=1e-3)
+
+
+def test_gradient_lowers_the_loss():
+    facts = lbl.Counts(1000, 330, 10, np.arange(300), np.arange(340, 40, -1), np.zeros(300, np.int32),
+                       np.full(lbl.CLASSES, 90_000), np.full(lbl.CLASSES, 90_400))
     model = lbl.Model.fresh(facts, 5, 1)
-    for name in ("scale", "context", "target", "bias"):
+    for name in ("scale", "group", "context", "target"):
         setattr(model, name, getattr(model, name).astype(float))
-    learner = lbl.Contrast(model, facts.noise(), np.random.default_rng(0), 0.1, 4)
-    one, two, word, noise = np.array([0, 3, 3]), np.array([5, 0, 1]), np.array([2, 2, 7]), np.array([1, 1, 9, 30])
+    learner = lbl.Contrast(model, facts, np.random.default_rng(0), 0.1, 4, 3)
+    learner.log_kn, learner.log_kw = learner.log_kn.astype(float), learner.log_kw.astype(float)
+    one, two, word = np.array([0, 3, 3, 7]), np.array([5, 0, 1, 365]), np.array([2, 250, 250, 364])
+    groups, words = learner.noise()
 
     def loss():
-        q = model.ahead(one, two)
-        fit = (q * model.target[word]).sum(axis=1) + model.bias[word] - learner.log_kn[word]
-        against = q @ model.target[noise].T + model.bias[noise] - learner.log_kn[noise]
-        return (np.log1p(np.exp(-fit)).sum() + np.log1p(np.exp(against)).sum()) / len(word)
-    for p, g in zip(model.parts(), learner.gradients(one, two, word, noise)):
-        for at in list(np.ndindex(p.shape))[:40]:
-            kept = p[at]
-            p[at] = kept + 1e-5
+        q, g = model.ahead(one, two), learner.of_output[word]
+        total = 0.0
+        for i, w in enumerate(word):
+            total += np.log1p(np.exp(-(q[i] @ model.group[g[i]] - learner.log_kn[g[i]])))
+            total += np.log1p(np.exp(model.group[groups] @ q[i] - learner.log_kn[groups])).sum()
+            if learner.sizes[g[i]] > 1:
+                total += np.log1p(np.exp(-(q[i] @ model.target[w] - learner.log_kw[g[i]])))
+                total += np.log1p(np.exp(model.target[words[g[i]]] @ q[i] - learner.log_kw[g[i]])).sum()
+        return total
+    for p, (at, by) in zip(model.parts(), learner.gradients(one, two, word, groups, words)):
+        dense = np.zeros(p.shape)
+        dense[at] = by
+        for place in [(r, c) for r in {*at[:12].tolist(), 1} for c in range(p.shape[1])]:
+            kept = p[place]
+            p[place] = kept + 1e-5
             up = loss()
-            p[at] = kept - 1e-5
+            p[place] = kept - 1e-5
             down = loss()
-            p[at] = kept
-            assert g[at] == pytest.approx((up - down) / 2e-5, abs=1e-5)
+            p[place] = kept
+            assert dense[place] == pytest.approx((up - down) / 2e-5, abs=1e-4)
+
+
+@pytest.mark.parametrize("share", [1 << 23, 20_000])
+def test_layout_moves_no_score(spark, share):
+    rows = [(i, t) for i, t in corpus(1500, 3) if i is not None and i < 900 or i == 901]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    means, plain = [], []
+    for parts in (4, 200):
+        got = lbl.score(df.repartition(parts), fold("doc_id", 7) != 2, hot=300, batch=1024, share=share)
+        got = got.where(fold("doc_id", 7) == 2).agg(F.sum("n_tokens"), F.sum("base_score"), F.sum("score")).first()
+        means.append(got[2] / got[0])
+        plain.append(got[1] / got[0])
+    assert plain[0] == pytest.approx(plain[1], rel=1e-12)
+    assert abs(means[0] - means[1]) < 0.02 and max(means) < 1 and min(means) > plain[0] + 0.2
 
 
 def test_nothing_to_learn(spark):
@@ -127,9 +172,10 @@ def test_nothing_to_learn(spark):
     assert lbl.score(df.limit(0), F.lit(True)).collect() == []
 
 
-def test_training_reads_every_token(spark):
-    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60)))], "doc_id long, text string")
-    facts = lbl.gather(lbl.count_words(df), 1, 100, 100)
-    fresh, model = lbl.Model.fresh(facts, 4, 5), lbl.train(df, facts, dim=4)
+@pytest.mark.parametrize("share", [1 << 23, 20])
+def test_training_reads_every_token(spark, share):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(6))) for i in range(30)]
+    _, facts, model = learned(spark, rows, 1000, dim=4, share=share)
+    fresh = lbl.Model.fresh(facts, 4, 5)
     moved = (model.context != fresh.context).any(axis=1)
-    assert facts.n_top == 60 and moved[:60].all() and moved[-1]  # each word stands before a token learned from
+    assert len(facts.hot_hash) == 180 and moved[:180].all() and moved[-1]  # each word stands before a token learned from
