@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from qmeasures.llm.common import as_bytes, bound_batches, materialize
 
 CLASSES = 64
-GROUPS = 192
+GROUPS = 208
 BLOCK_ROWS = 1024
 PART_TOKENS = 1 << 22
 FLUSH_WORDS = 300_000
@@ -119,11 +119,11 @@ class Counts:
         return mass + 1
 
     def group_starts(self) -> np.ndarray:
-        """First output of each group, and the number of outputs; classes and end are groups of their own."""
+        """First output of each group, and the number of outputs; the classes are one group, the end another."""
         n = len(self.hot_hash)
         cuts = np.ceil(n * (np.arange(GROUPS) / GROUPS) ** 2).astype(np.int64)
         hot = np.unique(np.minimum(np.maximum(cuts, np.arange(GROUPS)), n))
-        return np.concatenate([hot[hot < n], np.arange(n, self.outputs() + 1)])
+        return np.concatenate([hot[hot < n], [n, n + CLASSES, self.outputs()]])
 
 
 def gather(counts: DataFrame, texts: int, hot: int) -> Counts:
@@ -389,7 +389,7 @@ def _add_blocks(blocks: pa.Table) -> pa.Table:
                      "w": pa.array([sums[0].tobytes()], pa.binary()), "v": pa.array([sums[1].tobytes()], pa.binary())})
 
 
-def train(numbered: DataFrame, counts: Counts, dim: int = 24, rounds: int = 2, batch: int = 1 << 13, n_groups: int = 64,
+def train(numbered: DataFrame, counts: Counts, dim: int = 16, rounds: int = 2, batch: int = 1 << 13, n_groups: int = 64,
           n_words: int = 16, rate: float = 0.25, share: int = 1 << 23, seed: int = 5) -> Model:
     """Average of the models that tasks train, about ``share`` tokens each; every text is learned from in one round."""
     sc = numbered.sparkSession.sparkContext
@@ -462,8 +462,11 @@ class Scorer:
         """log10 probability of each token's output."""
         order = np.argsort(t.of)
         of = t.of[order]
-        g, q = self.of_output[of], self.m.ahead(t.one[order], t.two[order])
-        found = np.einsum("nd,nd->n", q, self.m.group[g]) - _log_sums(q, self.m.group)
+        g = self.of_output[of]
+        before, at = np.unique((t.one * (self.starts[-1] + 1) + t.two)[order], return_inverse=True)
+        ahead = self.m.ahead(before // (self.starts[-1] + 1), before % (self.starts[-1] + 1))
+        q = ahead[at]   # a context's first normaliser is worked out once
+        found = np.einsum("nd,nd->n", q, self.m.group[g]) - _log_sums(ahead, self.m.group)[at]
         cuts = np.searchsorted(g, np.arange(len(self.starts)))
         for i in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(self.starts) > 1)):
             s = slice(cuts[i], cuts[i + 1])
@@ -477,8 +480,8 @@ class Scorer:
         """Token counts, known tokens, sums without the cold words' counts (base, model) of the texts."""
         t, n = Tokens.read(ids, self.c.outputs()), len(self.c.hot_hash)
         logs = np.empty(len(t.of))
-        for at in range(0, len(t.of), 1 << 16):
-            s = slice(at, at + (1 << 16))
+        for at in range(0, len(t.of), 1 << 17):
+            s = slice(at, at + (1 << 17))
             logs[s] = self.logs(Tokens(t.of[s], t.one[s], t.two[s], t.starts))
         known = (t.of < n) | ((t.of == n + CLASSES) & (self.c.texts > 0))
         return (np.diff([*t.starts, len(t.of)]), np.add.reduceat(known, t.starts, dtype=np.int64),
