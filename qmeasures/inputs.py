@@ -1,6 +1,7 @@
 """The claims data model a measure run reads.
 
-Every table is a DataFrame; optional tables may be ``None``.
+Every table is a DataFrame; optional tables may be ``None``.  A table given as
+:class:`Later` is built when a measure first reads it.
 
 * ``member``          member_id, dob  (duplicates are tolerated and collapsed)
 * ``member_time``     member_id, date_start, date_end [, cover_medical]   (inclusive spans)
@@ -23,7 +24,8 @@ Every table is a DataFrame; optional tables may be ``None``.
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass, replace
+from collections.abc import Callable
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,6 +36,19 @@ _COMPONENT_CACHE: dict = {}
 _MEMO_LOCK = threading.Lock()
 
 
+class Later:
+    """A table that is built when it is first read."""
+
+    def __init__(self, build: Callable[[], DataFrame]):
+        self._build, self._lock, self._table = build, threading.Lock(), None
+
+    def __call__(self) -> DataFrame:
+        with self._lock:  # measures run side by side
+            if self._table is None:
+                self._table = self._build()
+            return self._table
+
+
 @dataclass
 class ClaimsInputs:
     member: DataFrame
@@ -51,8 +66,12 @@ class ClaimsInputs:
     medications: DataFrame | None = None
     components: DataFrame | None = None
 
+    def __getattribute__(self, name):
+        value = object.__getattribute__(self, name)
+        return value() if isinstance(value, Later) else value
+
     def with_(self, **kw) -> "ClaimsInputs":
-        return replace(self, **kw)
+        return ClaimsInputs(**{f.name: self.__dict__[f.name] for f in fields(self)} | kw)
 
     def memo(self, key, build):
         """Share an intermediate between measures run on the same inputs (e.g. the

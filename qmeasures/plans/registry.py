@@ -85,8 +85,8 @@ class MeasureRegistry:
 
     def _has_inputs(self, name: str, inputs: ClaimsInputs) -> bool:
         """Optional measures without their table give an empty result and read no claims."""
-        needs = {"DHS_ASSESSMENTS": inputs.foster_care, "DIABETES_ORAL_EVAL": inputs.inpdental}
-        return needs.get(name.upper(), inputs.outclaims) is not None
+        needs = {"DHS_ASSESSMENTS": "foster_care", "DIABETES_ORAL_EVAL": "inpdental"}
+        return getattr(inputs, needs.get(name.upper(), "outclaims")) is not None
 
     def active(self) -> list[str]:
         return [n for n in self._measures if n.upper() not in self._optional or n.upper() in self._enabled]

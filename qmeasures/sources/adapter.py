@@ -21,10 +21,12 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from qmeasures.inputs import ClaimsInputs
+from qmeasures.inputs import ClaimsInputs, Later
 from qmeasures.params import MeasureParams
 from qmeasures.schemas import CODE_TABLE_SCHEMA
 from qmeasures.sources.mappings import default_components
@@ -180,6 +182,11 @@ def _mod(c: str, n: int) -> Column:
     return F.pmod(F.col(c), F.lit(n))
 
 
+def _coded(prefix: str, value: Column, n: int) -> Column:
+    """``prefix`` and ``value`` modulo ``n``, taken from the list of its ``n`` values."""
+    return F.element_at(F.array(*[F.lit(f"{prefix}{k}") for k in range(n)]), (F.pmod(value, F.lit(n)) + 1).cast("int"))
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
@@ -195,31 +202,49 @@ def members(customer: DataFrame) -> DataFrame:
                            F.date_sub(F.lit(DOB_ANCHOR), days.cast("int")).alias("dob"))
 
 
-def member_time(orders: DataFrame) -> DataFrame:
+def _spans(orders: DataFrame) -> DataFrame:
     od = F.to_date("o_orderdate")
     return orders.select(
         _member_id("o_custkey").alias("member_id"),
         F.trunc(od, "month").alias("date_start"),
         F.last_day(F.add_months(od, 2)).alias("date_end"),
-        F.when(F.col("o_orderstatus") == "P", "N").otherwise("Y").alias("cover_medical")).distinct()
+        F.when(F.col("o_orderstatus") == "P", "N").otherwise("Y").alias("cover_medical"))
+
+
+def member_time(orders: DataFrame) -> DataFrame:
+    return _spans(orders).distinct()
 
 
 def member_months(spans: DataFrame) -> DataFrame:
+    """Distinct months of the spans, which may repeat."""
     months = F.explode(F.sequence(F.col("date_start"), F.trunc("date_end", "month"), F.expr("interval 1 month")))
     return (spans.select("member_id", months.alias("elig_month"), "cover_medical").distinct()
             .select("member_id", F.col("elig_month").cast("date").alias("elig_month"),
                     F.lit(1.0).alias("memmos"), "cover_medical"))
 
 
-def claim_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    j = lineitem.join(o, lineitem["l_orderkey"] == o["o_orderkey"])
-    od = F.to_date("o_orderdate")
-    from_date = F.date_add(od, _mod("l_linenumber", 3).cast("int"))
+def claim_lines(lineitem: DataFrame, orders: DataFrame, by_date: bool = False) -> DataFrame:
+    """Claim lines; with ``by_date`` each partition holds them in the order of ``prm_fromdate``.
+
+    The order is made on the source columns, before the many claim columns are derived: a row is
+    then a tenth as wide, so a task's rows are sorted in memory.
+    """
+    o = orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("_day"))
+    j = (lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+         .join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+         .withColumn("_from", F.date_add("_day", _mod("l_linenumber", 3).cast("int"))))
+    if by_date:
+        j = j.sortWithinPartitions("_from")
+    # one expression for all later codes of a kind: a column each makes a generated method that the JVM won't compile
+    j = j.select("*", F.transform(F.sequence(F.lit(4), F.lit(CODE_COLUMNS)), lambda k: F.when(
+        F.pmod(F.col("l_partkey") + k, F.lit(16)) == 0, _coded("D", F.col("l_suppkey") + 3 * k, 60))).alias("_diags"),
+        F.transform(F.sequence(F.lit(3), F.lit(CODE_COLUMNS)), lambda k: F.when(
+            F.pmod(F.col("l_suppkey") + k, F.lit(32)) == 0, _coded("P", F.col("l_partkey") + k, 40))).alias("_procs"))
+    od, from_date = F.col("_day"), F.col("_from")
     hcpcs = (F.when((_mod("l_partkey", 211) == 0) & (_mod("l_suppkey", 5) == 0), F.lit("HSP"))
-             .otherwise(F.concat(F.lit("H"), _s(_mod("l_partkey", 60)))))
+             .otherwise(_coded("H", F.col("l_partkey"), 60)))
     revcode = (F.when((_mod("l_suppkey", 13) == 0) & (_mod("l_partkey", 101) == 0), F.lit("RHSP"))
-               .otherwise(F.concat(F.lit("R"), _s(_mod("l_suppkey", 20)))))
+               .otherwise(_coded("R", F.col("l_suppkey"), 20)))
     return j.select(
         _member_id("o_custkey").alias("member_id"),
         _s(F.col("l_orderkey")).alias("claimid"),
@@ -236,18 +261,14 @@ def claim_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", F.lit("95")).alias("modifier"),
         F.when((F.col("l_returnflag") == "A") & (_mod("l_linenumber", 2) == 0), F.lit("GT")).alias("modifier2"),
         F.when(F.col("l_linestatus") == "O", F.lit("09")).otherwise(F.lit("10")).alias("icdversion"),
-        F.concat(F.lit("D"), _s(_mod("l_suppkey", 40))).alias("icddiag1"),
-        F.concat(F.lit("D"), _s(_mod("l_partkey", 50))).alias("icddiag2"),
+        _coded("D", F.col("l_suppkey"), 40).alias("icddiag1"),
+        _coded("D", F.col("l_partkey"), 50).alias("icddiag2"),
         F.when(_mod("l_linenumber", 2) == 0,
-               F.concat(F.lit("D"), _s(F.pmod(F.col("l_partkey") + F.col("l_suppkey"), F.lit(45))))).alias("icddiag3"),
-        F.when(_mod("l_partkey", 9) == 0, F.concat(F.lit("P"), _s(_mod("l_partkey", 7)))).alias("icdproc1"),
-        *[F.when(F.pmod(F.col("l_partkey") + k, F.lit(16)) == 0,
-                 F.concat(F.lit("D"), _s(F.pmod(F.col("l_suppkey") + 3 * k, F.lit(60))))).alias(f"icddiag{k}")
-          for k in range(4, CODE_COLUMNS + 1)],
+               _coded("D", F.col("l_partkey") + F.col("l_suppkey"), 45)).alias("icddiag3"),
+        F.when(_mod("l_partkey", 9) == 0, _coded("P", F.col("l_partkey"), 7)).alias("icdproc1"),
+        *[F.col("_diags")[k - 4].alias(f"icddiag{k}") for k in range(4, CODE_COLUMNS + 1)],
         F.when((_mod("l_partkey", 97) == 0) & (_mod("l_suppkey", 7) == 0), F.lit("PX")).alias("icdproc2"),
-        *[F.when(F.pmod(F.col("l_suppkey") + k, F.lit(32)) == 0,
-                 F.concat(F.lit("P"), _s(F.pmod(F.col("l_partkey") + k, F.lit(40))))).alias(f"icdproc{k}")
-          for k in range(3, CODE_COLUMNS + 1)],
+        *[F.col("_procs")[k - 3].alias(f"icdproc{k}") for k in range(3, CODE_COLUMNS + 1)],
         F.when((F.col("l_returnflag") == "N") & (F.col("l_linenumber") == 5), "Y").otherwise("N").alias("prm_denied_yn"),
         F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber"))
 
@@ -292,33 +313,39 @@ def predictions(customer: DataFrame) -> DataFrame:
         _member_id("c_custkey").alias("member_id"), (F.col("c_acctbal") / 10000.0).alias("er_visits_pred_prob"))
 
 
-def derive_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def derive_model(spark: SparkSession, sf_dir: str, by_date: bool = False) -> dict[str, DataFrame]:
     """The stageable claims-model tables as lazy DataFrames over the driver tables.
 
     ``lines`` is the joined claim-line table (lineitem x orders with the helper keys);
-    the medical, pharmacy and dental claim tables are projections of it.
+    the medical, pharmacy and dental claim tables are projections of it.  ``by_date`` puts the dated
+    tables in date order within each partition.
     """
+    def dated(df: DataFrame, column: str) -> DataFrame:
+        return df.sortWithinPartitions(column) if by_date else df
     t = read_tables(spark, sf_dir, ["customer", "orders", "lineitem", "supplier"])
     member = members(t["customer"])
-    spans = member_time(t["orders"])
     return {
         "member": member,
-        "member_time": spans,
-        "member_months": member_months(spans),
-        "lines": claim_lines(t["lineitem"], t["orders"]),
+        "member_time": dated(member_time(t["orders"]), "date_start"),
+        "member_months": dated(member_months(_spans(t["orders"])), "elig_month"),
+        "lines": claim_lines(t["lineitem"], t["orders"], by_date),
         "providers": providers(t["supplier"]),
         "foster_care": foster_care(t["orders"], member),
         "predictions": predictions(t["customer"]),
     }
 
 
-def _claim_tables(model: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _claim_tables(model: dict) -> dict:
     lines = model.pop("lines")
-    model.update(outclaims=outclaims(lines), outpharmacy=outpharmacy(lines), inpdental=inpdental(lines))
-    return model
+    if isinstance(lines, Later):
+        return model | {f.__name__: Later(lambda f=f: f(lines())) for f in (outclaims, outpharmacy, inpdental)}
+    return model | {f.__name__: f(lines) for f in (outclaims, outpharmacy, inpdental)}
 
 
 _STAGED: dict = {}
+_STAGE_LOCK = threading.Lock()
+# projections of small tables are read as they are
+UNSTAGED = ("member", "providers", "predictions")
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> str:
@@ -332,8 +359,8 @@ def _listing(spark: SparkSession, sf_dir: str) -> str:
     return ";".join(sorted(out))
 
 
-def stage_model(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Write the derived claims model once per session as parquet in the shared folder.
+def _stage(spark: SparkSession, sf_dir: str) -> dict[str, Later]:
+    """The derived claims model: each table is written once per session, when it is first read.
 
     The measures read the claims model many times (several branches per measure);
     staging it like an upstream data mart means every branch scans columnar files
@@ -343,36 +370,39 @@ def stage_model(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """
     from qmeasures.session import ensure_checkpoint_dir
     app = spark.sparkContext.applicationId
-    for old in [k for k in _STAGED if k[0] != app]:  # sessions that have ended
-        del _STAGED[old]
     key = (app, sf_dir, _listing(spark, sf_dir))
-    if key in _STAGED:
-        return _STAGED[key]
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    tag = hashlib.sha1("|".join(key[1:]).encode()).hexdigest()[:10]
-    base = f"{root}/model-{key[0]}-{tag}"
-    from concurrent.futures import ThreadPoolExecutor
-
-    def write(item):
-        name, df = item
-        path = f"{base}/{name}"
+    with _STAGE_LOCK:
+        for old in [k for k in _STAGED if k[0] != app]:  # sessions that have ended
+            del _STAGED[old]
+        if key in _STAGED:
+            return _STAGED[key]
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+        tag = hashlib.sha1("|".join(key[1:]).encode()).hexdigest()[:10]
+
+        def write(name: str, df: DataFrame) -> DataFrame:
+            path = f"{root}/model-{app}-{tag}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+
         # claim lines are written in service-date order within each file so the date
         # ranges the measures filter on can skip row groups by their min/max statistics
-        order = {"lines": "prm_fromdate", "member_time": "date_start", "member_months": "elig_month"}.get(name)
-        (df.sortWithinPartitions(order) if order else df).write.mode("overwrite").parquet(path)
-        return name, path
+        _STAGED[key] = {name: Later(lambda df=df, name=name: df if name in UNSTAGED else write(name, df))
+                        for name, df in derive_model(spark, sf_dir, by_date=True).items()}
+        return _STAGED[key]
+
 
+def stage_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Every table of the claims model, written now where that has not been done."""
+    tables = _stage(spark, sf_dir)
     # independent tables: their write jobs run concurrently in the one application
     with ThreadPoolExecutor(max_workers=4) as pool:
-        paths = dict(pool.map(write, derive_model(spark, sf_dir).items()))
-    _STAGED[key] = paths
-    return paths
+        return dict(zip(tables, pool.map(lambda table: table(), tables.values())))
 
 
 def load_inputs(spark: SparkSession, sf_dir: str, staged: bool = True) -> ClaimsInputs:
-    """Claims inputs for the driver tables (staged model by default)."""
+    """Claims inputs for the driver tables (by default a staged model, each table written when it is first read)."""
     if staged:
-        model = {k: spark.read.parquet(v) for k, v in stage_model(spark, sf_dir).items()}
+        model = dict(_stage(spark, sf_dir))
     else:
         model = derive_model(spark, sf_dir)
     return ClaimsInputs(
