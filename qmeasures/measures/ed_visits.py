@@ -113,9 +113,10 @@ def ed_lines(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     ip = (inpatient_follow_keys(rel).withColumnRenamed("ed_date", "prm_fromdate")
           .withColumn("ip_following", F.lit(1)))
     in_year = in_range("prm_fromdate", p.measure_start, p.measure_end).cast("int")
+    # the two joins by claim follow each other: the lines are dealt by claim once
     return (lines.join(psych, ["member_id", "claimid"], "left")
-            .join(ip, ["member_id", "prm_fromdate"], "left")
             .join(denied, ["member_id", "claimid"], "left")
+            .join(ip, ["member_id", "prm_fromdate"], "left")
             .select("member_id", "prm_fromdate", "prm_line", "claimid", "icddiag_excl",
                     F.coalesce("ip_following", F.lit(0)).alias("ip_following"),
                     F.coalesce("cpt_exclusion_flag", F.lit(0)).alias("cpt_exclusion_flag"),
@@ -197,6 +198,11 @@ def ed_visits_all(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     return to_result(out)
 
 
+def shared_visits(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
+    """All-visits table, written once for the measures on these inputs that read it."""
+    return inp.memo(("ed_all", p.key()), lambda: materialize(ed_visits_all(inp, p)))
+
+
 def mental_illness_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
     """Adults with >= 2 distinct diagnosis dates in the 36 months before the year end."""
     request = _mi_request(inp)
@@ -211,7 +217,7 @@ def mental_illness_members(inp: ClaimsInputs, p: MeasureParams) -> DataFrame:
 
 
 def ed_visits_mi(inp: ClaimsInputs, p: MeasureParams, ed_all: DataFrame | None = None) -> DataFrame:
-    ed_all = ed_all if ed_all is not None else inp.memo(("ed_all", p.key()), lambda: ed_visits_all(inp, p))
+    ed_all = ed_all if ed_all is not None else shared_visits(inp, p)
     out = mental_illness_members(inp, p).join(ed_all, "member_id").select(
         "member_id", F.coalesce("numerator", F.lit(0.0)).alias("numerator"), "denominator",
         "comments", "comp_quality_date_actionable")

@@ -79,12 +79,12 @@ DRIVER_TARGETS = [
 ]
 
 
-def all_measure_results(spark, sf_dir, shared_pass: bool | None = None) -> dict:
+def all_measure_results(spark, sf_dir, shared_pass: bool | None = None, inputs=None) -> dict:
     """Every registered measure (opt-in ones enabled) on one set of inputs."""
     from qmeasures.plans.registry import default_registry
     reg = default_registry().enable("DHS_assessments", "diabetes_oral_eval", "prev_dental_1_to_5",
                                     "prev_dental_6_to_14")
-    return reg.run(_inputs(spark, sf_dir), P, shared_pass=shared_pass)
+    return reg.run(_inputs(spark, sf_dir) if inputs is None else inputs, P, shared_pass=shared_pass)
 
 
 def roster(spark, sf_dir) -> DataFrame:
@@ -118,9 +118,11 @@ def combined_results(spark, sf_dir) -> DataFrame:
 
 def rate_summary_q(spark, sf_dir) -> DataFrame:
     from qmeasures.plans.combine import rate_summary
-    # the all-visits table is reported as a rate beside the published measures
-    all_ed = ed_visits.ed_visits_all(_inputs(spark, sf_dir), P)
-    return rate_summary(all_measure_results(spark, sf_dir) | {"ed_visits_all": all_ed})
+    # the all-visits table is reported as a rate beside the published measures; it is the one that the
+    # mental-illness measure reads
+    inp = _inputs(spark, sf_dir)
+    results = all_measure_results(spark, sf_dir, inputs=inp)
+    return rate_summary(results | {"ed_visits_all": ed_visits.shared_visits(inp, P)})
 
 
 MEASURE_QUERIES = {

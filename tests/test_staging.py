@@ -49,3 +49,16 @@ def test_claim_lines_are_ordered_before_they_are_wide(spark, tmp_path):
     assert plan.output().size() <= 12
     days = model["lines"].coalesce(1).select("prm_fromdate").collect()
     assert len(days) == 180
+
+
+def test_rate_summary_flags_emergency_lines_once(spark, tmp_path):
+    from qmeasures.operators import reuse
+    from qmeasures.plans.queries import rate_summary_q
+    path, written = tables(spark, tmp_path), []
+    reuse.observers.append(lambda df: written.append(df.columns))
+    try:
+        rates = rate_summary_q(spark, path)
+    finally:
+        reuse.observers.pop()
+    assert sum("is_psych" in columns for columns in written) == 1
+    assert {"ED_VISITS_ALL", "ED_VISITS_MI"} <= {r.Measure_Abbreviation.upper() for r in rates.collect()}
