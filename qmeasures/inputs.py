@@ -111,18 +111,18 @@ class ClaimsInputs:
             return shared[1]
         if write_where is None:
             return self.memo(("flagged", tuple(wanted)), lambda: self._flag(self.outclaims, wanted))
-        return self.memo(("flagged", tuple(wanted), str(write_where)), lambda: materialize(
-            self._flag(self.outclaims.filter(write_where), wanted)))
+        return self.memo(("flagged", tuple(wanted), str(write_where)),
+                         lambda: self._flag(self.outclaims.filter(write_where), wanted, write=materialize))
 
-    def _flag(self, claims: DataFrame, wanted) -> DataFrame:
+    def _flag(self, claims: DataFrame, wanted, write=None) -> DataFrame:
         tables = {"oha": self.oha_codes, "hedis": self.hedis_codes, "medications": self.medications}
-        return flag_lines(claims, tables, wanted, self.LINE_COLUMNS)
+        return flag_lines(claims, tables, wanted, self.LINE_COLUMNS, write=write)
 
     def prepare_flags(self, requests) -> None:
         """One scan of the code columns for all these requests, written; later calls read the result."""
         shared = self.__dict__.get("_flags")
         if shared is None or not set(requests) <= shared[0]:
-            self.__dict__["_flags"] = (frozenset(requests), materialize(self._flag(self.outclaims, requests)))
+            self.__dict__["_flags"] = (frozenset(requests), self._flag(self.outclaims, requests, write=materialize))
 
     def members(self) -> DataFrame:
         """One row per member (duplicate roster rows collapse; earliest dob wins)."""

@@ -19,7 +19,9 @@ folded back to the line with ``bit_or``:
   small and shuffles both sides when it is not;
 * the lookup is a hash probe inside generated code, once a code, for all components together;
 * lines without a match end at the join, and the fold's key is the line, so neither a large
-  member nor a frequent code gathers rows.
+  member nor a frequent code gathers rows;
+* what is written for several readers are the bit words, and a reader tests the bits of the
+  flags it uses: the tests of some 60 components in one method stay above what the JVM compiles.
 
 Rules of the predicates (ungrouped rows OR-ed, groups AND-ed over code systems, diagnosis
 positions, versioned lists) are those of :mod:`qmeasures.functions.codes`.
@@ -27,6 +29,7 @@ positions, versioned lists) are those of :mod:`qmeasures.functions.codes`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -110,20 +113,22 @@ def _check_versioned(rows: DataFrame, requests: list[FlagRequest]) -> None:
 
 
 def flag_lines(claims: DataFrame, tables: dict[str, DataFrame], requests, keep,
-               literal_codes: int = LITERAL_CODES) -> DataFrame:
+               literal_codes: int = LITERAL_CODES, write: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Lines of ``claims`` with at least one listed code: the ``keep`` columns and a boolean per request.
 
     Columns of requests are named :attr:`FlagRequest.name` and never NULL.  Repeated lines stay
     repeated.  A line whose code is in the wrong position, or in a group that isn't complete, may
-    come with all flags false.  ``literal_codes`` bounds what the driver reads.
+    come with all flags false.  ``literal_codes`` bounds what the driver reads.  ``write`` stores the
+    lines: in a join it gets their bit words, and each reader tests the bits of its own flags.
     """
     requests = sorted(set(requests), key=lambda r: r.name)
     held = [c for c in keep if c in claims.columns]
     listed = _listed(tables, requests)
     few = listed.limit(literal_codes + 1).collect() if len(requests) <= LITERAL_FLAGS else None
     if few is not None and len(few) <= literal_codes:
-        return _by_literals(claims, few, requests, held)
-    return _by_join(claims, materialize(listed), requests, held)
+        found = _by_literals(claims, few, requests, held)
+        return write(found) if write else found
+    return _by_join(claims, materialize(listed), requests, held, write)
 
 
 def _of(rows, r: FlagRequest) -> list:
@@ -158,7 +163,8 @@ def _by_literals(claims: DataFrame, rows: list, requests: list[FlagRequest], hel
     return claims.filter(listed).select(*held, *flags)
 
 
-def _by_join(claims: DataFrame, rows: DataFrame, requests: list[FlagRequest], held: list[str]) -> DataFrame:
+def _by_join(claims: DataFrame, rows: DataFrame, requests: list[FlagRequest], held: list[str],
+             write: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     names = set(claims.columns)
     diags, procs = _numbered(claims.columns, "icddiag"), _numbered(claims.columns, "icdproc")
     # the shape of the lists, not the codes: a few rows per component
@@ -207,6 +213,9 @@ def _by_join(claims: DataFrame, rows: DataFrame, requests: list[FlagRequest], he
     pairs = (numbered.select("_line", *held, F.posexplode("_codes").alias("_at", "code")).where(F.col("code").isNotNull()).withColumn("slot", F.element_at(place, F.col("_at") + 1)))
     folded = (pairs.join(lookup, ["slot", "code"]).groupBy("_line", *held)
               .agg(*[F.bit_or(w).alias(w) for w in words]))
+    if write:
+        # the tests of all components together make a generated method that the JVM won't compile
+        folded = write(folded.select(*held, *words))
 
     def on(bit: int) -> Column:
         return F.col(words[bit // WORD_BITS]).bitwiseAND(F.lit(1 << (bit % WORD_BITS))) != 0

@@ -1,10 +1,13 @@
 """Component flags by literals and by the join with the code table: same rules, same rows."""
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import codes
 from qmeasures.functions.codes import CodeTableError, any_versioned_diag, claims_filter, versioned_diag_codes
-from qmeasures.operators import flagged
+from qmeasures.inputs import ClaimsInputs
+from qmeasures.operators import flagged, reuse
 from qmeasures.operators.flagged import FlagRequest, flag_lines
 from qmeasures.sources.adapter import load_inputs
 
@@ -110,6 +113,32 @@ def test_a_large_list_stays_off_the_driver(spark, lines, monkeypatch):
     assert "A99999" not in text
 
 
+def test_what_is_written_for_many_components_stays_compilable(spark, lines, monkeypatch):
+    """The JVM does not compile methods above 8,000 bytes: 70 components are written as bits, and read as their flags."""
+    systems = [("CPT", "A"), ("ICD10CM-Diag", "D"), ("UBREV", "R"), ("Modifier", "9")]
+    table = codes(spark, "\n".join(f"m~c{i}~{s}~{c}{i % 6}~{'' if i % 2 else 'g'}" for i in range(70) for s, c in systems))
+    requests = [FlagRequest("oha", "m", f"c{i}") for i in range(70)]
+    inputs = ClaimsInputs(member=lines.select("member_id"), outclaims=lines, oha_codes=table)
+    written = []
+    monkeypatch.setattr(reuse, "observers", [written.append])
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # an adaptive plan has no generated code before it runs
+    try:
+        inputs.prepare_flags(requests)
+        text = written[-1]._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000, sizes
+    shared = inputs.flagged_lines(requests)
+    lazy = flag_lines(lines, {"oha": table}, requests, inputs.LINE_COLUMNS)
+    assert shared.columns == lazy.columns
+    assert sorted(map(str, shared.collect())) == sorted(map(str, lazy.collect()))
+    assert shared.where(F.col(f"`{requests[1].name}`")).count() == lines.where(
+        "hcpcs = 'A1' or icddiag1 = 'D1' or icddiag2 = 'D1' or icddiag3 = 'D1' or revcode = 'R1'").count()
+
+
 def test_shared_pass_scans_the_codes_once(spark):
     from qmeasures.operators import reuse
     from qmeasures.plans.registry import default_registry
