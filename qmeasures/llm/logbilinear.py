@@ -270,11 +270,12 @@ class Model:
 
     def ahead(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Predicted embedding from the outputs one and two places before; a 1 at its end meets the bias."""
-        q = np.ones((len(one), self.target.shape[1]), self.context.dtype)
-        near, far = self.context[one], self.context[two]
-        near *= self.scale[0]
-        far *= self.scale[1]
-        np.add(near, far, out=q[:, :-1])
+        return self.added(self.context.take(one, axis=0), self.context.take(two, axis=0))
+
+    def added(self, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+        """The same from their embeddings."""
+        q = np.ones((len(near), self.target.shape[1]), self.context.dtype)
+        np.add(near * self.scale[0], far * self.scale[1], out=q[:, :-1])
         return q
 
 
@@ -294,7 +295,8 @@ def _log_sums(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     """1 / (1 + exp(-x)) in place."""
-    np.exp(np.negative(np.maximum(x, -60, out=x), out=x), out=x)
+    with np.errstate(over="ignore"):   # beyond the range it is 0
+        np.exp(np.negative(x, out=x), out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
@@ -304,7 +306,7 @@ def _sum_rows(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     order = np.argsort(at)
     at = at[order]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return at[first], np.add.reduceat(values[order], first)
+    return at[first], np.add.reduceat(values.take(order, axis=0), first)
 
 
 class Contrast:
@@ -333,8 +335,9 @@ class Contrast:
                   words: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """(rows, gradients) of each part; ``word`` is sorted."""
         m, g = self.m, self.of_output[word]
-        q = m.ahead(one, two)
-        u, t, un = m.group[g], m.target[word], m.group[groups]
+        near, far = m.context.take(one, axis=0), m.context.take(two, axis=0)
+        q = m.added(near, far)
+        u, t, un = m.group.take(g, axis=0), m.target.take(word, axis=0), m.group[groups]
         fit = np.einsum("nd,nd->n", q, u) - self.log_kn[g]
         against = q @ un.T - self.log_kn[groups]
         g_fit, g_against = _sigmoid(fit) - 1, _sigmoid(against)
@@ -343,20 +346,24 @@ class Contrast:
         many = self.sizes[g] > 1       # a group of one word has nothing to tell apart
         w_fit = np.where(many, _sigmoid(np.einsum("nd,nd->n", q, t) - self.log_kw[g]) - 1, 0).astype(q.dtype)
         d_q += w_fit[:, None] * t
-        at, by = [word], [w_fit[:, None] * q]
         cuts = np.searchsorted(g, np.arange(len(self.sizes) + 1))
-        for i in np.flatnonzero((np.diff(cuts) > 0) & (self.sizes > 1)):
-            s, noise = slice(cuts[i], cuts[i + 1]), words[i]
-            tn, qs = m.target[noise], q[s]
-            push = qs @ tn.T
-            push -= self.log_kw[i]
-            push = _sigmoid(push)
-            d_q[s] += push @ tn
-            at.append(noise)
-            by.append(push.T @ qs)
-        target_at, target_by = _sum_rows(np.concatenate(at), np.concatenate(by))
+        met = np.flatnonzero((np.diff(cuts) > 0) & (self.sizes > 1))
+        noise = words[met]
+        tn = m.target.take(noise, axis=0)
+        spans = [slice(a, b) for a, b in zip(cuts[met].tolist(), cuts[met + 1].tolist())]
+        push = np.zeros((len(q), words.shape[1]), q.dtype)
+        for s, other in zip(spans, tn):   # only the products are made group by group
+            np.matmul(q[s], other.T, out=push[s])
+        push -= self.log_kw[g][:, None]
+        _sigmoid(push)
+        by = np.empty(tn.shape, q.dtype)
+        for s, other, sums in zip(spans, tn, by):
+            d_q[s] += push[s] @ other
+            np.matmul(push[s].T, q[s], out=sums)
+        target_at, target_by = _sum_rows(np.concatenate([word, noise.ravel()]),
+                                         np.concatenate([w_fit[:, None] * q, by.reshape(-1, q.shape[1])]))
         d = d_q[:, :-1]
-        scale = np.stack([np.einsum("nd,nd->d", d, m.context[one]), np.einsum("nd,nd->d", d, m.context[two])])
+        scale = np.stack([np.einsum("nd,nd->d", d, x) for x in (near, far)])
         context = _sum_rows(np.concatenate([one, two]), np.concatenate([d * m.scale[0], d * m.scale[1]]))
         return [(np.arange(2), scale), (group_at, group_by), context, (target_at, target_by)]
 
@@ -364,9 +371,12 @@ class Contrast:
         order = np.argsort(word)
         one, two, word = one[order], two[order], word[order]
         for p, s, (at, by) in zip(self.m.parts(), self.seen, self.gradients(one, two, word, *self.noise())):
-            sums = s[at] + by * by
+            sums = s.take(at, axis=0)
+            sums += by * by
             s[at] = sums
-            p[at] -= self.rate * by / np.sqrt(sums)
+            by *= self.rate
+            by /= np.sqrt(sums, out=sums)
+            p[at] = np.subtract(p.take(at, axis=0), by, out=by)
         self.met += np.bincount(np.concatenate([one, two]), minlength=len(self.met))
 
 
@@ -465,12 +475,12 @@ class Scorer:
         g = self.of_output[of]
         before, at = np.unique((t.one * (self.starts[-1] + 1) + t.two)[order], return_inverse=True)
         ahead = self.m.ahead(before // (self.starts[-1] + 1), before % (self.starts[-1] + 1))
-        q = ahead[at]   # a context's first normaliser is worked out once
-        found = np.einsum("nd,nd->n", q, self.m.group[g]) - _log_sums(ahead, self.m.group)[at]
+        q = ahead.take(at, axis=0)   # a context's first normaliser is worked out once
+        found = np.einsum("nd,nd->n", q, self.m.group.take(g, axis=0)) - _log_sums(ahead, self.m.group)[at]
         cuts = np.searchsorted(g, np.arange(len(self.starts)))
         for i in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(self.starts) > 1)):
             s = slice(cuts[i], cuts[i + 1])
-            found[s] += (np.einsum("nd,nd->n", q[s], self.m.target[of[s]])
+            found[s] += (np.einsum("nd,nd->n", q[s], self.m.target.take(of[s], axis=0))
                          - _log_sums(q[s], self.m.target[self.starts[i]:self.starts[i + 1]]))
         out = np.empty(len(of))
         out[order] = found / np.log(10)

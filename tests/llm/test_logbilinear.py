@@ -179,3 +179,15 @@ def test_training_reads_every_token(spark, share):
     fresh = lbl.Model.fresh(facts, 4, 5)
     moved = (model.context != fresh.context).any(axis=1)
     assert len(facts.hot_hash) == 180 and moved[:180].all() and moved[-1]  # each word stands before a token learned from
+
+
+def test_noise_of_all_groups_is_weighed_at_once(monkeypatch):
+    """A batch makes four sigmoids however many groups it meets, not one more for each group."""
+    facts = lbl.Counts(1000, 330, 10, np.arange(300), np.arange(340, 40, -1), np.zeros(300, np.int32),
+                       np.full(lbl.CLASSES, 90_000), np.full(lbl.CLASSES, 90_400))
+    learner = lbl.Contrast(lbl.Model.fresh(facts, 5, 1), facts, np.random.default_rng(0), 0.1, 4, 3)
+    word = np.arange(0, 365)
+    sigmoid, calls = lbl._sigmoid, []
+    monkeypatch.setattr(lbl, "_sigmoid", lambda x: calls.append(x.shape) or sigmoid(x))
+    learner.step(word, word[::-1].copy(), word)
+    assert len(calls) == 4, len(calls)
