@@ -37,22 +37,22 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qmeasures.llm.common import as_bytes, bound_batches, materialize
+from qmeasures.llm.common import bound_batches, materialize
 
 CLASSES = 64
 GROUPS = 208
 BLOCK_ROWS = 1024
 PART_TOKENS = 1 << 22
-FLUSH_WORDS = 300_000
-CACHE_WORDS = 250_000
+FLUSH_WORDS = 1_000_000
+SHORT_RUN = 4
 
 
 def word_hash(word: bytes) -> int:
@@ -60,30 +60,71 @@ def word_hash(word: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """``word_hash`` of each."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+
+
 def word_class(word: bytes) -> int:
     """Suffix class: words that end alike tend to be of one kind and language."""
     return zlib.crc32(word[-3:]) % CLASSES
 
 
+def _pieces(words: pa.Array) -> list[bytes]:
+    """The bytes of a string column without nulls; slices of one buffer are faster than ``to_pylist``."""
+    _, offsets, data = words.buffers()
+    cuts = np.frombuffer(offsets, np.int32)[words.offset:words.offset + len(words) + 1].tolist() if len(words) else []
+    whole = data.to_pybytes() if data else b""
+    return [whole[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Words a text, the distinct words, and which of them each word is; A-Z are lowered."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    offsets = lists.offsets.to_numpy()
+    words = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    distinct, at = _pieces(words.dictionary), words.indices.to_numpy()
+    if b"" in distinct:   # white space at an end leaves an empty piece
+        empty = distinct.index(b"")
+        kept = at != empty
+        offsets = np.concatenate([[0], np.cumsum(kept)])[offsets - offsets[0]]
+        at = at[kept]
+        at -= at > empty
+        del distinct[empty]
+    return np.diff(offsets).astype(np.int64), distinct, at
+
+
+def as_strings(column: pa.Array) -> pa.Array:
+    """A text column for Arrow's string functions, its bytes unchecked; null becomes empty."""
+    return pc.fill_null(column.cast(pa.binary()).view(pa.string()), "")
+
+
+def _added(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """(h, n, kind) of the distinct hashes: their counts added up, one of their kinds."""
+    h, n, kind = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(h)
+    h = h[order]
+    first = _firsts(h)
+    return pa.RecordBatch.from_arrays([pa.array(h[first], pa.int64()), pa.array(np.add.reduceat(n[order], first), pa.int64()),
+                                       pa.array(np.minimum.reduceat(kind[order], first), pa.int32())], names=["h", "n", "kind"])
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """(text) -> (h, n, kind): occurrences of each word, added up in the task first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-        held: Counter = Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in held], pa.int64()),
-                                              pa.array(list(held.values()), pa.int64()),
-                                              pa.array([word_class(w) for w in held], pa.int32())], names=["h", "n", "kind"])
-            held.clear()
-            return out
+        held, size = [], 0
         for batch in batches:
-            for text in as_bytes(batch.column(0)):
-                held.update(text.lower().split())
-                if len(held) > FLUSH_WORDS:
-                    yield flush()
-        if held:
-            yield flush()
+            texts = as_strings(batch.column(0))
+            for a, b in _slices(texts):
+                _, words, at = split_words(texts.slice(a, b - a))
+                held.append((word_hashes(words), np.bincount(at, minlength=len(words)),
+                             np.fromiter(map(word_class, words), np.int32, len(words))))
+                size += len(words)
+                if size > FLUSH_WORDS:
+                    yield _added(held)
+                    held, size = [], 0
+        if size:
+            yield _added(held)
 
     return texts.select("text").mapInArrow(run, "h long, n long, kind int").groupBy("h").agg(
         F.sum("n").alias("n"), F.min("kind").alias("kind"))
@@ -147,49 +188,38 @@ def gather(counts: DataFrame, texts: int, hot: int) -> Counts:
     return Counts(total[0] + texts, total[1] + (1 if texts else 0), texts, h[order], n[order], kind[order], by_kind, mass)
 
 
-class Words(dict):
-    """Word -> place: a hot word's rank, or len(hot) + place among the words met that are not hot."""
+class Words:
+    """Numbers words by their outputs: a hot word's rank, or len(hot) + class."""
 
     def __init__(self, counts: Counts):
-        super().__init__()
-        self.hot = {int(h): i for i, h in enumerate(counts.hot_hash)}
-        self.cold_hash: list[int] = []
-        self.cold_kind: list[int] = []
-
-    def __missing__(self, word: bytes) -> int:
-        h = word_hash(word)
-        at = self.hot.get(h)
-        if at is None:
-            at = len(self.hot) + len(self.cold_hash)
-            self.cold_hash.append(h)
-            self.cold_kind.append(word_class(word))
-        self[word] = at
-        return at
-
-    def number(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        self.rank = np.argsort(counts.hot_hash)
+        self.hot = counts.hot_hash[self.rank]
+
+    def number(self, texts: pa.Array | list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Words a text, their outputs, cold words a text, their hashes."""
-        if len(self) > CACHE_WORDS:
-            self.clear()
-            self.cold_hash, self.cold_kind = [], []
-        split = [t.lower().split() for t in texts]
-        sizes = np.array([len(s) for s in split], dtype=np.int64)
-        places = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
-        cold = np.flatnonzero(places >= len(self.hot))
-        at = places[cold] - len(self.hot)
-        places[cold] = len(self.hot) + np.array(self.cold_kind, dtype=np.int64)[at]
+        sizes, words, of = split_words(texts if isinstance(texts, pa.Array) else as_strings(pa.array(texts, pa.binary())))
+        hashes, n = word_hashes(words), len(self.hot)
+        outputs = np.full(len(words), n)
+        if n:
+            near = np.minimum(np.searchsorted(self.hot, hashes), n - 1)
+            outputs = np.where(self.hot[near] == hashes, self.rank[near], n)
+        rest = np.flatnonzero(outputs == n)
+        outputs[rest] += np.fromiter((word_class(words[i]) for i in rest.tolist()), np.int64, len(rest))
+        places = outputs[of]
+        cold = np.flatnonzero(places >= n)
         per_text = np.diff(np.searchsorted(cold, np.concatenate([[0], np.cumsum(sizes)])))
-        return sizes, places, per_text, np.array(self.cold_hash, dtype=np.int64)[at]
+        return sizes, places, per_text, hashes[of[cold]]
 
 
 def _lists(sizes: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, kind))
 
 
-def _slices(texts: list[bytes], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _slices(texts: pa.Array, most: int = 8 << 20) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``most`` bytes."""
     at = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        size += n
         if size >= most:
             yield at, i + 1
             at, size = i + 1, 0
@@ -205,9 +235,9 @@ def number_texts(docs: DataFrame, counts: Counts, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(shipped.value)
         for batch in batches:
-            texts = as_bytes(batch.column(3))
+            texts = as_strings(batch.column(3))
             for a, b in _slices(texts):
-                sizes, ids, n_cold, cold = words.number(texts[a:b])
+                sizes, ids, n_cold, cold = words.number(texts.slice(a, b - a))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(a, b - a) for i in range(3)), _lists(sizes, ids, pa.int32()),
                      _lists(n_cold, cold, pa.int64())], names=["doc_id", "learn", "row", "ids", "cold"])
@@ -279,18 +309,24 @@ class Model:
         return q
 
 
-def _log_sums(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """log of the sum of exp(q @ rows.T) by row, in blocks."""
-    out = np.empty(len(q), np.float32)
-    step = max(64, (1 << 17) // len(rows))
-    small = math.sqrt((q * q).sum(axis=1).max() * (rows * rows).sum(axis=1).max()) < 60  # then no exponential overflows
-    for at in range(0, len(q), step):
-        z = q[at:at + step] @ rows.T
-        high = 0 if small else z.max(axis=1)
-        if not small:
-            z -= high[:, None]
-        out[at:at + step] = np.log(np.exp(z, out=z).sum(axis=1)) + high
-    return out
+class Normaliser:
+    """log of the sum of exp(q @ rows.T) by row of q, in blocks."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows, self.length = rows, (rows * rows).sum(axis=1).max()
+        self.step = max(64, (1 << 17) // len(rows))
+
+    def logs(self, q: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """``lengths``: squared lengths of the rows of q."""
+        out = np.empty(len(q), np.float32)
+        small = math.sqrt(lengths.max() * self.length) < 60  # then no exponential overflows
+        for at in range(0, len(q), self.step):
+            z = q[at:at + self.step] @ self.rows.T
+            high = 0 if small else z.max(axis=1)
+            if not small:
+                z -= high[:, None]
+            out[at:at + self.step] = np.log(np.exp(z, out=z).sum(axis=1)) + high
+        return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -301,12 +337,29 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def _firsts(at: np.ndarray) -> np.ndarray:
+    """Where runs of equal numbers begin."""
+    return np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+
+
 def _sum_rows(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct row numbers and the sums of their values."""
     order = np.argsort(at)
     at = at[order]
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return at[first], np.add.reduceat(values.take(order, axis=0), first)
+    first = _firsts(at)
+    runs = np.diff(first, append=len(at))
+    out = values.take(order[first], axis=0)
+    some = np.flatnonzero((runs > 1) & (runs <= SHORT_RUN))
+    rest = values.take(order[first[some] + 1], axis=0)
+    for k in range(2, SHORT_RUN):   # most runs are short: all their third rows are added at once, then the fourth ones
+        more = np.flatnonzero(runs[some] > k)
+        rest[more] += values.take(order[first[some[more]] + k], axis=0)
+    out[some] += rest   # the first row comes last, as in reduceat
+    long = np.flatnonzero(runs > SHORT_RUN)
+    if len(long):
+        rows = values.take(order[np.repeat(runs > SHORT_RUN, runs)], axis=0)
+        out[long] = np.add.reduceat(rows, np.cumsum(runs[long]) - runs[long])
+    return at[first], out
 
 
 class Contrast:
@@ -334,24 +387,26 @@ class Contrast:
     def gradients(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, groups: np.ndarray,
                   words: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """(rows, gradients) of each part; ``word`` is sorted."""
-        m, g = self.m, self.of_output[word]
+        m, g, n = self.m, self.of_output[word], len(word)
         near, far = m.context.take(one, axis=0), m.context.take(two, axis=0)
         q = m.added(near, far)
         u, t, un = m.group.take(g, axis=0), m.target.take(word, axis=0), m.group[groups]
-        fit = np.einsum("nd,nd->n", q, u) - self.log_kn[g]
-        against = q @ un.T - self.log_kn[groups]
-        g_fit, g_against = _sigmoid(fit) - 1, _sigmoid(against)
-        d_q = g_against @ un + g_fit[:, None] * u
-        group_at, group_by = _sum_rows(np.concatenate([g, groups]), np.concatenate([g_fit[:, None] * q, g_against.T @ q]))
+        g_fit = _sigmoid(np.einsum("nd,nd->n", q, u) - self.log_kn[g]) - 1
+        against = q @ un.T
+        against -= self.log_kn[groups]
+        _sigmoid(against)
+        d_q = against @ un
+        d_q += np.multiply(u, g_fit[:, None], out=u)
+        group = _sum_rows(np.concatenate([g, groups]), np.concatenate([g_fit[:, None] * q, against.T @ q]))
         many = self.sizes[g] > 1       # a group of one word has nothing to tell apart
         w_fit = np.where(many, _sigmoid(np.einsum("nd,nd->n", q, t) - self.log_kw[g]) - 1, 0).astype(q.dtype)
-        d_q += w_fit[:, None] * t
+        d_q += np.multiply(t, w_fit[:, None], out=t)
         cuts = np.searchsorted(g, np.arange(len(self.sizes) + 1))
         met = np.flatnonzero((np.diff(cuts) > 0) & (self.sizes > 1))
         noise = words[met]
         tn = m.target.take(noise, axis=0)
         spans = [slice(a, b) for a, b in zip(cuts[met].tolist(), cuts[met + 1].tolist())]
-        push = np.zeros((len(q), words.shape[1]), q.dtype)
+        push = np.zeros((n, words.shape[1]), q.dtype)
         for s, other in zip(spans, tn):   # only the products are made group by group
             np.matmul(q[s], other.T, out=push[s])
         push -= self.log_kw[g][:, None]
@@ -360,12 +415,14 @@ class Contrast:
         for s, other, sums in zip(spans, tn, by):
             d_q[s] += push[s] @ other
             np.matmul(push[s].T, q[s], out=sums)
-        target_at, target_by = _sum_rows(np.concatenate([word, noise.ravel()]),
-                                         np.concatenate([w_fit[:, None] * q, by.reshape(-1, q.shape[1])]))
+        target = _sum_rows(np.concatenate([word, noise.ravel()]),
+                           np.concatenate([w_fit[:, None] * q, by.reshape(-1, q.shape[1])]))
         d = d_q[:, :-1]
         scale = np.stack([np.einsum("nd,nd->d", d, x) for x in (near, far)])
-        context = _sum_rows(np.concatenate([one, two]), np.concatenate([d * m.scale[0], d * m.scale[1]]))
-        return [(np.arange(2), scale), (group_at, group_by), context, (target_at, target_by)]
+        both = np.empty((2 * n, d.shape[1]), q.dtype)
+        np.multiply(d, m.scale[0], out=both[:n])
+        np.multiply(d, m.scale[1], out=both[n:])
+        return [(np.arange(2), scale), group, _sum_rows(np.concatenate([one, two]), both), target]
 
     def step(self, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> None:
         order = np.argsort(word)
@@ -377,6 +434,9 @@ class Contrast:
             by *= self.rate
             by /= np.sqrt(sums, out=sums)
             p[at] = np.subtract(p.take(at, axis=0), by, out=by)
+
+    def meet(self, one: np.ndarray, two: np.ndarray) -> None:
+        """Note the occurrences of context embeddings."""
         self.met += np.bincount(np.concatenate([one, two]), minlength=len(self.met))
 
 
@@ -424,6 +484,7 @@ def train(numbered: DataFrame, counts: Counts, dim: int = 16, rounds: int = 2, b
                 one, two, of = (np.concatenate(x)[mixed] for x in zip(*kept))
                 for at in range(0, size, batch):
                     own.step(one[at:at + batch], two[at:at + batch], of[at:at + batch])
+                own.meet(one, two)
 
             for got in batches:
                 t = Tokens.read(got.column(0), c.outputs())
@@ -464,6 +525,8 @@ class Scorer:
         self.c, self.m = counts, model
         self.starts = counts.group_starts()
         self.of_output = np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+        self.groups = Normaliser(model.group)
+        self.words = [Normaliser(model.target[a:b]) if b > a + 1 else None for a, b in zip(self.starts, self.starts[1:])]
         # log10 of a word's count, or of what a cold word's class divides by
         self.base = np.log10(np.concatenate([counts.hot_count + 1.0, np.ones(CLASSES), [counts.texts + 1.0]]))
         self.inside = np.concatenate([np.zeros(len(counts.hot_hash)), -np.log10(counts.rest_mass()), [0.0]])
@@ -473,15 +536,16 @@ class Scorer:
         order = np.argsort(t.of)
         of = t.of[order]
         g = self.of_output[of]
-        before, at = np.unique((t.one * (self.starts[-1] + 1) + t.two)[order], return_inverse=True)
-        ahead = self.m.ahead(before // (self.starts[-1] + 1), before % (self.starts[-1] + 1))
+        before, at = np.unique(((t.one << 32) | t.two)[order], return_inverse=True)
+        ahead = self.m.ahead(before >> 32, before & 0xFFFFFFFF)
+        lengths = (ahead * ahead).sum(axis=1)
         q = ahead.take(at, axis=0)   # a context's first normaliser is worked out once
-        found = np.einsum("nd,nd->n", q, self.m.group.take(g, axis=0)) - _log_sums(ahead, self.m.group)[at]
+        found = np.einsum("nd,nd->n", q, self.m.group.take(g, axis=0)) - self.groups.logs(ahead, lengths)[at]
+        lengths = lengths[at]
         cuts = np.searchsorted(g, np.arange(len(self.starts)))
         for i in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(self.starts) > 1)):
             s = slice(cuts[i], cuts[i + 1])
-            found[s] += (np.einsum("nd,nd->n", q[s], self.m.target.take(of[s], axis=0))
-                         - _log_sums(q[s], self.m.target[self.starts[i]:self.starts[i + 1]]))
+            found[s] += np.einsum("nd,nd->n", q[s], self.m.target.take(of[s], axis=0)) - self.words[i].logs(q[s], lengths[s])
         out = np.empty(len(of))
         out[order] = found / np.log(10)
         return out

@@ -191,3 +191,57 @@ def test_noise_of_all_groups_is_weighed_at_once(monkeypatch):
     monkeypatch.setattr(lbl, "_sigmoid", lambda x: calls.append(x.shape) or sigmoid(x))
     learner.step(word, word[::-1].copy(), word)
     assert len(calls) == 4, len(calls)
+
+
+def test_words_are_split_by_definition():
+    odd = [None, "", " ", "a", " a  B\ta ", "\x0b\x0c\r\n", "x\x1cy\x1fz\x85w\xa0v\u3000u", "\x00 \x00", "ÄÖ İ ß A\u0301", "Z" * 70 + " z" * 9]
+    for texts in (odd, odd[4:7], ["  "], [None]):
+        column = lbl.as_strings(pa.array(["left out", *texts, "this too"])).slice(1, len(texts))
+        sizes, words, at = lbl.split_words(column)
+        want = [(t or "").encode().lower().split() for t in texts]
+        assert sizes.tolist() == [len(w) for w in want] and [words[i] for i in at] == sum(want, [])
+        assert len(set(words)) == len(words) and set(words) == set(sum(want, []))
+        assert lbl.word_hashes(words).tolist() == [lbl.word_hash(w) for w in words]
+    raw = lbl.as_strings(pa.array([b"\xff\xfe A\xc3", None], pa.binary()))   # bytes that are no UTF-8
+    assert lbl.split_words(raw)[1] == [b"\xff\xfe", b"a\xc3"]
+
+
+class Watched(np.ndarray):
+    """Rows that note how many runs ``reduceat`` adds up one by one."""
+
+    runs: list[int] = []
+
+    def __array_ufunc__(self, ufunc, method, *inputs, **given):
+        if method == "reduceat":
+            Watched.runs.append(len(inputs[1]))
+        plain = [x.view(np.ndarray) if isinstance(x, Watched) else x for x in inputs]
+        given = {k: tuple(x.view(np.ndarray) if isinstance(x, Watched) else x for x in v) if k == "out" else v for k, v in given.items()}
+        return getattr(ufunc, method)(*plain, **given)
+
+
+def test_rows_are_summed_over_short_and_long_runs():
+    """The sums are those of reduceat to the last bit, but short runs are not added one by one."""
+    rng = np.random.default_rng(2)
+    at = rng.permutation(np.concatenate([np.repeat([7], 40), np.repeat([900, 3], 5), np.repeat([4, 11], 4), [5, 5, 5, 8, 8],
+                                         np.arange(20, 200)]))
+    values = rng.normal(size=(len(at), 3)).astype(np.float32)
+    for part in (slice(None), slice(0, 1), slice(0, 9)):
+        order = np.argsort(at[part])
+        rows, first = np.unique(at[part]), np.flatnonzero(np.diff(at[part][order], prepend=-1))
+        Watched.runs.clear()
+        found = lbl._sum_rows(at[part], values[part].view(Watched))
+        assert found[0].tolist() == rows.tolist()
+        assert np.array_equal(found[1], np.add.reduceat(values[part][order], first))
+        assert sum(Watched.runs) <= 3, Watched.runs   # 7, 900 and 3
+
+
+@pytest.mark.parametrize("size", [0.1, 3.0, 40.0])
+def test_normaliser_with_and_without_room(size):
+    """Too large exponents don't overflow."""
+    rng = np.random.default_rng(3)
+    rows, q = (rng.normal(0, size, (n, 7)).astype(np.float32) for n in (300, 500))
+    z = q.astype(float) @ rows.T.astype(float)
+    high = z.max(axis=1)
+    want = high + np.log(np.exp(z - high[:, None]).sum(axis=1))
+    got = lbl.Normaliser(rows).logs(q, (q * q).sum(axis=1))
+    assert np.isfinite(got).all() and np.allclose(got, want, rtol=1e-5, atol=1e-5)
