@@ -79,6 +79,40 @@ def test_every_trusted_text_is_counted(spark):
             assert got == pytest.approx(np.log10(want), abs=1e-6)
 
 
+def test_every_code_point_is_a_symbol(spark):
+    # each text and one of other characters of the same kind, alike modulo 5, above U+FFFF, capitals, digits
+    pairs = [("дом", "йом"), ("漢字", "漧字"), ("😀𐍈", "𐍈😀"), ("Aa Bb", "Ba Ab"), ("12 34", "21 43")]
+    texts = [t * 5 for t, _ in pairs] + [""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = kneser.train(docs, docs.selectExpr("doc_id as id"))
+    marks = {c: chr(0x100 + i) for i, c in enumerate(sorted(set("".join(texts))))}  # the plain model's characters
+    p = plain_model([t.translate({ord(c): m for c, m in marks.items()}) for t in texts])
+
+    def plain(text):
+        line = [0] * 3 + [ord(marks[c]) + 1 for c in text] + [0]
+        return sum(np.log10(p(tuple(line[i:i + 4]))) for i in range(len(line) - 3))
+    for own, other in pairs:
+        logs = [sum(float(table[w].sum()) for w in kneser.windows(t)) for t in (own, other)]
+        assert logs[0] == pytest.approx(plain(own), abs=1e-4) and logs[0] > logs[1] + 0.5
+
+
+def test_joins_score_as_look_ups_do(spark, monkeypatch):
+    texts = sentences(random.Random(6), 40) + ["", None, "ж😀 not seen"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(0, texts[0])], "doc_id long, text string")
+    trusted = docs.selectExpr("doc_id as id").where("id < 20")
+    table = kneser.train(docs, trusted)
+    want = sorted((r.doc_id, r.n_symbols, r.log10) for r in kneser.score(docs, table, "text", ["doc_id"]).collect())
+    assert [(i, n) for i, n, _ in want] == sorted([(i, len(t or "") + 1) for i, t in enumerate(texts)] + [(0, len(texts[0]) + 1)])
+    for (i, n, x), t in zip(want, [texts[0], *texts]):
+        assert x == pytest.approx(sum(float(table[w].sum()) for w in kneser.windows(t or "")), abs=1e-4)
+    joined = kneser.score(docs, kneser.train(docs, trusted, most_shipped=0), "text", ["doc_id"])
+    got = sorted((r.doc_id, r.n_symbols, r.log10) for r in joined.collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want] and [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-3)
+    monkeypatch.setattr(kneser, "_CHUNK", 7)
+    sums = [sum(len(part) for at, _, part in kneser._grouped([t or "" for t in texts]) if i in at) for i in range(3)]
+    assert all(sums) and sum(len(part) for _, _, part in kneser._grouped([t or "" for t in texts])) == sum(n for _, n, _ in want[1:])
+
+
 def test_windows_in_parts(monkeypatch):
     text = "".join(sentences(random.Random(3), 9))
     whole = np.concatenate(list(kneser.windows(text)))
