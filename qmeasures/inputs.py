@@ -29,7 +29,7 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from qmeasures.operators.flagged import FlagRequest, flag_lines
+from qmeasures.operators.flagged import FlagRequest, flag_lines, flag_reader
 from qmeasures.operators.reuse import materialize
 
 _COMPONENT_CACHE: dict = {}
@@ -93,6 +93,9 @@ class ClaimsInputs:
     LINE_COLUMNS = ("member_id", "claimid", "prm_line", "prm_fromdate", "prm_todate", "fromdate", "prm_fromdate_case",
                     "prm_todate_case", "icdversion")
 
+    #: flags that the plans of a measure test in the written lines themselves
+    PLANNED_FLAGS = 6
+
     def request(self, source: str, measure: str, component: str, **how) -> FlagRequest:
         return FlagRequest(source, measure, component, **how)
 
@@ -101,28 +104,38 @@ class ClaimsInputs:
         whose codes a line carries.
 
         If the run has prepared the flags of all its measures (:meth:`prepare_flags`), all of them read what was
-        written.  Otherwise the frame is lazy, and a measure's own filters reach the scan; a measure that
+        written; a measure with more than ``PLANNED_FLAGS`` flags gets its own lines written once more, with its
+        flags as columns, so that no plan tests them.  Otherwise the frame is lazy, and a measure's own filters reach the scan; a measure that
         reads many flags several times gives its filter as ``write_where``, and gets the lines that pass
         it written once.  Either way the measure applies its filters itself.
         """
         wanted = sorted(set(requests), key=lambda r: r.name)
         shared = self.__dict__.get("_flags")
         if shared is not None and set(wanted) <= shared[0]:
-            return shared[1]
+            if len(wanted) <= self.PLANNED_FLAGS:
+                return shared[1](wanted)
+
+            def own() -> DataFrame:
+                lines = shared[1](wanted)
+                return materialize(lines if write_where is None else lines.filter(write_where))
+            return self.memo(("shared flags", tuple(wanted), str(write_where)), own)
         if write_where is None:
             return self.memo(("flagged", tuple(wanted)), lambda: self._flag(self.outclaims, wanted))
         return self.memo(("flagged", tuple(wanted), str(write_where)),
                          lambda: self._flag(self.outclaims.filter(write_where), wanted, write=materialize))
 
+    def _code_tables(self) -> dict[str, DataFrame]:
+        return {"oha": self.oha_codes, "hedis": self.hedis_codes, "medications": self.medications}
+
     def _flag(self, claims: DataFrame, wanted, write=None) -> DataFrame:
-        tables = {"oha": self.oha_codes, "hedis": self.hedis_codes, "medications": self.medications}
-        return flag_lines(claims, tables, wanted, self.LINE_COLUMNS, write=write)
+        return flag_lines(claims, self._code_tables(), wanted, self.LINE_COLUMNS, write=write)
 
     def prepare_flags(self, requests) -> None:
         """One scan of the code columns for all these requests, written; later calls read the result."""
         shared = self.__dict__.get("_flags")
         if shared is None or not set(requests) <= shared[0]:
-            self.__dict__["_flags"] = (frozenset(requests), self._flag(self.outclaims, requests, write=materialize))
+            self.__dict__["_flags"] = (frozenset(requests), flag_reader(
+                self.outclaims, self._code_tables(), requests, self.LINE_COLUMNS, write=materialize))
 
     def members(self) -> DataFrame:
         """One row per member (duplicate roster rows collapse; earliest dob wins)."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -46,10 +47,9 @@ def requests(inp: ClaimsInputs) -> list[FlagRequest]:
             inp.request("hedis", MEASURE, "pregnancy_diagnosis", versioned=True, only=("ICD10CM-Diag",))]
 
 
-def line_flags(inp: ClaimsInputs) -> DataFrame:
-    wanted = requests(inp)
-    return inp.flagged_lines(wanted).select("member_id", "prm_fromdate", "prm_todate",
-                                            *[F.col(f"`{r.name}`").cast("int").alias(r.component) for r in wanted])
+def _as_numbers(lines: DataFrame, wanted: list[FlagRequest]) -> DataFrame:
+    return lines.select("member_id", "prm_fromdate", "prm_todate",
+                        *[F.col(f"`{r.name}`").cast("int").alias(r.component) for r in wanted])
 
 
 def delivery_dates(flags: DataFrame, p: MeasureParams) -> DataFrame:
@@ -78,11 +78,13 @@ def enrollment_segments(spans: DataFrame, keys=("member_id", "delivery_date")) -
 
 def relevant_lines(inp: ClaimsInputs) -> DataFrame:
     """Written claim lines that carry a delivery, visit, non-live-birth or hospice flag."""
-    all_flags = line_flags(inp)
-    relevant = (_on("deliveries") | _on("non_live_births") | _on("hospice_encounter") | _on("hospice_intervention")
-                | _on("prenatal_bundled") | _on("standalone_prenatal") | _on("prenatal_visits")
-                | _on("postpartum_visits") | _on("cervical_cytology_lab") | _on("postpartum_bundled"))
-    return materialize(all_flags.filter(relevant))
+    wanted = requests(inp)
+    relevant = ("deliveries", "non_live_births", "hospice_encounter", "hospice_intervention", "prenatal_bundled",
+                "standalone_prenatal", "prenatal_visits", "postpartum_visits", "cervical_cytology_lab", "postpartum_bundled")
+    # on the flags before they are numbers: a filter on what the projection makes doubles its constraints with each flag
+    names = {r.component: r.name for r in wanted}
+    some = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"`{names[c]}`"), F.lit(False)) for c in relevant])
+    return materialize(_as_numbers(inp.flagged_lines(wanted).filter(some), wanted))
 
 
 def delivery_spans(inp: ClaimsInputs, deliveries: DataFrame) -> DataFrame:

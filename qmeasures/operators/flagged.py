@@ -21,7 +21,9 @@ folded back to the line with ``bit_or``:
 * lines without a match end at the join, and the fold's key is the line, so neither a large
   member nor a frequent code gathers rows;
 * what is written for several readers are the bit words, and a reader tests the bits of the
-  flags it uses: the tests of some 60 components in one method stay above what the JVM compiles.
+  flags it uses: the tests of some 60 components in one method stay above what the JVM compiles;
+* a reader's lines are found by one mask over the words.  An OR of its flags would do, but Spark
+  derives a constraint for every subset of the flags that such a filter and a projection share.
 
 Rules of the predicates (ungrouped rows OR-ed, groups AND-ed over code systems, diagnosis
 positions, versioned lists) are those of :mod:`qmeasures.functions.codes`.
@@ -122,12 +124,20 @@ def flag_lines(claims: DataFrame, tables: dict[str, DataFrame], requests, keep,
     lines: in a join it gets their bit words, and each reader tests the bits of its own flags.
     """
     requests = sorted(set(requests), key=lambda r: r.name)
+    return flag_reader(claims, tables, requests, keep, literal_codes, write)(requests)
+
+
+def flag_reader(claims: DataFrame, tables: dict[str, DataFrame], requests, keep, literal_codes: int = LITERAL_CODES,
+                write: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[list[FlagRequest]], DataFrame]:
+    """As :func:`flag_lines`; what is returned gives the lines of some of the requests, with their flags."""
+    requests = sorted(set(requests), key=lambda r: r.name)
     held = [c for c in keep if c in claims.columns]
     listed = _listed(tables, requests)
     few = listed.limit(literal_codes + 1).collect() if len(requests) <= LITERAL_FLAGS else None
     if few is not None and len(few) <= literal_codes:
         found = _by_literals(claims, few, requests, held)
-        return write(found) if write else found
+        found = write(found) if write else found
+        return lambda some: found.select(*held, *[F.col(f"`{r.name}`") for r in some])
     return _by_join(claims, materialize(listed), requests, held, write)
 
 
@@ -164,7 +174,7 @@ def _by_literals(claims: DataFrame, rows: list, requests: list[FlagRequest], hel
 
 
 def _by_join(claims: DataFrame, rows: DataFrame, requests: list[FlagRequest], held: list[str],
-             write: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+             write: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[list[FlagRequest]], DataFrame]:
     names = set(claims.columns)
     diags, procs = _numbered(claims.columns, "icddiag"), _numbered(claims.columns, "icdproc")
     # the shape of the lists, not the codes: a few rows per component
@@ -204,7 +214,7 @@ def _by_join(claims: DataFrame, rows: DataFrame, requests: list[FlagRequest], he
     used = {w[6] for w in wires}
     slots = [(s, c) for s, c in slots if s in used]
     if not slots:
-        return claims.where("false").select(*held, *[F.lit(False).alias(r.name) for r in requests])
+        return lambda some: claims.where("false").select(*held, *[F.lit(False).alias(r.name) for r in some])
     place = F.array(*[F.lit(s) for s, _ in slots])
     kept, held = held, held + [c for c in ["icdversion"] if c in names and c not in held]
     # the line gets its number before its codes are exploded
@@ -233,4 +243,11 @@ def _by_join(claims: DataFrame, rows: DataFrame, requests: list[FlagRequest], he
             else:
                 out = out | each[""]
         return out
-    return folded.select(*kept, *[condition(r).alias(r.name) for r in requests])
+
+    def read(some: list[FlagRequest]) -> DataFrame:
+        own = {bit for r in some for parts in terms[r].values() for found in parts.values() for bit in found}
+        masks = [sum(1 << (bit % WORD_BITS) for bit in own if bit // WORD_BITS == k) for k in range(n_words)]
+        hit = [F.col(w).bitwiseAND(F.lit(m)) != 0 for w, m in zip(words, masks) if m]
+        lines = folded if own == set(bits.values()) else folded.where(reduce(lambda a, b: a | b, hit, F.lit(False)))
+        return lines.select(*kept, *[condition(r).alias(r.name) for r in some])
+    return read

@@ -19,6 +19,7 @@ from contextvars import copy_context
 from pyspark.sql import DataFrame, types as T
 
 from qmeasures.inputs import ClaimsInputs
+from qmeasures.operators.reuse import materialize
 from qmeasures.params import MeasureParams
 from qmeasures.schemas import RESULT_SCHEMA, to_result
 
@@ -27,6 +28,7 @@ MeasureFn = Callable[[ClaimsInputs, MeasureParams], DataFrame]
 
 #: Size of the claim lines, as the optimizer estimates it, from which one pass is shared by all measures.
 SHARED_FROM_BYTES = 4 << 30
+SHARED_SIDE_BY_SIDE = 1
 
 
 def _plan_bytes(df: DataFrame) -> int:
@@ -99,7 +101,9 @@ class MeasureRegistry:
         are submitted to Spark at the same time.  With ``shared_pass`` the code columns of the claim
         lines are read once for all active measures before that; without it each measure reads
         them, with its own date filter.  Left open, the shared pass is taken from
-        ``SHARED_FROM_BYTES`` of claims on: below that, side-by-side scans end sooner.
+        ``SHARED_FROM_BYTES`` of claims on: below that, side-by-side scans end sooner.  With it, at most
+        ``SHARED_SIDE_BY_SIDE`` measures run at once and their results are written, which bounds the driver's
+        memory.
         """
         names = self.active()
         readers = [n for n in names if n in self._requests and self._has_inputs(n, inputs)]
@@ -107,10 +111,15 @@ class MeasureRegistry:
             shared_pass = bool(readers) and _plan_bytes(inputs.outclaims) >= SHARED_FROM_BYTES
         if shared_pass and readers:
             inputs.prepare_flags({r for n in readers for r in self._requests[n](inputs)})
+
         def one(name: str) -> DataFrame:
             df = self._measures[name](inputs, params)
             check_result_schema(name, df)
-            return to_result(df) if "comments" in df.columns else to_result(df, comments_col="_none_")
+            df = to_result(df) if "comments" in df.columns else to_result(df, comments_col="_none_")
+            # ten measures in one plan start all their exchanges at once, each with a thread of the driver
+            return materialize(df) if shared_pass else df
+        if shared_pass:
+            side_by_side = min(side_by_side, SHARED_SIDE_BY_SIDE)
         with ThreadPoolExecutor(max_workers=max(1, side_by_side)) as pool:
             # each thread runs in a copy of the caller's context: its run scope gets the intermediates
             jobs = [pool.submit(copy_context().run, one, n) for n in names]

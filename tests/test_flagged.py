@@ -1,5 +1,6 @@
 """Component flags by literals and by the join with the code table: same rules, same rows."""
 import re
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,6 +140,23 @@ def test_what_is_written_for_many_components_stays_compilable(spark, lines, monk
         "hcpcs = 'A1' or icddiag1 = 'D1' or icddiag2 = 'D1' or icddiag3 = 'D1' or revcode = 'R1'").count()
 
 
+def test_filters_on_many_shared_flags_stay_small_plans(spark, lines):
+    """A constraint for each subset of 12 flags (4,096) filled the driver's memory."""
+    table = codes(spark, "\n".join(f"m~c{i}~CPT~A{i % 6}~~" for i in range(30)))
+    requests = [FlagRequest("oha", "m", f"c{i}") for i in range(30)]
+    inputs = ClaimsInputs(member=lines.select("member_id"), outclaims=lines, oha_codes=table)
+    inputs.prepare_flags(requests)
+    for n in (2, 12):
+        wanted = requests[:n]
+        got = inputs.flagged_lines(wanted, F.col("member_id").isNotNull() if n == 12 else None)
+        some = reduce(lambda a, b: a | b, [F.col(f"`{r.name}`") for r in wanted])
+        plan = got.where(some).select("member_id", *[F.col(f"`{r.name}`").cast("int").alias(r.component) for r in wanted])
+        assert plan._jdf.queryExecution().optimizedPlan().constraints().size() < 100
+        listed = sorted({f"A{i % 6}" for i in range(n)})
+        assert plan.count() == lines.where(F.col("hcpcs").isin(listed)).count() > 0
+        assert got.count() == plan.count()
+
+
 def test_shared_pass_scans_the_codes_once(spark):
     from qmeasures.operators import reuse
     from qmeasures.plans.registry import default_registry
